@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import licenses, media, sharding
+from . import bpe, licenses, media, sharding
 
 
 def _table(spark, sf_dir, name):
@@ -20,9 +21,13 @@ def op5_media_columns(spark, sf_dir):
     return media.document_media(_table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
+
+
 def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op5_media_columns, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op5_media_columns, op6_byte_bpe, op10_license_scans)}
 ORACLE_SQL: dict[str, str] = {}
