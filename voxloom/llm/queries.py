@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, media, sharding
+from . import bpe, licenses, media, packing, sharding, token_counts
 
 
 def _table(spark, sf_dir, name):
@@ -17,6 +17,16 @@ def op2_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_token_counts(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").withColumn("n", F.coalesce(F.char_length("text"), F.lit(0)))
+    edits = F.expr("""array(
+        struct(n div 4 AS start, n div 4 AS end, ' a note put in here, ' AS text),
+        struct(n div 2 AS start, n div 2 + 20 AS end, '' AS text),
+        struct(3 * n div 4 AS start, 3 * n div 4 + 10 AS end, 'changed  words' AS text),
+        struct(n + 1000 AS start, n + 1000 AS end, ' the end' AS text))""")
+    return token_counts.count_tokens(docs.withColumn("edits", edits), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, edits_col="edits")
+
+
 def op5_media_columns(spark, sf_dir):
     return media.document_media(_table(spark, sf_dir, "documents"))
 
@@ -25,9 +35,13 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op9_packing(spark, sf_dir):
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=False)
+
+
 def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op5_media_columns, op6_byte_bpe, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op5_media_columns, op6_byte_bpe, op9_packing, op10_license_scans)}
 ORACLE_SQL: dict[str, str] = {}
