@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, media, packing, sharding, token_counts
+from . import bpe, licenses, media, minhash, packing, sharding, token_counts
 
 
 def _table(spark, sf_dir, name):
@@ -27,6 +27,10 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(docs.withColumn("edits", edits), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, edits_col="edits")
 
 
+def op4_minhash(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), 85)
+
+
 def op5_media_columns(spark, sf_dir):
     return media.document_media(_table(spark, sf_dir, "documents"))
 
@@ -43,5 +47,5 @@ def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op5_media_columns, op6_byte_bpe, op9_packing, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op9_packing, op10_license_scans)}
 ORACLE_SQL: dict[str, str] = {}
