@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, media, minhash, packing, sharding, token_counts
+from . import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts
 
 
 def _table(spark, sf_dir, name):
@@ -39,6 +39,16 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op7_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs)).drop("shares")
+
+
+def op8_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=False)
 
@@ -47,5 +57,5 @@ def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op9_packing, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans)}
 ORACLE_SQL: dict[str, str] = {}
