@@ -189,3 +189,9 @@ def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", te
     out = table.select("id", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose id is the least of its near-duplicates, with their columns as they are. Rows with a null id stay; so do rows that repeat the id of one that stays."""
+    gone = near_duplicates(df.select(id_col, text_col), percent, id_col, text_col).where("not kept").select(id_col).distinct()
+    return df.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -17,6 +17,7 @@ from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
@@ -123,7 +124,7 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
     data = df.sparkSession.sparkContext.broadcast(tokens.read_file(vocabulary))
     common.small_batches(df.sparkSession)
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", *(["ids"] if keep_ids else [])]
-    kinds = [*[pa.int64()] * 7, pa.int32(), pa.int64(), *([pa.list_(pa.int32())] if keep_ids else [])]
+    kinds = [*[pa.int64()] * 7, pa.int32(), pa.int64(), *([pa.binary()] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=tokens.load_ranks(data.value), special_tokens={})
@@ -140,7 +141,7 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
                 for length, doc, start in window:
                     name, ids, left = docs[doc]
                     part = ids[4 * start : 4 * (start + length)]
-                    row = [name, start, length, zlib.crc32(part), len(ids) // 4, sequence, offset, size, group + g, *([array("i", part).tolist()] if keep_ids else [])]
+                    row = [name, start, length, zlib.crc32(part), len(ids) // 4, sequence, offset, size, group + g, *([part] if keep_ids else [])]
                     for column, value in zip(out, row):
                         column.append(value)
                     offset += length
@@ -151,7 +152,11 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
                 sequence += 1
             group += max(groups, default=-1) + 1
             for i in range(0, len(out[0]), 5000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 5000], k) for c, k in zip(out, kinds)], names)
+                columns = [pa.array(c[i : i + 5000], k) for c, k in zip(out, kinds)]
+                if keep_ids:
+                    ends = np.cumsum([0, *out[2][i : i + 5000]]).astype(np.int32)
+                    columns[-1] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(out[-1][i : i + 5000]), np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
         windows, waiting = [], 0
         for batch in batches:

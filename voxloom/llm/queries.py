@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts
+from . import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts, topk
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_topk(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10, 1024)
+
+
 def op2_sharding(spark, sf_dir):
     out = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -57,5 +62,15 @@ def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans)}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+}
