@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Metadata families in the order in which they are put at the end of a text.
 FAMILIES = ("AGE_", "GER_", "EMOTION_", "INTENT_")
@@ -21,7 +22,7 @@ METADATA = r"(?U)\b((?:INTENT|AGE|GER|EMOTION)_\w+)\b"
 def text_rule(rule: Callable[[str], str]) -> Callable[[Column], Column]:
     """An Arrow UDF that maps texts by a Python rule, a batch at a time."""
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(T.StringType())
     def apply(texts: pa.Array) -> pa.Array:
         return pa.array([None if t is None else rule(t) for t in texts.to_pylist()], pa.string())
 
