@@ -18,9 +18,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from voxloom.plans import relational_queries, text_queries  # noqa: F401  they register themselves
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)

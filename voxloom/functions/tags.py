@@ -63,7 +63,11 @@ def strip_all_tags(c: Column) -> Column:
 def metadata_of(c: Column) -> Column:
     """Distinct metadata tags: families in their fixed order, sorted within each."""
     found = F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(METADATA), 1)))
-    return F.flatten(F.array(*[F.filter(found, lambda t, f=f: t.startswith(f)) for f in FAMILIES]))
+
+    def of(family: str) -> Column:
+        return F.filter(found, lambda t: t.startswith(family))
+
+    return F.flatten(F.array(*map(of, FAMILIES)))
 
 
 def reorder_metadata(c: Column) -> Column:
@@ -173,7 +177,11 @@ def fix_end_family_c(c: Column, marks: str = "।?!:;,.", legacy: bool = False)
     c = F.regexp_replace(c, r"(?U)\sEND\s+(INTENT_)", " $1")
     c = F.regexp_replace(c, rf"(?U){_tag(legacy)}(\S)", "$1 $2")
     c = _punctuation(F.regexp_replace(c, r"(?U)(\S)(END\b)", "$1 END"), marks)
-    return squeeze(F.regexp_replace(c, r"(?U)(ENTITY_[A-Z0-9_]+\s+\S+(?:\s+\S+)*)(?!\s+END)(?=\s+INTENT_|\s+ENTITY_|\s*$)", "$1 END"))
+    return _close_last_span(c)
+
+
+#: A Python rule, since the JVM's matcher recurses for every word of an open span.
+_close_last_span = text_rule(lambda t: " ".join(re.sub(r"(ENTITY_[A-Z0-9_]+\s+\S+(?:\s+\S+)*)(?!\s+END)(?=\s+INTENT_|\s+ENTITY_|\s*$)", r"\1 END", t).split()))
 
 
 def fix_end_of_reply(c: Column) -> Column:
@@ -246,8 +254,7 @@ def is_tag(w: Column) -> Column:
 
 def collapse_word_runs(c: Column) -> Column:
     """At most two of equal neighbouring words; tags are exempt."""
-    words = tokens(c)
-    return F.array_join(F.filter(words, lambda w, i: is_tag(w) | (i < 2) | ~(F.get(words, i - 1).eqNullSafe(w) & F.get(words, i - 2).eqNullSafe(w))), " ")
+    return F.regexp_replace(squeeze(c), r"(?<![^ ])(?!(?:ENTITY_|AGE_|GER_|EMOTION_|INTENT_)|END(?![^ ]))([^ ]++)(?: \1(?![^ ])){2,}", "$1 $1")
 
 
 def collapse_repeats(c: Column, times: int = 3) -> Column:

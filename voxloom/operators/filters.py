@@ -24,12 +24,11 @@ def lacks_duration(c: Column) -> Column:
 
 def has_p_pattern(c: Column, strict: bool = False) -> Column:
     """P noise: P p p runs, quoted or bracketed P, a P alone or next to a mark. strict adds every word that begins with p."""
-    words = F.split(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")), " ")
     patterns = [r"(?U)\bP\s+p\s+p\s+p\s+p\s+p\b", r"(?U)\bP\s+P\s+P\b", r"(?U)\bP\s+p\s+p\b", r"(?U)\bP\s+p\b", r'"P"', r"\(P\)", r"(?U)\bp\s+p\s+p\b", r"(?U)\b\s+p\s+p\s+p\s+p\s+p\b"]
     hit = F.lit(False)
     for p in [*patterns, *([r"(?U)\bp"] if strict else [])]:
         hit = hit | c.rlike(p)
-    near = F.exists(F.transform(words, lambda w, i: F.struct(w.alias("w"), F.get(words, i - 1).alias("before"), F.get(words, i + 1).alias("after"))), lambda s: (s["w"] == "P") & ((F.size(words) == 1) | _sure(s["before"].rlike(r"[.!?,:;]$")) | _sure(s["after"].rlike(r"^[.!?,:;]"))))
+    near = F.trim(c).rlike(r"(?U)^P$|[.!?,:;]\s+P(?!\S)|(?<!\S)P\s+[.!?,:;]")
     return _sure(hit | (c.rlike(r"(?U)\bP\b") & near))
 
 

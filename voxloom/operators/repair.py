@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 
 def parses(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """Whether c is exactly one JSON value: the parser alone would overlook what follows on the first."""
+    v = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.coalesce(F.try_variant_get(v, "$[0]", "variant").isNotNull() & F.try_variant_get(v, "$[1]", "variant").isNull(), F.lit(False))
+
+
+def parsed(c: Column) -> Column:
+    """The value as a variant; null if it isn't exactly one."""
+    return F.when(parses(c), F.try_parse_json(c))
 
 
 def duration_inside(line: Column) -> Column:
@@ -69,7 +76,7 @@ def route_lines(df: DataFrame, value: str = "value", number: str = "line_number"
     from voxloom.sources.manifests import polymorphic_text
 
     said = polymorphic_text(F.col(value))
-    v = F.try_parse_json(value)
+    v = parsed(F.col(value))
     duration = F.try_variant_get(v, "$.duration", "double")
     blank = F.trim(F.coalesce(F.col(value), F.lit(""))) == ""
     route = F.when(blank, "blank").when(said["error"].isNotNull(), "error").when(duration.isNull(), "no_duration").otherwise("ok")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.paths import basename
+from voxloom.staging import staged
 
 
 def speaker_change(df: DataFrame, file: str, pos: str, speaker: str) -> DataFrame:
@@ -60,25 +61,22 @@ def keep_first_name(df: DataFrame, path: str, order: list[str]) -> DataFrame:
     return keep_first(df, basename(F.col(path)), order)
 
 
-def keep_first_of_two_keys(df: DataFrame, path: str, content: str, pos: str, rounds: int | None = None) -> DataFrame:
+def keep_first_of_two_keys(df: DataFrame, path: str, content: str, pos: str) -> DataFrame:
     """Sequential keep-first on two keys: a row stays if no row that stays before it has its path or its content.
 
-    Rounds of two parallel rules until every row is decided: a row that is the first undecided of both its path and its content stays; a row whose
-    path or content belongs to a row that stays before it goes. Each round decides the first undecided row of every group of rows joined by keys at least, and groups are decided side by side.
+    Rounds until every row is decided: a row that is the first undecided one of both its path and its content stays, and
+    all other rows of that path or that content go. Every round decides the first undecided row of each group of rows that keys
+    join, all groups side by side. Only keys and positions take part; least positions are pre-aggregated before each shuffle.
+    Null keys are keys like any other; positions are unique.
     """
-    spark = df.sparkSession
-    live = df.withColumn("_p", F.col(path)).withColumn("_c", F.col(content))
+    live = staged(df.select(F.col(pos).alias("n"), F.struct(path).alias("p"), F.struct(content).alias("c")), "live")
     stay = None
-    n = 0
-    while True:
-        first = live.withColumn("_fp", F.min(pos).over(Window.partitionBy("_p"))).withColumn("_fc", F.min(pos).over(Window.partitionBy("_c")))
-        winners = first.where((F.col(pos) == F.col("_fp")) & (F.col(pos) == F.col("_fc"))).drop("_fp", "_fc").checkpoint(True) if spark.sparkContext.getCheckpointDir() else first.where((F.col(pos) == F.col("_fp")) & (F.col(pos) == F.col("_fc"))).drop("_fp", "_fc").persist()
-        stay = winners if stay is None else stay.unionByName(winners)
-        live = live.join(winners.select("_p"), "_p", "left_anti").join(winners.select("_c"), "_c", "left_anti")
-        live = live.checkpoint(True) if spark.sparkContext.getCheckpointDir() else live.persist()
-        n += 1
-        if live.isEmpty() or (rounds and n >= rounds):
-            return stay.drop("_p", "_c")
+    while not live.isEmpty():
+        first = lambda k: live.groupBy(k).agg(F.min("n").alias("n"))
+        winners = staged(first("p").join(first("c"), "n").select("n", "p", "c"), "stay")
+        stay = winners.select("n") if stay is None else stay.unionByName(winners.select("n"))
+        live = staged(live.join(winners.select("p"), "p", "left_anti").join(winners.select("c"), "c", "left_anti").select("n", "p", "c"), "live")
+    return df.where("false") if stay is None else df.join(stay.withColumnRenamed("n", pos), pos, "left_semi")
 
 
 def sliding_chunks(seconds: Column, length: float = 30.0, overlap: float = 10.0, least: float = 1.0) -> Column:

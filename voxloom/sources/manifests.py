@@ -158,7 +158,9 @@ class DomainConfig:
 
 def polymorphic_text(value: Column) -> Column:
     """struct(text, error) of a JSON line: text as a string, or an object with sentence, text or annotated_text; the reason if there is none."""
-    v = F.try_parse_json(value)
+    from voxloom.operators.repair import parsed
+
+    v = parsed(value)
     get = lambda path: F.try_variant_get(v, path, "string")
     kind = F.schema_of_variant(F.try_variant_get(v, "$.text", "variant"))
     text = F.when(kind == "STRING", get("$.text")).when(kind.startswith("OBJECT"), F.coalesce(get("$.text.sentence"), get("$.text.text"), get("$.annotated_text"), get("$.text.annotated_text"), get("$.text.annotated_sentence")))

@@ -47,18 +47,23 @@ class Progress(StreamingQueryListener):
 def sessions(events: DataFrame, ttl_minutes: int = 60) -> DataFrame:
     """Keyed sessions that end a fixed time after their first event, whatever comes between (reading doesn't refresh them): session_id, user_id, start, n.
 
-    Batch form of a time-to-live state; a row belongs to the session that its user's first row of the last ttl started.
+    Batch form of a time-to-live state: rows stream through in order and only the open session is held. A row belongs to the session that its user's first row of the last ttl started.
     """
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ts", "event_id"])
-        out, start, n = [], None, 0
-        for ts in rows["ts"]:
-            if start is None or ts >= start + pd.Timedelta(minutes=ttl_minutes):
-                if start is not None:
-                    out.append((rows["user_id"].iloc[0], start, n))
-                start, n = ts, 0
-            n += 1
-        out.append((rows["user_id"].iloc[0], start, n))
-        return pd.DataFrame(out, columns=["user_id", "start", "n"])
-
-    return events.select("user_id", "event_id", "ts").groupBy("user_id").applyInPandas(walk, "user_id long, start timestamp, n long")
+    def walk(batches):
+        user = start = None
+        n, width = 0, pd.Timedelta(minutes=ttl_minutes)
+        for rows in batches:
+            out = []
+            for u, ts in zip(rows["user_id"], rows["ts"]):
+                if start is None or u != user or ts >= start + width:
+                    if n:
+                        out.append((user, start, n))
+                    user, start, n = u, ts, 0
+                n += 1
+            if out:
+                yield pd.DataFrame(out, columns=["user_id", "start", "n"])
+        if n:
+            yield pd.DataFrame([(user, start, n)], columns=["user_id", "start", "n"])
+
+    ordered = events.where("user_id is not null and ts is not null").select("user_id", "event_id", "ts").repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+    return ordered.mapInPandas(walk, "user_id long, start timestamp, n long")
