@@ -164,7 +164,7 @@ def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", te
     blocks = candidates.groupBy("component").agg(F.count("*").alias("docs"), (8 * F.sum("n")).alias("bytes")).select(
         "component", F.when((F.col("docs") <= 2 * block_docs) & (F.col("bytes") <= 2 * block_bytes), 1).otherwise(F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("bytes") / block_bytes))).cast("int").alias("blocks"))
     wanted = candidates.join(blocks, "component").select(F.col("node").alias("id"), "component", "blocks", "n")
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted.hint("merge"), "id")  # the same plan at every size
     held = []
 
     def to_sets(batch):
