@@ -147,7 +147,7 @@ def forest(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None
     return out
 
 
-def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_docs: int = 256, block_bytes: int = 8 << 20) -> DataFrame:
+def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_docs: int = 128, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id reachable over links), kept (id = component_id).
 
     Null, empty and blank texts have no shingles and are linked with nothing: they are components of their own. Rows with
