@@ -252,23 +252,25 @@ def is_tag(w: Column) -> Column:
     return w.startswith("ENTITY_") | (w == "END") | w.startswith("AGE_") | w.startswith("GER_") | w.startswith("EMOTION_") | w.startswith("INTENT_")
 
 
+# Repeats are found by looking ahead at the next copies, not by a repeated group, for which the JVM's matcher would recurse once a copy.
+
+
 def collapse_word_runs(c: Column) -> Column:
     """At most two of equal neighbouring words; tags are exempt."""
-    return F.regexp_replace(squeeze(c), r"(?<![^ ])(?!(?:ENTITY_|AGE_|GER_|EMOTION_|INTENT_)|END(?![^ ]))([^ ]++)(?: \1(?![^ ])){2,}", "$1 $1")
+    return F.regexp_replace(squeeze(c), r"(?<![^ ])(?!(?:ENTITY_|AGE_|GER_|EMOTION_|INTENT_)|END(?![^ ]))([^ ]++) (?=\1 \1(?![^ ]))", "")
 
 
 def collapse_repeats(c: Column, times: int = 3) -> Column:
     """Three or more of a word to one, again and again (up to times rounds)."""
     for _ in range(times):
-        c = F.regexp_replace(c, r"(?U)\b(\w+)(\s+\1){2,}\b", "$1")
+        marked = F.regexp_replace(c, r"(?U)\b(\w++)\s+(?=\1\s+\1\b)", "\u0000")
+        c = F.regexp_replace(marked, r"(?U)\x00+(\w++)\s+\1\b", "$1")
     return c
 
 
-def collapse_repeated_spans(c: Column, times: int = 3) -> Column:
+def collapse_repeated_spans(c: Column) -> Column:
     """An entity span that follows on itself once only."""
-    for _ in range(times):
-        c = F.regexp_replace(c, r"(?U)(ENTITY_[A-Z]+\s+\w+\s+END)(\s+\1)+", "$1")
-    return c
+    return F.regexp_replace(c, r"(?U)(ENTITY_[A-Z]+\s+\w+\s+END)\s+(?=\1)", "")
 
 
 def metadata_to_end(c: Column) -> Column:

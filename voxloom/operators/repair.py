@@ -57,7 +57,7 @@ def salvage_entities(line: Column) -> Column:
 
 def from_error_log(line: Column) -> Column:
     """struct(text, duration) of a logged line: annotated_sentence before text; the last duration, or 0."""
-    pick = lambda k: F.nullif(F.regexp_extract(line, rf'"{k}"\s*:\s*"((?:[^"\\]|\\.)*)"', 1), F.lit(""))
+    pick = lambda k: F.nullif(F.regexp_extract(line, rf'(?s)"{k}"\s*:\s*"(.*?)(?<!\\)"', 1), F.lit(""))
     durations = F.regexp_extract_all(line, F.lit(r'"duration"\s*:\s*([0-9.]+)'), 1)
     return F.struct(F.coalesce(pick("annotated_sentence"), pick("text")).alias("text"), F.coalesce(F.try_element_at(durations, F.lit(-1)).cast("double"), F.lit(0.0)).alias("duration"))
 

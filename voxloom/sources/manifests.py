@@ -31,7 +31,7 @@ def read_json_values(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_keyed(spark: SparkSession, path: str, record: str) -> DataFrame:
     """Files that hold one object of key to record: key and the record's columns."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(F.from_json("value", f"map<string,struct<{record}>>")).alias("key", "record")).select("key", "record.*")
 
 
@@ -85,7 +85,7 @@ def read_speech_list(spark: SparkSession, scp: str, transcripts: str, speakers:
 
 def read_text_files(spark: SparkSession, path: str, first_line: bool = False) -> DataFrame:
     """file and text of one-transcript files: the whole, or the first line alone."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     text = F.split_part("value", F.lit("\n"), F.lit(1)) if first_line else F.col("value")
     return rows.select(F.col("_metadata.file_path").alias("file"), F.trim(text).alias("text"))
 

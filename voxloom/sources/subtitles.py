@@ -33,5 +33,5 @@ def parse_cues(text: Column) -> Column:
 
 def read_vtt(spark: SparkSession, path: str) -> DataFrame:
     """file, pos, start, end, text of each cue."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("file"), F.inline(parse_cues(F.col("value"))))
