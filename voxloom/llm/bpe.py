@@ -35,19 +35,34 @@ class Codec:
         self.prefixes: dict[bytes, tuple[int, ...]] = {}
         #: Every suffix of a token that merges reach, to that token's id or -1: a miss ends the search for longer tokens.
         self.suffixes: dict[bytes, int] = {}
+        #: The right and left edges of a token's merges: (bytes, rank of the merge that takes them up, that of the merge that made them) from the token down to a byte.
+        self.right: dict[int, list[tuple[bytes, float, int]]] = {}
+        self.left: dict[int, list[tuple[bytes, float, int]]] = {}
+        parts_of = {}
         for b, i in ranks.items():
-            if len(b) == 1 or self.merged(b) == [i]:
+            parts = self.merged(b, 2)
+            if len(b) == 1 or len(parts) == 2:
+                parts_of[i] = parts
                 for k in range(1, len(b)):
                     self.suffixes.setdefault(b[k:], -1)
                 self.suffixes[b] = i
+        for i in parts_of:
+            for side, edges in ((-1, self.right), (0, self.left)):
+                at, up, edge = i, float("inf"), []
+                while True:
+                    edge.append((self.bytes_of[at], up, at if len(self.bytes_of[at]) > 1 else -1))
+                    if len(parts_of[at]) < 2:
+                        break
+                    at, up = parts_of[at][side], at
+                edges[i] = edge
         self.cache = tokens.ChunkCache(self._chunk, limit)
         self.decoded = tokens.TwoAges(lambda part: b"".join(self.bytes_of[int(i)] for i in part.split(b",") if i), limit)
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Plain merging by rank, for pairs of tokens only."""
+    def merged(self, piece: bytes, stop: int = 1) -> list[int]:
+        """Plain merging by rank until stop parts are left, for what tokens are made of."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = self.ranks
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 r = ranks.get(parts[i] + parts[i + 1])
@@ -62,9 +77,18 @@ class Codec:
         if (known := self.pairs.get(a << 24 | b)) is None:
             if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
-            known = self.pairs[a << 24 | b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            known = self.pairs[a << 24 | b] = self._stays(a, b)
         return known
 
+    def _stays(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of a and b gives a and b: no merge across their border comes before the merges that take up its two sides."""
+        ranks = self.ranks
+        for x, x_up, x_made in self.right[a]:
+            for y, y_up, y_made in self.left[b]:
+                if x_made < y_up and y_made <= x_up and (r := ranks.get(x + y)) is not None and max(r, x_made, y_made) < x_up and max(r, x_made, y_made) <= y_up:
+                    return False
+        return True
+
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
         """Fill in the last tokens of the prefixes of data up to upto bytes; last[i] belongs to the prefix of i + 1 bytes."""
         suffixes, pairs = self.suffixes.get, self.pairs.get
@@ -93,17 +117,27 @@ class Codec:
         """Ids of one pre-token; a piece that is a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        n = len(piece)
-        at = next((k for k in STOPS if k < n and piece[:k] in self.prefixes), 0)
-        last = list(self.prefixes[piece[:at]]) if at else []
-        for k in STOPS[::-1]:
-            if at < k < n:
-                self.extend(piece, last, k)
-                if len(self.prefixes) >= self.limit:
-                    self.prefixes.clear()
-                self.prefixes[piece[:k]] = tuple(last)
+        n, prefixes = len(piece), self.prefixes
+        for at in STOPS:
+            if at < n and (known := prefixes.get(piece[:at])) is not None:
+                last = list(known)
+                break
+        else:
+            at, last = 0, []
         self.extend(piece, last, n)
-        return self.walk(last)
+        if n > STOPS[-1]:
+            if len(prefixes) >= self.limit:
+                prefixes.clear()
+            for k in STOPS:
+                if at < k < n:
+                    prefixes[piece[:k]] = tuple(last[:k])
+        out, at, bytes_of = [], n, self.bytes_of
+        while at:
+            token = last[at - 1]
+            out.append(token)
+            at -= len(bytes_of[token])
+        out.reverse()
+        return out
 
     def _piece(self, piece: str) -> bytes:
         return b",".join([b"%d" % i for i in self.encode_piece(piece.encode())])
