@@ -192,6 +192,6 @@ def document_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sequences = common.map_batches(src, kernel, f"id long, items array<{ITEM}>")
-    described = describe_media(store_media(df, text_col))
+    described = common.staged(describe_media(store_media(df, text_col)), "described")  # so that the join's own exchange can split a hot digest
     rows = resolve(sequences, described, "id", DESCRIBED).where("kind = 'audio'")
     return rows.select(F.col("id").alias(id_col), F.col("text").cast("long").alias("n_bytes"), *DESCRIBED)
