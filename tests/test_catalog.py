@@ -10,7 +10,7 @@ import pytest
 from voxloom import catalog
 
 SF = "/root/testdata/sf0.001"
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
 QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
