@@ -63,7 +63,7 @@ def test_top_k_is_exact(spark):
     rows += [(300, None, 1), (301, [1.0, None, 1.0, 1.0, 1.0, 1.0], 1), (302, [float("nan")] * 6, 1), (303, [float("inf")] * 6, 1), (None, [1.0] * 6, 1), (400, [1.0, 2.0], 1), (500, [0.0] * 6, 1), (501, [3.0, 4.0], 1)]
     rows += [rows[1], rows[1]] + [(600 + i, rows[2][1], 1) for i in range(15)]  # repeated rows and ties
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
-    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 100 = 0"), 4, bucket_rows=16, query_rows=2).collect())
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 100 = 0"), 4, bucket_rows=16, query_bytes=96).collect())
     good = {(i, tuple(integers(v))) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(v).all()}
     want = []
     for q in sorted({i for i, _ in good if i % 100 == 0}):

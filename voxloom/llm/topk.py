@@ -79,9 +79,9 @@ class Block:
 class Search:
     """The k best of one block of queries so far; see(block) goes on with one bucket."""
 
-    def __init__(self, queries: Block, k: int, least: np.ndarray | None = None):
+    def __init__(self, queries: Block, k: int):
         self.q, self.k = queries, k
-        self.least = np.full(queries.n, -np.inf) if least is None else least.copy()
+        self.least = np.full(queries.n, -np.inf)
         self.real = queries.real()
         self.unit = self.real / np.maximum(queries.norms, 1e-300)[:, None]
         self.focus = np.abs(self.unit).argmax(axis=1)
@@ -134,7 +134,7 @@ class Search:
                 self._take(block, rows, columns, self._products(block, real, rows, columns))
 
 
-def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", bucket_rows: int = 4096, query_rows: int = 8192) -> DataFrame:
+def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", bucket_rows: int = 4096, query_bytes: int = 64 << 20) -> DataFrame:
     """query_id, rank (from 1), the candidate's id, score: the k largest integer inner products of every query with rows of other ids.
 
     Ties go to the smaller id. Null vectors, ids and components, non-finite ones and empty vectors take no part; vectors are
@@ -143,34 +143,39 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_
     """
     spark = df.sparkSession
     vectors = common.staged(_integers(df, id_col, vector_col, scale), "vectors")
-    n = vectors.count()
+    n, dim = vectors.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    bucket_rows = max(1, min(bucket_rows, (32 << 20) // (8 * dim)))
+    query_rows = max(1, query_bytes // (8 * dim))
     parts = max(1, min(-(-n // bucket_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     by_length = vectors.repartitionByRange(parts, "dim", F.desc("norm"), "id", F.xxhash64("data")).sortWithinPartitions("dim", F.desc("norm"), "id", "data")
     buckets = common.staged(_pack(by_length, bucket_rows), "buckets")
     asked = _integers(queries, id_col, vector_col, scale).dropDuplicates(["id", "data"])
     asked = common.staged(asked, "queries")
     rounds = -(-asked.count() // query_rows)
-    seeds = [Block(r.asDict()) for r in buckets.groupBy("dim").agg(F.max_by(F.struct("dim", "n", "longest", "ids", "norms", "data"), F.struct("longest", "n")).alias("b")).select("b.*").limit(64).collect()]  # one block for each dimension
+    seeds = [r.asDict() for r in buckets.groupBy("dim").agg(F.max_by(F.struct("dim", "n", "longest", "ids", "norms", "data"), F.struct("longest", "n")).alias("b")).select("b.*").limit(64).collect()]  # one block for each dimension
     out = None
     for i in range(rounds):
         part = asked.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(rounds)) == i).orderBy("dim", F.desc("norm"))
-        searches = []
         rows: dict[int, list] = {}
-        for r in part.toLocalIterator():
+        for r in part.toLocalIterator():  # at most about query_bytes
             rows.setdefault(r["dim"], []).append(r)
+        blocks = []
         for dim, group in rows.items():
             for at in range(0, len(group), 2048):
                 some = group[at : at + 2048]
-                block = Block({"n": len(some), "dim": dim, "longest": some[0]["norm"], "ids": np.array([r["id"] for r in some], np.int64).tobytes(), "norms": np.array([r["norm"] for r in some]).tobytes(), "data": b"".join(r["data"] for r in some)})
-                search = Search(block, k)
-                for seed in seeds:
-                    search.see(seed)
-                searches.append((block, search.least))
-        shared = spark.sparkContext.broadcast(searches)
+                blocks.append({"n": len(some), "dim": dim, "longest": some[0]["norm"], "ids": np.array([r["id"] for r in some], np.int64).tobytes(), "norms": np.array([r["norm"] for r in some]).tobytes(), "data": b"".join(r["data"] for r in some)})
+        shared = spark.sparkContext.broadcast((blocks, seeds))
 
         def scan(batches, shared=shared):
-            own = [Search(block, k, least) for block, least in shared.value]
+            own = []
             for batch in batches:
+                if not own:
+                    asked, first = shared.value
+                    own = [Search(Block(b), k) for b in asked]
+                    for search in own:  # thresholds from the longest bucket, whose own task gives its rows
+                        for seed in first:
+                            search.see(Block(seed))
+                        search.found = (np.empty(0, np.int64),) * 3
                 for row in batch.to_pylist():
                     bucket = Block(row)
                     for search in own:
