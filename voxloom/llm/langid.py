@@ -137,8 +137,8 @@ def identify(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: st
     return said.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"), F.col("said.shares").alias("shares"))
 
 
-def keep_known(df: DataFrame, model: Mixture, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows, with their columns as they are, whose language is known with at least this score."""
+def keep_known(df: DataFrame, model: Mixture, text_col: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows, with their columns as they are, whose language is known with at least this score. The threshold is low, since a clean text may mix languages evenly."""
     name = common.free_name(df.columns, "said")
     out = df.withColumn(name, predict(model, df.sparkSession, F.col(text_col)))
     return out.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.score") >= least)).select(*[F.col(f"`{c}`") for c in df.columns])
