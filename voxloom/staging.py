@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a folder of our own where it is unset, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
         path = "file://" + tempfile.mkdtemp(prefix="voxloom-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -18,6 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, label: str = "t") -> DataFrame:
+    """df written as Parquet and read back: a short lineage that survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/voxloom/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
