@@ -1,45 +1,19 @@
-"""Helpers that the training-data operators share: staging in the shared folder, Arrow batch maps, checked broadcasts."""
+"""Helpers that the training-data operators share: Arrow batch maps, checked broadcasts, free names; tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.staging import shared_dir, staged  # noqa: F401  operators take them from here
+
 #: A table is broadcast only if it has at most this many rows (of a few dozen bytes each).
 BROADCAST_ROWS = 200_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="voxloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def staged(df: DataFrame, label: str = "t") -> DataFrame:
-    """Write df as Parquet under the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.staged_path = path
-    return out
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the table of a staged frame that no result depends on any more."""
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.staged_path)
-    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch may hold, so that very long texts do not fill a Python worker."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
