@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -104,12 +105,28 @@ def page(df: DataFrame, order: list[str], skip: int, most: int) -> DataFrame:
 
 
 def until_unique(df: DataFrame, batch: str, item: str, wanted: int) -> DataFrame:
-    """Items of batches in order until at least wanted different ones are there: an item counts for its first batch."""
+    """Items of batches in order until at least wanted different ones are there: an item counts for its first batch.
+
+    Every batch that counts brings a new item, so the first wanted of them are enough, and no ordered pass over all batches is made.
+    """
     first = df.groupBy(item).agg(F.min(batch).alias(batch))
-    sizes = first.groupBy(batch).agg(F.count("*").alias("n"))  # one row per batch
+    sizes = first.groupBy(batch).agg(F.count("*").alias("n")).orderBy(batch).limit(wanted)
     before = F.sum("n").over(Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1))
     keep = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < wanted).select(batch)
-    return first.join(keep, batch, "left_semi")
+    return first.join(F.broadcast(keep), batch, "left_semi")
+
+
+def number_rows(df: DataFrame, order: list[str], name: str = "row") -> DataFrame:
+    """Rows numbered from 1 in a total order, without bringing them to one task.
+
+    Rows are range-partitioned and written; the driver adds up one count for each partition, and each partition numbers its own rows.
+    """
+    ranged = staged(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    counts = sorted(tuple(r) for r in ranged.groupBy("_part").agg(F.count("*")).collect())
+    offsets = list(zip((p for p, _ in counts), accumulate((n for _, n in counts), initial=0)))
+    table = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_own", own).join(F.broadcast(table), "_part").withColumn(name, F.col("_before") + F.col("_own")).drop("_part", "_own", "_before")
 
 
 def ordered_batches(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:

@@ -403,7 +403,7 @@ def removed_log(spark, sf_dir):
 
 @query("batch_numbers", "SELECT page_id, (row_number() OVER (ORDER BY page_id) - 1) // 100 + 1 AS batch FROM pages")
 def batch_numbers(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", sinks.batch_number(["page_id"], 100).alias("batch"))
+    return sinks.batch_numbers(table(spark, sf_dir, "pages").select("page_id"), ["page_id"], 100)
 
 
 @query("relocate", "SELECT page_id, CASE WHEN page_id IN (SELECT doc_id FROM labels) THEN 'new/' || page_id || '.wav' ELSE 'old/' || page_id || '.wav' END AS new_path FROM pages")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.paths import basename
+from voxloom.operators.windows import number_rows
 
 
 def write_json_lines(df: DataFrame, path: str, keep_nulls: bool = False, mode: str = "overwrite") -> None:
@@ -50,9 +51,9 @@ def removed_rows(df: DataFrame, kept: Column, path: str = "audio_filepath", text
     return df.where(~F.coalesce(kept, F.lit(False))).select(path, F.substring(text, 1, sample).alias("sample"))
 
 
-def batch_number(order: list[str], size: int) -> Column:
-    """Number of the batch of a row, from 1. One ordered pass: for inputs that fit the order of one job's output; use batch_files for large ones."""
-    return (F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size) + 1).cast("long")
+def batch_numbers(df: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Rows with batch, the number from 1 of their batch of size rows in a total order."""
+    return number_rows(df, order, "_row").withColumn("batch", F.expr(f"(_row - 1) div {size} + 1")).drop("_row")
 
 
 def batch_requests(df: DataFrame, key: str, text: str, size: int, model: str, prompt: str) -> DataFrame:
