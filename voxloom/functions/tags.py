@@ -1,6 +1,6 @@
 """Inline tags of transcripts as Column expressions: ENTITY_X phrase END spans and AGE_, GER_, GENDER_, EMOTION_, INTENT_ suffixes.
 
-Every function takes and returns a Column; null stays null. (?U) gives \\w, \\b and \\s their Unicode meaning.
+Tag families, patterns and word lists are fixed values of this format. Every function takes and returns a Column; null stays null. (?U) gives \\w, \\b and \\s their Unicode meaning.
 Rules whose replacement depends on what was matched are Arrow UDFs (see text_rule); all others stay in the JVM.
 """
 
