@@ -37,7 +37,8 @@ def balanced(line: Column) -> Column:
 
 def repaired(line: Column) -> Column:
     """The line itself if it parses, else the first repair that does; null if none does."""
-    return F.coalesce(*[F.when(parses(x), x) for x in (line, duration_inside(line), balanced(line))])
+    closed = balanced(line)
+    return F.coalesce(F.when(parses(line), line), duration_inside(line), F.when(parses(closed), closed))
 
 
 def split_concatenated(df: DataFrame, value: str = "value") -> DataFrame:
