@@ -324,6 +324,22 @@ def test_languages_are_learned_and_mixtures_found(spark, empty):
     assert langid.identify(empty, nothing).count() == 0 and nothing.infer(b"text")[0] == "und"
 
 
+def test_texts_that_fit_no_learned_language_are_rejected(spark):
+    rng = random.Random(14)
+    own = {k: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(40)] for k, letters in zip("pqrst", ("abcdef", "ghijkl", "mnopqr", "stuvwx", "yzäöüß"))}
+    say = {k: lambda n, words=words: " ".join(rng.choice(words) for _ in range(n)) for k, words in own.items()}
+    rows = [(i, say["pqrst"[i % 5]](40), "pqrst"[i % 5]) for i in range(300)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    four, five = (" ".join(say[k](40) for k in ks) for ks in ("pqrs", "pqrst"))
+    foreign = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(80))
+    unlearned = speech(rng, "bb", 80)
+    left = spark.createDataFrame([(1, four), (2, five), (3, foreign), (4, unlearned), (5, say["p"](3)), (6, foreign + " " + unlearned), (7, say["q"](300) + " " + unlearned[:60])], "doc_id long, text string")
+    assert {r["doc_id"] for r in langid.keep_known(left, model).collect()} == {1, 2, 5, 7}
+    lang, score, fit, shares = model.assess(five.encode())
+    assert set(shares) == set("pqrst") and fit > 0.9 and abs(score - max(shares.values()) * fit) < 1e-9
+    assert model.infer(unlearned.encode())[1] < 0.2 and model.infer(say["r"](40).encode())[1] > 0.8
+
+
 def test_prediction_ignores_held_out_labels(spark):
     rng = random.Random(4)
     rows = [(i, speech(rng, "aa" if i % 2 else "bb", 30), "aa" if i % 2 else "bb") for i in range(200)]

@@ -2,9 +2,14 @@
 
 Each learned language is a smoothed distribution over hashed byte trigrams of letters (case folded for A-Z, everything
 between letters is one space). A document is a mixture: EM estimates the shares of the languages from the likelihoods
-of its trigrams. Sets of the 1, 2, ... most likely languages are fitted in turn, and the set with the best likelihood
-less a penalty for each language (half the log of the number of trigrams, times a factor) is selected; the language with
-the largest share in it is predicted, and that share, times how much better than chance the text fits, is the score.
+of its trigrams. Sets of the 1, 2, ... most likely languages are fitted in turn for as long as the likelihood less a
+penalty for each language (half the log of the number of trigrams, times a factor) grows; nothing else bounds the set.
+The language with the largest share in it is predicted.
+
+The fit of a text is absolute: what a trigram of it gains over chance (all trigrams alike) under the selected mixture, as a
+part of what the fitted documents of these languages would gain in these shares, from 0 to 1. Texts in languages that
+were never learned and letter noise have a fit near 0, even mixes of learned languages one near 1. The score is the
+largest share, times the fit and, for a text in one language, the certainty that it isn't the next best one.
 
 The models are fitted on a bounded sample: about fit_rows labelled rows of each language, picked by a hash of the id.
 """
@@ -42,12 +47,14 @@ def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Mixture:
-    """Fitted models; infer(text) gives (language, score, shares of the selected languages)."""
+    """Fitted models; assess(text) gives (language, score, fit, shares of the selected languages), infer(text) leaves out the fit."""
 
     def __init__(self, langs: list[str], counts: np.ndarray, penalty: float = 4.0, rounds: int = 12):
         self.langs, self.penalty, self.rounds = langs, penalty, rounds
         smooth = counts + 0.5
         self.prob = smooth / smooth.sum(axis=1, keepdims=True)
+        #: What a trigram of the fitted documents gains over chance, by language.
+        self.usual = (counts * np.log(self.prob * counts.shape[1])).sum(axis=1) / np.maximum(counts.sum(axis=1), 1)
 
     def _em(self, p: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
         w = np.full(len(p), 1 / len(p))
@@ -57,30 +64,40 @@ class Mixture:
             w /= w.sum()
         return float((n * np.log(w @ p)).sum()), w
 
+    def _fit(self, ll: float, chosen: list[int], w: np.ndarray) -> float:
+        """The gain over chance of a log-likelihood per trigram, as a part of the usual one of a mixture, whose choice of languages costs its entropy at most."""
+        gain, some = ll + math.log(self.prob.shape[1]), w[w > 0]
+        return min(1.0, max(0.0, gain / max(1e-9, float((w * self.usual[chosen]).sum() + (some * np.log(some)).sum()))))
+
     def infer(self, text: bytes | None) -> tuple[str, float, dict[str, float]]:
+        lang, score, _, shares = self.assess(text)
+        return lang, score, shares
+
+    def assess(self, text: bytes | None) -> tuple[str, float, float, dict[str, float]]:
         if not text or not self.langs or not _LETTER.search(text.decode()):
-            return "und", 0.0, {}
+            return "und", 0.0, 0.0, {}
         at, n = trigrams(text)
         if not len(at):
-            return "und", 0.0, {}
+            return "und", 0.0, 0.0, {}
         p, total = self.prob[:, at], int(n.sum())
         order = np.argsort(-self._em(p, n)[1], kind="stable")
         single = (n * np.log(p)).sum(axis=1)
         best_one = int(np.argmax(single))
         order = [best_one, *(i for i in order.tolist() if i != best_one)]
-        best = (-math.inf, [], None)
-        for k in range(1, min(len(order), 4) + 1):
+        best = (-math.inf, [], None, 0.0)
+        for k in range(1, len(order) + 1):
             chosen = order[:k]
             ll, w = self._em(p[chosen], n)
             value = ll - self.penalty * k * 0.5 * math.log(total + 1)
             if value <= best[0]:
                 break
-            best = (value, chosen, w)
-        _, chosen, w = best
+            best = (value, chosen, w, ll)
+        _, chosen, w, ll = best
         top = max(range(len(chosen)), key=lambda i: (w[i], -chosen[i]))
         gain = (single[chosen[top]] - np.delete(single, chosen[top]).max()) if len(self.langs) > 1 and len(chosen) == 1 else 0.0
         sure = 1 / (1 + math.exp(-min(50.0, max(-50.0, gain)))) if len(chosen) == 1 and len(self.langs) > 1 else 1.0
-        return self.langs[chosen[top]], min(1.0, max(0.0, float(w[top]) * sure)), {self.langs[c]: float(x) for c, x in zip(chosen, w)}
+        fit = self._fit(ll / total, chosen, w)
+        return self.langs[chosen[top]], min(1.0, max(0.0, float(w[top]) * sure * fit)), fit, {self.langs[c]: float(x) for c, x in zip(chosen, w)}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -119,16 +136,17 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
 
 def predict(model: Mixture, spark, text: Column) -> Column:
-    """struct(lang, score, shares) of a text column; null, empty or letterless texts are und with score 0."""
+    """struct(lang, score, fit, shares) of a text column; null, empty or letterless texts are und with score 0."""
     shared = spark.sparkContext.broadcast(model)
     common.small_batches(spark)
 
-    @F.arrow_udf("struct<lang:string,score:double,shares:map<string,double>>")
-    def infer(texts: pa.Array) -> pa.Array:
-        found = [shared.value.infer(t) for t in common.utf8(texts)]
-        return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([list(f[2].items()) for f in found], pa.map_(pa.string(), pa.float64()))], ["lang", "score", "shares"])
+    @F.arrow_udf("struct<lang:string,score:double,fit:double,shares:map<string,double>>")
+    def assess(texts: pa.Array) -> pa.Array:
+        found = [shared.value.assess(t) for t in common.utf8(texts)]
+        columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+        return pa.StructArray.from_arrays([*columns, pa.array([list(f[3].items()) for f in found], pa.map_(pa.string(), pa.float64()))], ["lang", "score", "fit", "shares"])
 
-    return infer(text.cast("string"))
+    return assess(text.cast("string"))
 
 
 def identify(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,8 +155,8 @@ def identify(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: st
     return said.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"), F.col("said.shares").alias("shares"))
 
 
-def keep_known(df: DataFrame, model: Mixture, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows, with their columns as they are, whose language is known with at least this score. The threshold is low, since a clean text may mix languages evenly."""
+def keep_known(df: DataFrame, model: Mixture, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows, with their columns as they are, whose text fits the learned languages at least so well; it may mix any number of them evenly."""
     name = common.free_name(df.columns, "said")
     out = df.withColumn(name, predict(model, df.sparkSession, F.col(text_col)))
-    return out.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.score") >= least)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.fit") >= least)).select(*[F.col(f"`{c}`") for c in df.columns])
