@@ -417,6 +417,18 @@ def test_packing_places_every_id_once(spark, docs, empty):
     assert packing.pack_documents(empty, PLAIN).count() == 0
 
 
+def test_packing_matches_added_tokens_in_texts(spark):
+    tk, rng, end = Tokenizer.from_file(PLAIN), random.Random(21), "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, f"x{end}{end} {end}\n\n  {end}  ", "<|endoftext|", f"b <{end}>", f"é{end} é", "<|ENDOFTEXT|>"]
+    texts += [end.join(odd_texts(rng.randint(1, 4), i, 12)) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in sorted(packing.pack_documents(df, PLAIN).collect(), key=lambda r: r["start"]):
+        found.setdefault(r["doc_id"], []).extend(r["ids"])
+    assert found[0] == [64, 220, 50256, 275, 1]
+    assert found == {i: tk.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+
+
 def test_packer_fills_windows_and_groups_balance():
     rng = random.Random(1)
     p, windows = packing.Packer(), []

@@ -115,8 +115,8 @@ def step_groups(sizes: list[int], step_tokens: int) -> list[int]:
 def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_id: int = 1, tiers=TIERS, step_tokens: int = 1 << 16, round_docs: int = 2000, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, ids (if keep_ids).
 
-    A document is the ids of its text, special tokens' strings being ordinary text, and then end_id; a null or empty text
-    is end_id alone. Every id lies in one piece; offsets of a sequence are without gaps. Sequences are as long as a tier,
+    A document is the ids of its text and then end_id; a null or empty text is end_id alone. The vocabulary's added tokens
+    are matched in texts and keep their ids, as tokenizers does by default. Every id lies in one piece; offsets of a sequence are without gaps. Sequences are as long as a tier,
     but for at most one of each power of two in a partition. Rows with equal or null ids are documents of their own,
     told apart by their pieces alone. step_group: groups of about step_tokens tokens for one training step. vocabulary:
     a path on the driver. Other columns are not read.
@@ -129,6 +129,12 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=tokens.load_ranks(data.value), special_tokens={})
         cache = tokens.ChunkCache(lambda chunk: array("I", encoding.encode_ordinary(chunk.decode())).tobytes())
+        added = {text: array("I", [i]).tobytes() for text, i in tokens.load_added(data.value).items()}
+        by_added = tokens.splitter(added)
+
+        def ids_of(text: bytes) -> bytes:
+            return b"".join([x for i, part in enumerate(by_added.split(text)) for x in ((added[part],) if i % 2 else cache.values_of(part))])
+
         end, base = array("I", [end_id]).tobytes(), TaskContext.get().partitionId() << 36
         packer, docs, next_doc, sequence, group = Packer(tiers), {}, 0, base, base
 
@@ -161,7 +167,7 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
         windows, waiting = [], 0
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), common.utf8(batch.column(1))):
-                ids = b"".join(cache.values_of(text or b"")) + end
+                ids = ids_of(text or b"") + end
                 docs[next_doc] = name, ids, len(ids) // 4
                 packer.add(len(ids) // 4, next_doc, 0, windows)
                 next_doc, waiting = next_doc + 1, waiting + len(ids)

@@ -38,6 +38,19 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
     return {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+def load_added(data: bytes) -> dict[bytes, int]:
+    """Texts of added tokens, as UTF-8, to ids: a tokenizer's JSON has them matched in texts before all else; a rank file has none."""
+    added = json.loads(data)["added_tokens"] if data.lstrip().startswith(b"{") else []
+    if odd := [x["content"] for x in added if x.get("lstrip") or x.get("rstrip") or x.get("single_word")]:
+        raise ValueError(f"added tokens that match by what is around them: {odd}")
+    return {x["content"].encode(): x["id"] for x in added if x["content"]}
+
+
+def splitter(added: dict[bytes, int]) -> re.Pattern:
+    """Splits a text by its added tokens, the leftmost and of these the longest first; each second part is a token."""
+    return re.compile(b"(" + b"|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + b")" if added else b"((?!))")
+
+
 class Irregular(Exception):
     """A space that white space or nothing follows: the text needs the slower split."""
 
