@@ -256,6 +256,29 @@ def test_pages_become_aligned_sequences(spark):
     assert got == [(1, 1, "A cat", 5), (1, 3, "alt & text", None)]
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<head><title>x</title><body><p>text", ["text"]),
+    ("<html><head><meta charset=utf-8><noscript><img src=pixel></noscript><title>x</title><style>p {}</style><p>text</p></html>", ["text"]),
+    ("<head><title>x</title>bare text", ["bare text"]),
+    ("<head><title>x</title></head><nav>menu</nav><p>a</p><nav>links<p>b</p></body>", ["a", "links", "b"]),
+    ("<template><nav>x</template><p>a</p>", ["a"]),
+    ("<p>a<script src='x'/><p>b", ["a", "b"]),
+    ("<p>a</p><script>var b = '<p>c</p>'", ["a"]),
+    ("<figure><img src=i><figcaption>A cat<p>b</p><p>c", [("i", "A cat"), "b", "c"]),
+    ("<figure><img src=i><figcaption>A cat</figure><p>b", [("i", "A cat"), "b"]),
+    ("<figure><img src=i><figcaption><p>A</p><p>cat</p></figcaption></figure>b", [("i", "A cat"), "b"]),
+    ("<figure><table><tr><td>1</td></tr></table><figcaption>Table</figcaption></figure>b", ["1", "Table", "b"]),
+    ("a<figcaption>alone</figcaption>b", ["a", "alone", "b"]),
+    ("<figure><img src=i><figcaption>one<figure><img src=j><figcaption>two</figcaption></figure>b", [("i", "one"), ("j", "two"), "b"]),
+    ("<figure><figure><img src=i><figcaption>in</figcaption></figure><img src=j><figcaption>out</figcaption></figure>", [("i", "in"), ("j", "out")]),
+    ("<figure><img src=i><figcaption>A</figcaption><p>b</p><img src=j alt=c>", [("i", "A"), "b", ("j", "c")]),
+])
+def test_pages_with_omitted_end_tags_keep_their_content(page, want):
+    items = media.parse_items(page)
+    assert [(x["src"], x["caption"]) if x["src"] else x["text"] for x in items] == want
+    assert [x["pos"] for x in items] == list(range(len(items)))
+
+
 # 6
 
 

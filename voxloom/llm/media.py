@@ -23,66 +23,126 @@ from pyspark.sql import functions as F
 from . import common
 
 ITEM = "struct<pos:int,kind:string,text:string,src:string,caption:string>"
-#: Elements whose text is not content, those that end a run of text, and those that refer to media.
+#: Elements whose text is not content, what a head holds (anything else ends it), elements that end a run of text, and those that refer to media.
 SKIPPED = frozenset(("script", "style", "head", "nav", "template"))
+HEAD = frozenset(("html", "head", "title", "base", "link", "meta", "script", "style", "noscript", "template"))
 BLOCKS = frozenset(("p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "br", "figure", "figcaption", "blockquote", "pre", "header", "footer"))
 MEDIA = {"img": "image", "audio": "audio", "video": "video", "source": "media"}
 
 
 class _Items(HTMLParser):
-    def __init__(self):
+    """Items of a page. Elements whose places are in unclosed have no end tag: they are not skipped, and a caption among them ends at the next block."""
+
+    def __init__(self, unclosed: frozenset):
         super().__init__(convert_charrefs=True)
-        self.items, self.run, self.skip, self.figure, self.caption, self.in_caption = [], [], [], None, [], False
+        self.unclosed, self.found = unclosed, set()
+        self.items, self.run, self.skip, self.figures, self.caption = [], [], [], [], None
 
     def flush(self):
         if text := " ".join("".join(self.run).split()):
             self.items.append({"kind": "text", "text": text, "src": None, "caption": None})
         self.run = []
 
+    def end_head(self):
+        if self.skip and self.skip[-1][0] == "head":
+            self.skip.pop()
+
+    def end_caption(self):
+        self.caption = None
+
+    def end_figure(self, closed: bool):
+        """Give the caption of the innermost figure to its media, or make it a text where it stands. A figure without an end tag has the media before its caption, or else the next one."""
+        self.end_caption()
+        start, at, said = self.figures.pop()
+        if not (said := " ".join("".join(said).split())):
+            return
+        media = [i for i in range(start, len(self.items)) if self.items[i]["src"] and not self.items[i].get("taken")]
+        if not closed:
+            media = [i for i in media if i < at] or media[:1]
+        for i in media:
+            self.items[i] |= {"caption": said, "taken": True}
+        if not media:
+            self.items.insert(at, {"kind": "text", "text": said, "src": None, "caption": None})
+            self.figures = [(f, a + (a is not None and a >= at), s) for f, a, s in self.figures]
+
     def handle_starttag(self, tag, attrs):
-        if tag in SKIPPED:
-            self.skip.append(tag)
+        if tag not in HEAD:
+            self.end_head()
+        if (tag in SKIPPED or tag in ("title", "noscript") and self.skip) and self.getpos() not in self.unclosed:
+            self.skip.append((tag, self.getpos()))
         if self.skip:
             return
         if tag in BLOCKS or tag in MEDIA:
             self.flush()
+        if self.caption is not None and tag in BLOCKS:
+            if tag in ("figure", "figcaption"):
+                self.found.add(self.caption)
+            if tag in ("figure", "figcaption") or self.caption in self.unclosed:
+                self.end_caption()
+            else:
+                self.figures[-1][2].append(" ")
         if tag == "figure":
-            self.figure, self.caption = len(self.items), []
-        elif tag == "figcaption":
-            self.in_caption = True
+            self.figures.append((len(self.items), None, []))
+        elif tag == "figcaption" and self.figures:
+            start, at, said = self.figures[-1]
+            self.figures[-1] = start, len(self.items) if at is None else at, [*said, " "]
+            self.caption = self.getpos()
         elif tag in MEDIA and (src := dict(attrs).get("src")):
             self.items.append({"kind": MEDIA[tag], "text": None, "src": src, "caption": dict(attrs).get("alt")})
 
-    handle_startendtag = handle_starttag
+    def handle_startendtag(self, tag, attrs):
+        if tag not in SKIPPED:
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
         if self.skip:
-            if tag == self.skip[-1]:
-                self.skip.pop()
+            for i in range(len(self.skip) - 1, -1, -1):
+                if self.skip[i][0] == tag:
+                    self.found |= {place for name, place in self.skip[i + 1 :]}
+                    del self.skip[i:]
+                    break
             return
-        if tag == "figcaption":
-            self.in_caption = False
-        elif tag in BLOCKS:
+        if tag in BLOCKS:
             self.flush()
-        if tag == "figure" and self.figure is not None:
-            if said := " ".join("".join(self.caption).split()):
-                for item in self.items[self.figure :]:
-                    if item["src"]:
-                        item["caption"] = said
-            self.figure = None
+        if tag == "figcaption":
+            self.end_caption()
+        elif self.caption is not None and tag in BLOCKS and tag != "figure":
+            if self.caption in self.unclosed:
+                self.end_caption()
+            else:
+                self.figures[-1][2].append(" ")
+        if tag == "figure" and self.figures:
+            self.end_figure(True)
 
     def handle_data(self, data):
+        if data.strip():
+            self.end_head()
         if not self.skip:
-            (self.caption if self.in_caption else self.run).append(data)
+            (self.run if self.caption is None else self.figures[-1][2]).append(data)
+
+    def end(self):
+        self.close()
+        self.flush()
+        self.found |= {place for name, place in self.skip if name not in ("head", "script", "style")} | ({self.caption} - {None})
+        while self.figures:
+            self.end_figure(False)
 
 
 def parse_items(page: str | None) -> list[dict]:
-    """Ordered items of one page; a null or empty page has none. Positions count from 0."""
-    parser = _Items()
-    parser.feed(page or "")
-    parser.close()
-    parser.flush()
-    return [{"pos": i, **item} for i, item in enumerate(parser.items)]
+    """Ordered items of one page; a null or empty page has none. Positions count from 0.
+
+    A head ends where something stands that it can't hold. A caption ends with its figure; one that no media item takes is a
+    text. Elements that are skipped, and captions in figures, are told from a first reading to have no end tag: what
+    follows them is content. Only script and style last to the end of the page then, as HTML has it.
+    """
+    unclosed = frozenset()
+    while True:
+        parser = _Items(unclosed)
+        parser.feed(page or "")
+        parser.end()
+        if parser.found <= unclosed:
+            return [{"pos": i, **{k: v for k, v in item.items() if k != "taken"}} for i, item in enumerate(parser.items)]
+        unclosed |= parser.found
 
 
 def parse_sequences(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
