@@ -279,6 +279,20 @@ def test_pages_with_omitted_end_tags_keep_their_content(page, want):
     assert [x["pos"] for x in items] == list(range(len(items)))
 
 
+def test_resolved_sequences_are_put_together_again(spark):
+    page = "<p>a</p><img src='sha256:aa'>b<img src='x.png'><img src='sha256:bb' alt='c'>"
+    rows = [(1, page), (1, page), (2, None), (3, ""), (None, "<p>d"), (None, "")]
+    seq = media.parse_sequences(spark.createDataFrame(rows, "page_id long, html string"), "page_id", "html")
+    store = spark.createDataFrame([("aa", 5)], "digest string, media_bytes long")
+    out = media.resolve_sequences(seq, store, "page_id", ["media_bytes"])
+    assert out.columns == ["page_id", "items"]
+    whole = [(0, "a", None, None), (1, None, "sha256:aa", 5), (2, "b", None, None), (3, None, "x.png", None), (4, None, "sha256:bb", None)]
+    got = [(r["page_id"], [(i["pos"], i["text"], i["src"], i["media_bytes"]) for i in r["items"]]) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(1, whole), (1, whole), (2, []), (3, []), (None, [(0, "d", None, None)]), (None, [])], key=str)
+    bare = media.resolve(seq.withColumn("items", F.expr("if(page_id = 2, null, items)")), store, "page_id", ["media_bytes"])
+    assert sorted((str(r["page_id"]) for r in bare.where("pos is null").collect())) == ["2", "3", "None"]
+
+
 # 6
 
 

@@ -2,7 +2,7 @@
 
 HTML is parsed into an ordered array of items: texts and media references (src, caption). References of the form
 sha256:<hex> are joined by digest with what a media store holds, and the items are put together again by
-position, so that positions, captions and payloads stay aligned. The store keeps payloads as 8-bit mono WAV files;
+position (resolve_sequences), so that positions, captions and payloads stay aligned. The store keeps payloads as 8-bit mono WAV files;
 its descriptions are computed from the stored bytes as they are read back.
 """
 
@@ -220,16 +220,27 @@ DESCRIBED = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "me
 
 
 def resolve(sequences: DataFrame, media: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """One row per item of the sequences, with the columns of media whose digest its src names (null if none does).
+    """One row per item of the sequences, with the columns of media whose digest its src names (null if none does); a sequence without items has one row, whose pos is null.
 
     media has one row per digest. A digest that a third of all items name is one key of a shuffled join whose large
-    partitions AQE splits; nothing is gathered by digest. Items keep pos and caption, so a sequence can be put together
-    again with sort_array(collect_list(struct(pos, ...))) where its length is bounded.
+    partitions AQE splits; nothing is gathered by digest. Items keep pos and caption; resolve_sequences puts them together again.
     """
-    items = sequences.select(F.col(id_col).alias("id"), F.explode("items").alias("item")).select("id", "item.*", F.when(F.col("item.src").startswith("sha256:"), F.substring("item.src", 8, 64)).alias("digest"))
+    items = sequences.select(F.col(id_col).alias("id"), F.explode_outer("items").alias("item")).select("id", "item.*", F.when(F.col("item.src").startswith("sha256:"), F.substring("item.src", 8, 64)).alias("digest"))
     return items.join(media.select("digest", *columns), "digest", "left").withColumnRenamed("id", id_col)
 
 
+def resolve_sequences(sequences: DataFrame, media: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+    """One row per row of the sequences: id, items (array of pos, kind, text, src, caption, digest, columns) ordered by pos.
+
+    Empty and null sequences have no items. Rows with equal or null ids stay sequences of their own. A sequence is
+    gathered in one row, so its items with their columns have to fit there, as its page did.
+    """
+    keyed = sequences.select(F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row")).alias("key"), "items")
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "kind", "text", "src", "caption", "digest", *columns))
+    out = resolve(keyed, media, "key", columns).groupBy("key").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return out.select(F.col("key.id").alias(id_col), "items")
+
+
 def as_page(caption: str, digest: str) -> str:
     """A page with one captioned audio reference."""
     return f'<article><p>{html_lib.escape(caption)}</p><figure><audio src="sha256:{digest}"></audio><figcaption>{html_lib.escape(caption)}</figcaption></figure></article>'
