@@ -100,6 +100,13 @@ def test_top_k_prunes_and_keeps_large_products(spark):
     assert scores == {2: 2**41}
 
 
+def test_vectors_of_one_id_take_one_place(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0 + i, 0.0]) for i in range(10)] + [(10 + i, [1.0 + i / 10, 0.0]) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id = 0"), 10, 1000).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 18_000_000), *((2 + i, 21 - i, 2_100_000 - 100_000 * i) for i in range(9))]
+
+
 def test_top_k_of_nothing(spark):
     e = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(e, e).count() == 0

@@ -99,6 +99,11 @@ class Search:
         r, ids, s = rows[r], block.ids[columns[c]], scores[r, c]
         other = ids != self.q.ids[r]
         q, ids, s = (np.concatenate((old, new[other])) for old, new in zip(self.found, (r, ids, s)))
+        order = np.lexsort((-s, ids, q))  # the best of each id first, and the others away, so that they take no places
+        q, ids, s = q[order], ids[order], s[order]
+        if len(q):
+            best = np.concatenate(([True], (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])))
+            q, ids, s = q[best], ids[best], s[best]
         order = np.lexsort((ids, -s, q))
         q, ids, s = q[order], ids[order], s[order]
         first = np.concatenate(([0], np.flatnonzero(q[1:] != q[:-1]) + 1)) if len(q) else np.empty(0, np.int64)
