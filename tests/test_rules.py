@@ -237,3 +237,11 @@ def test_columns_with_nulls(spark):
     df = spark.createDataFrame([(None, None), ("/a/b.tar.gz", "NA"), ("x", " female ")], "p string, g string")
     got = df.select(paths.stem(F.col("p")), paths.dirname(F.col("p")), buckets.gender_or_model(F.col("g"), F.lit("M")), buckets.known_gender(F.col("g")), buckets.timestamp_seconds(F.col("p"))).collect()
     assert [tuple(r) for r in got] == [(None, None, "M", "UNKNOWN", 0.0), ("b.tar", "/a", "M", "UNKNOWN", 0.0), ("x", "", "FEMALE", "FEMALE", 0.0)]
+
+
+def test_prefixes_of_every_length_count(spark):
+    from voxloom.operators import joins
+
+    prefixes = spark.createDataFrame([("x" * n + "y",) for n in range(1, 1201)] + [("",), (None,)], "prefix string")
+    lines = spark.createDataFrame([("x" * n + "y tail",) for n in range(1, 1201)] + [("x",), ("",), (None,), ("other",)], "value string")
+    assert sorted(str(r["value"]) for r in joins.without_prefixes(lines, prefixes).collect()) == ["", "None", "other", "x"]

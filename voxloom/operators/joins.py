@@ -48,12 +48,13 @@ def not_done_by_path(df: DataFrame, done: DataFrame, path: str = "audio_filepath
 def without_prefixes(lines: DataFrame, prefixes: DataFrame, value: str = "value", prefix: str = "prefix") -> DataFrame:
     """Lines that begin with none of the prefixes: one equi anti join on a (length, prefix) key for each length that occurs, instead of a theta join.
 
-    The distinct lengths are few, and are read first.
+    The distinct lengths, however many, are one broadcast row.
     """
-    lengths = [r[0] for r in prefixes.select(F.length(prefix)).where(F.col(prefix) != "").distinct().limit(1000).collect()]
+    lengths = prefixes.where(F.col(prefix) != "").agg(F.collect_set(F.length(prefix)).alias("_lengths"))
     keyed = lines.withColumn("_id", F.monotonically_increasing_id()) if "_id" not in lines.columns else lines
-    cut = F.transform(F.array(*[F.lit(n) for n in sorted(lengths)] or [F.lit(0)]), lambda n: F.substr(F.col(value), F.lit(1), n))
-    hits = keyed.select("_id", F.explode(F.array_distinct(cut)).alias("_p")).join(prefixes.select(F.col(prefix).alias("_p")).distinct(), "_p").select("_id").distinct()
+    fit = F.filter("_lengths", lambda n: n <= F.length(value))
+    cut = F.transform(F.when(F.size("_lengths") == 0, F.array(F.lit(0))).otherwise(fit), lambda n: F.substr(F.col(value), F.lit(1), n))
+    hits = keyed.crossJoin(F.broadcast(lengths)).select("_id", F.explode(F.array_distinct(cut)).alias("_p")).join(prefixes.select(F.col(prefix).alias("_p")).distinct(), "_p").select("_id").distinct()
     return keyed.join(hits, "_id", "left_anti").drop("_id")
 
 
