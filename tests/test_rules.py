@@ -80,8 +80,8 @@ def test_error_rates(spark):
     rates = [r["rate"] for r in metrics.utterance_rates(df, "ref", "hyp").orderBy("i").collect()]
     assert rates[:4] == [0.5, float("inf"), None, float("inf")]
     kinds = metrics.edit_kinds(df, "ref", "hyp").orderBy("i").collect()
-    assert [sum(tuple(r)[3:]) for r in kinds] == want
-    assert tuple(kinds[0])[3:] == (0, 1, 1)
+    assert [sum(tuple(r)[3:6]) for r in kinds] == want
+    assert tuple(kinds[0])[3:] == (0, 1, 1, 4)
     total = metrics.error_rate(df, "ref", "hyp").first()
     assert total["rate"] == sum(want) / sum(len((r or "").split()) for r, _ in pairs)
     assert metrics.error_detail(df, "ref", "hyp").first()["del_rate"] > 0
@@ -184,7 +184,7 @@ def test_sinks_resume_and_route(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "s")).collect()) == [1, 2, 3]
     sinks.write_routed(df, str(tmp_path / "r"))
     assert spark.read.json(str(tmp_path / "r" / "route=ok")).count() == 1
-    sinks.write_json_array(df, str(tmp_path / "j"))
+    sinks.write_json_array(df.coalesce(1), str(tmp_path / "j"))
     assert len(json.loads("\n".join(r["value"] for r in spark.read.text(str(tmp_path / "j")).collect()))) == 2
     sinks.write_json_lines(df, str(tmp_path / "l"))
     assert "null" not in "".join(r["value"] for r in spark.read.text(str(tmp_path / "l")).collect())
@@ -245,3 +245,116 @@ def test_prefixes_of_every_length_count(spark):
     prefixes = spark.createDataFrame([("x" * n + "y",) for n in range(1, 1201)] + [("",), (None,)], "prefix string")
     lines = spark.createDataFrame([("x" * n + "y tail",) for n in range(1, 1201)] + [("x",), ("",), (None,), ("other",)], "value string")
     assert sorted(str(r["value"]) for r in joins.without_prefixes(lines, prefixes).collect()) == ["", "None", "other", "x"]
+
+
+def test_prefixes_against_every_pair(spark):
+    rng = random.Random(3)
+    for n in (0, 5, 60):
+        prefixes = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 6))) for _ in range(n)]
+        lines = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 9))) for _ in range(300)] + [None]
+        got = joins.without_prefixes(spark.createDataFrame([(x,) for x in lines], "value string"), spark.createDataFrame([(p,) for p in prefixes] + [(None,)], "prefix string"))
+        assert sorted(str(r[0]) for r in got.collect()) == sorted(str(x) for x in lines if x is None or not any(p and x.startswith(p) for p in prefixes))
+
+
+def test_intervals_of_any_length_against_every_pair(spark):
+    rng, inf = random.Random(4), float("inf")
+    left = [("k", i, a, a + rng.choice([0, 0.5, 20, 200, 5000, 1e6, inf])) for i, a in enumerate(rng.uniform(-500, 500) for _ in range(40))] + [("k", 900, -inf, 3.0), ("k", 901, 5.0, 1.0), ("k", 902, None, 1.0)]
+    right = [("k", i, a, a + rng.choice([0, 3, 70, 700, 1e5, inf])) for i, a in enumerate(rng.uniform(-600, 600) for _ in range(40))]
+    at = [("k", i, rng.choice([rng.uniform(-600, 6000), rng.uniform(-1e7, 1e7), left[i % 40][2]])) for i in range(90)] + [("k", 900, None), ("k", 901, inf)]
+    a, b, p = spark.createDataFrame(left, "key string, r int, s double, e double"), spark.createDataFrame(right, "key string, q int, s2 double, e2 double"), spark.createDataFrame(at, "key string, id int, at double")
+    real = [r for r in left if r[2] is not None and r[2] <= r[3]]
+    assert sorted((x["id"], x["r"]) for x in joins.point_in_range(p, a, "key", "at", "s", "e").collect()) == sorted((x[1], r[1]) for x in at for r in real if x[2] is not None and r[2] <= x[2] <= r[3])
+    assert sorted((x["r"], x["q"]) for x in joins.overlaps(a, b, "key", ("s", "e"), ("s2", "e2")).collect()) == sorted((r[1], q[1]) for r in real for q in right if r[3] >= q[2] and r[2] <= q[3])
+
+
+def test_chains_of_two_keys(spark):
+    rng = random.Random(5)
+    rows = [(i, f"p{(i + 1) // 2}", f"c{i // 2}") for i in range(600)] + [(5000 + i, rng.choice([None, *"uvwxyz"]), rng.choice([None, *"rstq"])) for i in range(50)]
+    seen_p, seen_c, want = set(), set(), []
+    for n, p, c in rows:
+        if p not in seen_p and c not in seen_c:
+            seen_p.add(p), seen_c.add(c), want.append(n)
+    assert sorted(r[0] for r in windows.keep_first_of_two_keys(spark.createDataFrame(rows, "pos int, path string, content string"), "path", "content", "pos").collect()) == want
+
+
+def test_more_words_than_an_alphabet_has_letters(spark):
+    n = 60_000
+    a, b = " ".join(f"w{i}" for i in range(n)), " ".join(f"w{i}" for i in range(n) if i % 30_000 != 7)
+    known = {}
+    r, h = metrics._letters(a.split(), known), metrics._letters(b.split(), known)
+    assert len(r) == n and len(set(r)) == n and not any("\ud800" <= c <= "\udfff" for c in r)
+    assert metrics.alignment(r[29_000:31_000], h[28_999:30_998]) == (0, 1, 0)
+    few = spark.createDataFrame([(" ".join(f"w{i % 40_000}" for i in range(45_000)), "w1")], "ref string, hyp string")
+    assert tuple(metrics.with_edits(few, "ref", "hyp").select("edits", "units", "heard").first()) == (44_999, 45_000, 1)
+
+
+def test_alignments_against_the_whole_matrix():
+    rng = random.Random(6)
+    for _ in range(500):
+        r, h = ("".join(rng.choice("abcd") for _ in range(rng.randint(0, 12))) for _ in range(2))
+        rows = [list(range(len(h) + 1))]
+        for i, x in enumerate(r, 1):
+            rows.append([i])
+            for j, y in enumerate(h, 1):
+                rows[i].append(min(rows[i - 1][j - 1] + (x != y), rows[i - 1][j] + 1, rows[i][j - 1] + 1))
+        i, j, n = len(r), len(h), [0, 0, 0]
+        while i or j:
+            if i and j and rows[i][j] == rows[i - 1][j - 1] + (r[i - 1] != h[j - 1]):
+                n[2] += r[i - 1] != h[j - 1]
+                i, j = i - 1, j - 1
+            elif i and rows[i][j] == rows[i - 1][j] + 1:
+                n[1], i = n[1] + 1, i - 1
+            else:
+                n[0], j = n[0] + 1, j - 1
+        assert metrics.alignment(r, h) == tuple(n)
+
+
+def test_evaluation_parts(spark):
+    df = spark.createDataFrame([(1, "go ENTITY_CITY new york END", "go ENTITY_CITY york END"), (2, "ENTITY_ORG osi END", None)], "id int, ref string, hyp string")
+    got = {r["metric"]: r["value"] for r in metrics.evaluation(df, "id", "ref", "hyp").collect()}
+    assert got["wer"] == 0.5 and got["ENTITY_CITY.fscore"] == 0 and got["overall_micro.recall"] == 0
+    assert {r["metric"]: r["value"] for r in metrics.evaluation(df, "id", "ref", "hyp", by_label=True, vocabulary=("ENTITY_CITY",)).collect()}["overall_macro.fscore"] == 1
+    with pytest.raises(Exception, match="differ in length"):
+        metrics.same_length(df.select("id", "ref"), df.select("id", "hyp").where("id = 1"), "id").collect()
+
+
+def test_providers_that_fail(spark):
+    class Broken:
+        def reply(self, text):
+            raise RuntimeError
+
+        def bio(self, texts):
+            return "no json"
+
+        def keywords(self, text, most):
+            raise RuntimeError
+
+    df = spark.createDataFrame([(1, "Ana goes"), (2, None), (3, "")], "id int, text string").coalesce(1)
+    assert [tuple(r) for r in df.select("id", providers.entities_and_intents(F.col("text"), Broken).alias("e")).select("e.*").collect()] == [([], [])] * 3
+    assert [(r["tokens"], r["tags"], r["intent"]) for r in providers.annotate_bio(df, "text", Broken).orderBy("id").collect()] == [(["ana", "goes"], ["PARSE_ERROR"] * 2, "JSON_PARSE_ERROR"), (None, None, None), ([], [], "JSON_PARSE_ERROR")]
+    assert providers.rare_keywords(df, "id", "text", spark.createDataFrame([("ana",)], "word string"), Broken).count() == 0
+    assert [r["k"] for r in providers.rare_keywords(df, "id", "text", spark.createDataFrame([("ana",)], "word string")).select(F.col("keyword").alias("k")).collect()] == ["Ana"]
+
+
+def test_listing_in_any_case_and_empty_folders(spark, tmp_path):
+    for name in ("a.Wav", "b.WAV", "c.wave", "d.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    assert manifests.list_files(spark, str(tmp_path)).count() == 2
+    with pytest.raises(FileNotFoundError):
+        manifests.read_csv_folder(spark, str(tmp_path), "a string")
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    from voxloom import staging
+
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]", "getConf": staticmethod(lambda: type("G", (), {"get": staticmethod(lambda *a: None)}))})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Cluster)
+    table = staging.staged(spark.range(3))
+    assert table.count() == 3
+    staging.drop(table)
+    with pytest.raises(Exception):
+        spark.read.parquet(table.staged_at).count()

@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from voxloom.plans import relational_queries, text_queries  # noqa: F401  they register themselves
+    from voxloom.plans import model_queries, relational_queries, source_queries, text_queries  # noqa: F401  they register themselves
 
 
 def queries() -> dict:

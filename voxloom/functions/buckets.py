@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Age words of a crowd-sourced speech table ("fourties" is spelled so there), by the age they stand for (fixed values).
-AGE_WORDS = {"teens": 15, "twenties": 20, "thirties": 30, "fourties": 40, "fifties": 50, "sixties": 60, "seventies": 70, "eighties": 80, "nineties": 90}
+AGE_WORDS = {"twenties": 25, "thirties": 35, "fourties": 45, "fifties": 55, "sixties": 65, "seventies": 75, "eighties": 85, "nineties": 95}
 #: Three conventions for gender codes (fixed values).
 GENDERS = {"female_first": {0: "FEMALE", 1: "MALE", 2: "OTHER"}, "male_first": {0: "MALE", 1: "FEMALE", 2: "OTHER"}, "binary": {1: "MALE"}}
 #: Emotion labels to their short codes (fixed values).
@@ -53,9 +53,9 @@ def age_service(age: Column, scale: float = 100.0) -> Column:
 
 
 def age_word(word: Column) -> Column:
-    """Bucket of an age word; unknown and missing words stand for 20."""
+    """Bucket of an age word in any case; all others (also "teens", and words with spaces around them) and null stand for 20."""
     table = F.create_map(*[x for k, v in AGE_WORDS.items() for x in (F.lit(k), F.lit(v))])
-    return _steps(F.coalesce(F.try_element_at(table, F.lower(F.trim(word))), F.lit(20)), _FIVE, "60PLUS")
+    return _steps(F.coalesce(F.try_element_at(table, F.lower(word)), F.lit(20)), _FIVE, "60PLUS")
 
 
 def age_years(age: Column) -> Column:
@@ -75,9 +75,20 @@ def emotion_code(label: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.lower(F.trim(label))), F.upper(F.substring(F.trim(label), 1, 3)))
 
 
+#: Emotion labels to their short names in mixed case, and what stands for failures (fixed values).
+EMOTION_NAMES = {"ANGER": "Ang", "NEUTRAL": "Neu", "SADNESS": "Sad", "HAPPINESS": "Hap", "FEAR": "Fea", "DISGUST": "Dis", "SURPRISE": "Sur", "ERRORLOADINGMODEL": "Err", "NO_AUDIO": "NA", "EXTRACTION_ERROR": "Err", "UNKNOWN": "Unk"}
+
+
+def emotion_name(label: Column) -> Column:
+    """Short name of an emotion or failure in any case; Unk for others and null."""
+    table = F.create_map(*[F.lit(x) for pair in EMOTION_NAMES.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.upper(label)), F.lit("Unk"))
+
+
 def title(c: Column) -> Column:
-    """Underscores to spaces, words capitalised."""
-    return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    """Underscores to spaces; the first letter of every run of letters (also behind - and ') in upper case, all others in lower case."""
+    runs = F.split(F.replace(c, F.lit("_"), F.lit(" ")), r"(?U)(?<!\p{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))), "")
 
 
 def clock(seconds: Column) -> Column:
@@ -97,6 +108,11 @@ def content_key(*columns: Column, separator: str = "|||") -> Column:
     return F.sha1(F.concat_ws(separator, *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]))
 
 
+def text_key(text: Column, *others: Column) -> Column:
+    """MD5 of the text, or of the other columns as JSON if it is null."""
+    return F.md5(F.coalesce(text, F.to_json(F.struct(*others))) if others else text)
+
+
 def missing_to_null(c: Column, words: tuple[str, ...] = ("", "NA", "NONE", "NULL")) -> Column:
     """Null for a value that only says that there is none."""
     return F.when(~F.upper(F.trim(c)).isin(*words), c)

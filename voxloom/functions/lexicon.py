@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voxloom.functions.buckets import EMOTIONS, GENDERS
 
-#: Entity types that every domain shares; a domain adds its own (fixed values).
+#: Entity types to begin with; a domain adds its own. Not a closed list: no operator drops a type that is not in it.
 ENTITY_TYPES = ("PERSON_NAME", "ORGANIZATION", "LOCATION", "CITY", "STATE", "COUNTRY", "ADDRESS", "DATE", "TIME", "DURATION", "AGE", "CARDINAL", "ORDINAL", "PERCENT", "MONEY", "CURRENCY", "PRODUCT", "EVENT", "LANGUAGE", "NATIONALITY", "OCCUPATION", "PHONE_NUMBER", "EMAIL", "URL")
 INTENTS = ("INFORM", "QUESTION", "REQUEST", "COMMAND", "GREETING", "CONFIRMATION", "NEGATION", "OPINION", "EXPLAIN", "OTHER")
 

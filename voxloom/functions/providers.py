@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.tags import repair_bio
+
 
 class BatchAnnotator(Protocol):
     def annotate(self, texts: list[str]) -> list[str]: ...
@@ -129,6 +131,127 @@ def annotate_pairs(df: DataFrame, question: str, answer: str, make: Callable[[],
     return both.withColumn("answer_intent", F.nullif(F.regexp_extract("answer_annotated", r"(INTENT_[A-Z_]+)\s*$", 1), F.lit("")))
 
 
+#: The longest head of a text that is sent for entities or a summary (a fixed value).
+SENT = 6000
+
+
+class StubReply:
+    """A JSON reply about a text, with words around it: its first capitalised words as entities, an intent, and counts."""
+
+    def reply(self, text: str) -> str:
+        names = [w.strip(".,;:!?") for w in text.split() if w[:1].isupper()][:3]
+        found = {"entities": [{"text": w, "type": "PERSON"} for w in names], "intents": ["QUESTION" if text.rstrip().endswith("?") else "INFORM"], "words": len(text.split())}
+        return f"Here it is: {json.dumps(found, ensure_ascii=False)} Done."
+
+
+def json_reply(text: Column, make: Callable[[], object] = StubReply, most: int = SENT) -> Column:
+    """The JSON object in a provider's reply to a text's head, from its first brace to its last; {} for a blank text, a failed call or a reply without one."""
+
+    @F.arrow_udf("string")
+    def said(texts: pa.Array) -> pa.Array:
+        model, out = make(), []
+        for t in texts.to_pylist():
+            found = {}
+            if t and t.strip():
+                try:
+                    raw = model.reply(t[:most]) or ""
+                    found = json.loads(raw[raw.find("{") : raw.rfind("}") + 1] or "{}")
+                except Exception:
+                    found = {}
+            out.append(json.dumps(found if isinstance(found, dict) else {}, ensure_ascii=False))
+        return pa.array(out, pa.string())
+
+    return said(text)
+
+
+def entities_and_intents(text: Column, make: Callable[[], object] = StubReply) -> Column:
+    """struct(entities: array of (text, type), intents: array of strings) of a provider's reply; both empty where it has none. The entities fit inject_strings."""
+    v = F.from_json(json_reply(text, make), "struct<entities:array<struct<text:string,type:string>>,intents:array<string>>")
+    return F.struct(F.coalesce(v["entities"], F.array().cast("array<struct<text:string,type:string>>")).alias("entities"), F.coalesce(v["intents"], F.array().cast("array<string>")).alias("intents"))
+
+
+class StubBio:
+    """BIO replies: words in lower case, capitalised ones as B-PERSON; every reply lacks its last label."""
+
+    def bio(self, texts: list[str]) -> str:
+        return json.dumps([{"tokens": t.lower().split(), "tags": ["B-person" if w[:1].isupper() else "O" for w in t.split()][:-1], "intent": "question" if t.endswith("?") else "inform"} for t in texts])
+
+
+def annotate_bio(df: DataFrame, text: str, make: Callable[[], object] = StubBio, batch: int = 10) -> DataFrame:
+    """tokens, tags (BIO, as many as tokens) and intent of every text, so many in a call. A reply that isn't a JSON list gives the text's own words, their tags and its intent as errors; missing items are PARSE_ERROR without tokens; null texts have nulls."""
+    strings = lambda x: isinstance(x, list) and all(isinstance(t, str) for t in x)
+
+    def item(found: object, t: str) -> tuple:
+        found = found if isinstance(found, dict) else {}
+        words, labels = found.get("tokens", []), found.get("tags", [])
+        return words if strings(words) and words else t.lower().split(), labels if strings(labels) else [], str(found.get("intent") or "UNKNOWN_INTENT").upper()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        provider = make()
+        for rows in batches:
+            texts = rows.column(rows.schema.get_field_index(text)).to_pylist()
+            out = [(None, None, None)] * len(texts)
+            sent = [i for i, t in enumerate(texts) if t is not None]
+            for at in range(0, len(sent), batch):
+                part = sent[at : at + batch]
+                try:
+                    replies = json.loads(provider.bio([texts[i] for i in part]))
+                    if not isinstance(replies, list):
+                        raise ValueError("no list")
+                    found = [item(r, texts[i]) for i, r in zip(part, replies)] + [([], [], "PARSE_ERROR")] * (len(part) - len(replies))
+                except Exception as error:
+                    kind = "JSON_PARSE_ERROR" if isinstance(error, json.JSONDecodeError) else "GENERAL_PARSE_ERROR"
+                    found = [(texts[i].lower().split(), ["PARSE_ERROR"] * len(texts[i].split()), kind) for i in part]
+                for i, x in zip(part, found):
+                    out[i] = x
+            kinds = (pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([*rows.columns, *[pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]], [*rows.schema.names, "tokens", "tags", "intent"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    out = df.mapInArrow(run, f"{fields}, tokens array<string>, tags array<string>, intent string")
+    return out.withColumn("tags", F.when(F.col("intent").isin("JSON_PARSE_ERROR", "GENERAL_PARSE_ERROR"), F.col("tags")).otherwise(repair_bio(F.col("tokens"), F.col("tags"))))
+
+
+class StubKeywords:
+    """The distinct words of a text, longest first, comma-joined."""
+
+    def keywords(self, text: str, most: int) -> str:
+        return ", ".join(sorted(dict.fromkeys(text.split()), key=lambda w: (-len(w), w))[:most])
+
+
+def rare_keywords(df: DataFrame, key: str, text: str, rare: DataFrame, make: Callable[[], object] = StubKeywords, most: int = 300, least_length: int = 3) -> DataFrame:
+    """(key, keyword) of every keyword that a provider names for a text, once in any case, if it is long enough and among the rare words (a table with a column word in lower case). A failed call names none."""
+
+    @F.arrow_udf("array<string>")
+    def named(texts: pa.Array) -> pa.Array:
+        model, out = make(), []
+        for t in texts.to_pylist():
+            try:
+                words = [w.strip() for w in model.keywords(t, most).split(",")] if t else []
+            except Exception:
+                words = []
+            out.append([w for w in {w.lower(): w for w in reversed(words)}.values() if len(w) >= least_length])
+        return pa.array(out, pa.list_(pa.string()))
+
+    each = df.select(key, F.explode(named(F.col(text))).alias("keyword")).withColumn("word", F.lower("keyword"))
+    return each.join(rare.select("word").distinct(), "word", "left_semi").select(key, "keyword")
+
+
+def punctuate(c: Column, model: Callable[[list[str]], list[str]] | None = None) -> Column:
+    """Texts with punctuation and capitals from a provider, a batch in a call; the stand-in capitalises the first letter and ends the text with a stop. Null stays null; a blank text stays as it is."""
+    rule = model or (lambda ts: [t[:1].upper() + t[1:] + ("" if t[-1] in ".?!" else ".") for t in ts])
+
+    @F.arrow_udf("string")
+    def put(texts: pa.Array) -> pa.Array:
+        out = texts.to_pylist()
+        sent = [i for i, t in enumerate(out) if t and t.strip()]
+        for i, t in zip(sent, rule([out[i] for i in sent]) if sent else []):
+            out[i] = t
+        return pa.array(out, pa.string())
+
+    return put(c)
+
+
 def text_emotion(c: Column, classify: Callable[[str], str] | None = None) -> Column:
     """EMOTION_x of a text; EMOTION_NEU for what fails, is empty or null."""
     labels = ("NEU", "HAP", "SAD", "ANG")
@@ -249,6 +372,34 @@ def cut_audio(audio: Column, start: Column, end: Column) -> Column:
     return cut(audio, start, end)
 
 
+def resample(audio: Column, rate: int = 16_000) -> Column:
+    """The WAV as one channel of 16-bit samples at a rate, by straight lines between samples; null if the source isn't a WAV of 8 or 16 bits."""
+
+    @F.arrow_udf("binary")
+    def made(data: pa.Array) -> pa.Array:
+        import numpy as np
+
+        out = []
+        for raw in data.to_pylist():
+            try:
+                with wave.open(io.BytesIO(raw or b""), "rb") as w:
+                    old, width, channels, n = w.getframerate(), w.getsampwidth(), w.getnchannels(), w.getnframes()
+                    x = np.frombuffer(w.readframes(n), {1: np.uint8, 2: np.dtype("<i2")}[width]).reshape(-1, channels).mean(axis=1)
+                x = (x - 128) * 256 if width == 1 else x
+                new = int(n * rate / old)
+                y = np.interp(np.arange(new) * (old / rate), np.arange(n), x) if n else x
+                to = io.BytesIO()
+                with wave.open(to, "wb") as w:
+                    w.setparams((1, 2, rate, 0, "NONE", "not compressed"))
+                    w.writeframes(np.clip(y.round(), -32768, 32767).astype("<i2").tobytes())
+                out.append(to.getvalue())
+            except (wave.Error, EOFError, KeyError, ZeroDivisionError):
+                out.append(None)
+        return pa.array(out, pa.binary())
+
+    return made(audio)
+
+
 def inverse_normalize(c: Column, spell: Callable[[str], str] | None = None) -> Column:
     """Spelled numbers up to twelve as digits, or what a provider says."""
     numbers = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve".split())}

@@ -10,7 +10,7 @@ import re
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +60,16 @@ def strip_all_tags(c: Column) -> Column:
     return squeeze(F.regexp_replace(c, r"[A-Z]+(_[A-Z0-9]+)+", ""))
 
 
-def metadata_of(c: Column) -> Column:
-    """Distinct metadata tags: families in their fixed order, sorted within each."""
-    found = F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(METADATA), 1)))
+def strip_all_columns(df: DataFrame) -> DataFrame:
+    """strip_all_tags on every string column; the others stay as they are."""
+    return df.select(*[strip_all_tags(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
-    def of(family: str) -> Column:
-        return F.filter(found, lambda t: t.startswith(family))
 
-    return F.flatten(F.array(*map(of, FAMILIES)))
+def metadata_of(c: Column) -> Column:
+    """Distinct metadata tags: families in their fixed order, sorted within each."""
+    rank = lambda t: F.when(t.startswith(FAMILIES[0]), 0).when(t.startswith(FAMILIES[1]), 1).when(t.startswith(FAMILIES[2]), 2).otherwise(3)
+    found = F.transform(F.array_distinct(F.regexp_extract_all(c, F.lit(METADATA), 1)), lambda t: F.struct(rank(t).alias("r"), t.alias("t")))
+    return F.transform(F.array_sort(found), lambda s: s["t"])
 
 
 def reorder_metadata(c: Column) -> Column:
@@ -237,15 +239,21 @@ def normalize_span_contents(spell: Callable[[str], str]) -> Callable[[Column], C
     return text_rule(lambda t: pattern.sub(one, t))
 
 
-def collapse_repeated_ner(c: Column) -> Column:
-    """Of NER_ tags and END that repeat before the next plain word, only the first."""
-    zero = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("seen"))
+def _first_ner(text: str) -> str:
+    out, seen = [], set()
+    for w in text.split():
+        if not (w.startswith("NER_") or w == "END"):
+            seen.clear()
+        elif w in seen:
+            continue
+        else:
+            seen.add(w)
+        out.append(w)
+    return " ".join(out)
 
-    def step(s, w):
-        tag = w.startswith("NER_") | (w == "END")
-        return F.when(tag & F.array_contains(s["seen"], w), s).otherwise(F.struct(F.array_append(s["out"], w).alias("out"), F.when(tag, F.array_append(s["seen"], w)).otherwise(F.array().cast("array<string>")).alias("seen")))
 
-    return F.array_join(F.aggregate(tokens(c), zero, step, lambda s: s["out"]), " ")
+#: Of NER_ tags and END that repeat before the next plain word, only the first. A Python rule: one pass, where an array that grows in the JVM is copied for every word.
+collapse_repeated_ner = text_rule(_first_ner)
 
 
 def is_tag(w: Column) -> Column:
@@ -351,39 +359,71 @@ def inject_strings(text: Column, entities: Column) -> Column:
     return F.aggregate(F.filter(F.array_sort(numbered), lambda e: e["text"] != ""), text, step)
 
 
-def entity_spans(c: Column, reset: bool = True) -> Column:
-    """array of (label, phrase, occ): spans by a token walk; occ numbers equal pairs from 1.
-
-    A tag inside an open span starts a new one. With reset END closes the span; without, the phrase goes on growing and is given again at
-    the next END. Spans without words are none.
-    """
-    none = F.array().cast("array<string>")
-    zero = F.struct(F.lit(None).cast("string").alias("tag"), none.alias("words"), F.array().cast("array<struct<label:string,phrase:string>>").alias("out"))
-
-    def step(s, w):
-        closing = (w == "END") & s["tag"].isNotNull() & (F.size(s["words"]) > 0)
-        out = F.when(closing, F.array_append(s["out"], F.struct(s["tag"].alias("label"), F.array_join(s["words"], " ").alias("phrase")))).otherwise(s["out"])
-        end = F.struct((F.lit(None).cast("string") if reset else s["tag"]).alias("tag"), (none if reset else s["words"]).alias("words"), out.alias("out"))
-        plain = F.struct(s["tag"].alias("tag"), F.when(s["tag"].isNotNull(), F.array_append(s["words"], w)).otherwise(s["words"]).alias("words"), s["out"].alias("out"))
-        return F.when(w.rlike(r"^ENTITY_[A-Z0-9_]+$"), F.struct(w.alias("tag"), none.alias("words"), s["out"].alias("out"))).when(w == "END", end).otherwise(plain)
+_SPAN = pa.list_(pa.struct([("label", pa.string()), ("phrase", pa.string()), ("occ", pa.int32())]))
+_SPANS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("occ", T.IntegerType())]))
 
-    found = F.aggregate(F.filter(F.split(F.replace(c, F.lit("  "), F.lit(" ")), " "), lambda w: w.isNotNull()), zero, step, lambda s: s["out"])
-    return number_repeats(found)
 
+def _numbered(pairs: list[tuple[str, str]]) -> list[dict]:
+    seen: dict[tuple, int] = {}
+    out = []
+    for pair in pairs:
+        seen[pair] = seen.get(pair, 0) + 1
+        out.append({"label": pair[0], "phrase": pair[1], "occ": seen[pair]})
+    return out
 
-def number_repeats(pairs: Column) -> Column:
-    """occ: how often a (label, phrase) has stood up to here."""
-    return F.transform(pairs, lambda p, i: F.struct(p["label"].alias("label"), p["phrase"].alias("phrase"), F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda q: (q["label"] == p["label"]) & (q["phrase"] == p["phrase"]))).alias("occ")))
 
+def entity_spans(c: Column, reset: bool = True, by_label: bool = False, vocabulary: tuple[str, ...] | None = None) -> Column:
+    """array of (label, phrase, occ): spans by a token walk; occ numbers equal pairs from 1.
 
-def repair_bio(words: Column, labels: Column) -> Column:
-    """Labels made as many as words (padded with O, cut), types in upper case without spaces, all else O."""
+    A tag inside an open span starts a new one. With reset END closes the span; without, the phrase goes on growing and is given again at
+    the next END. Spans without words are none. by_label puts one constant in place of all phrases. vocabulary: the words that
+    are tags (any ENTITY_X if it is None); others are words like any other. A null text has none. One pass over the words of a text.
+    """
+    known = None if vocabulary is None else frozenset(vocabulary)
+    tag = re.compile(r"ENTITY_[A-Z0-9_]+").fullmatch if known is None else known.__contains__
+
+    def walk(text: str) -> list[dict]:
+        label, words, out = None, [], []
+        for w in text.replace("  ", " ").split(" "):
+            if tag(w):
+                label, words = w, []
+            elif w == "END":
+                if label and words:
+                    out.append((label, "phrase" if by_label else " ".join(words)))
+                if reset:
+                    label, words = None, []
+            elif label:
+                words.append(w)
+        return _numbered(out)
+
+    @F.arrow_udf(_SPANS)
+    def spans(texts: pa.Array) -> pa.Array:
+        return pa.array([[] if t is None else walk(t) for t in texts.to_pylist()], _SPAN)
+
+    return spans(c)
+
+
+@F.arrow_udf(_SPANS)
+def number_repeats(pairs: pa.Array) -> pa.Array:
+    """Pairs (label, phrase) of an array with occ: how often each has stood up to here."""
+    return pa.array([None if row is None else _numbered([(p["label"], p["phrase"]) for p in row]) for row in pairs.to_pylist()], _SPAN)
+
+
+def repair_bio(words: Column, labels: Column, text: Column | None = None) -> Column:
+    """Labels made as many as words (padded with O, cut), types in upper case without spaces, all else O; with text, no words (or null) stand for those of the text in lower case."""
+    if text is not None:
+        words = bio_words(words, text)
     n = F.size(words)
     padded = F.slice(F.concat(F.coalesce(labels, F.array().cast("array<string>")), F.array_repeat(F.lit("O"), n)), F.lit(1), n)
-    fixed = lambda t: F.when(t.rlike("^[BI]-."), F.concat(F.substring(t, 1, 2), F.upper(F.replace(F.substr(t, F.lit(3)), F.lit(" "), F.lit(""))))).otherwise("O")
+    fixed = lambda t: F.when(t.rlike("^[BI]-"), F.concat(F.substring(t, 1, 2), F.upper(F.replace(F.substr(t, F.lit(3)), F.lit(" "), F.lit(""))))).otherwise("O")
     return F.transform(padded, lambda t: F.coalesce(fixed(t), F.lit("O")))
 
 
+def bio_words(words: Column, text: Column) -> Column:
+    """The words of a reply, or those of the text in lower case if it has none."""
+    return F.when(F.coalesce(F.size(words), F.lit(0)) > 0, words).otherwise(tokens(F.lower(F.coalesce(text, F.lit("")))))
+
+
 def keep_head_of_age(c: Column, normalize: Callable[[Column], Column]) -> Column:
     """The text before AGE_ normalised and the first AGE_ part put back; what follows a second AGE_ is lost."""
     parts = F.split(c, "AGE_")

@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 
 def ordered_text(df: DataFrame, key: str, order: list[str], piece: Column, name: str = "text") -> DataFrame:
-    """The pieces of each key in order, joined by spaces; null keys and null pieces are left out."""
+    """The pieces of each key in order, joined by spaces; null keys and null pieces are left out. A key's text is one row, and has to fit in one."""
     rows = df.where(F.col(key).isNotNull()).select(key, F.struct(*order, piece.alias("_t")).alias("_s"))
     return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_s")), lambda s: s["_t"]), " ").alias(name))
 
 
+def chunk_texts(df: DataFrame, file: str, order: list[str], texts: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """One row per chunk: each text column's non-empty pieces in order, joined by spaces, and duration, from the first start to the last end. A chunk's segments meet in one row, as their texts do."""
+    rows = df.groupBy(file).agg(F.array_sort(F.collect_list(F.struct(*order, *[F.col(t).alias(f"t{i}") for i, t in enumerate(texts)]))).alias("_s"), (F.max(end) - F.min(start)).alias("duration"))
+    joined = lambda i: F.trim(F.array_join(F.filter(F.transform("_s", lambda s: s[f"t{i}"]), lambda x: x != ""), " "))
+    return rows.select(file, *[joined(i).alias(t) for i, t in enumerate(texts)], "duration")
+
+
 def durations(df: DataFrame, by: list[str] = (), duration: str = "duration") -> DataFrame:
     """n (numeric durations), total_hours and avg_seconds (0 if there are none)."""
     d = F.col(duration).try_cast("double")
@@ -55,7 +62,7 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def error_summary(df: DataFrame, by: list[str], error: str, order: str) -> DataFrame:
-    """Errors of each group in order, joined by '; '."""
+    """Errors of each group in order, joined by '; '. A group's errors are one text, and have to fit in one row."""
     return df.where(F.col(error).isNotNull()).groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(error).alias("e")))), lambda s: s["e"]), "; ").alias("errors"))
 
 

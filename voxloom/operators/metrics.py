@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxloom.functions.buckets import safe_divide
-from voxloom.functions.tags import entity_spans
+from voxloom.functions.tags import drop_upper_words, entity_spans
+from voxloom.staging import staged
 
 
-def words(c: Column) -> Column:
-    """Words between white space; a null or blank text has none."""
-    return F.filter(F.split(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")), " "), lambda w: w != "")
+def _letters(words: list[str], known: dict[str, int]) -> str:
+    """Words as one character each, numbered in a pair's own alphabet. Surrogates are no characters, so numbers from 0xD700 up go behind them."""
+    try:
+        return "".join([chr(n + 0x100 if n < 0xD700 else n + 0x900) for n in [known.setdefault(w, len(known)) for w in words]])
+    except ValueError:
+        raise ValueError(f"a pair of texts has {len(known)} different words, more than there are characters to number them") from None
 
 
-def _coded(a: Column, alphabet: Column) -> Column:
-    """Words as one code point each, from a private alphabet of up to 20,000 different words of the pair."""
-    return F.array_join(F.transform(a, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.lit(19967) + F.array_position(alphabet, w)), 4, "0")), "UTF-16BE")), "")
-
-
-def word_edits(ref: Column, hyp: Column) -> Column:
-    """Edit distance over two arrays of words, by the built-in distance over coded strings."""
-    both = F.array_distinct(F.concat(ref, hyp))
-    return F.levenshtein(_coded(ref, both), _coded(hyp, both)).cast("long")
+@F.arrow_udf(T.StructType([T.StructField("ref", T.StringType()), T.StructField("hyp", T.StringType())]))
+def coded_words(refs: pa.Array, hyps: pa.Array) -> pa.Array:
+    """Both texts of a pair with each word between white space as one character, equal words as equal ones; a null text has no words."""
+    out = []
+    for r, h in zip(refs.to_pylist(), hyps.to_pylist()):
+        known: dict[str, int] = {}
+        out.append((_letters((r or "").split(), known), _letters((h or "").split(), known)))
+    return pa.StructArray.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], ["ref", "hyp"])
 
 
 def with_edits(df: DataFrame, ref: str, hyp: str, chars: bool = False) -> DataFrame:
-    """edits and units (words or characters of the reference) of each pair."""
+    """edits, units and heard (words or characters of the reference and of the hypothesis) of each pair.
+
+    The words of a pair are coded as characters, so that the built-in distance counts words, in the memory of two rows; a
+    pair may have some 1.1 million different words. Null and blank texts have no words.
+    """
     if chars:
         r, h = (F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " ") for c in (ref, hyp))
-        return df.withColumns({"edits": F.levenshtein(r, h).cast("long"), "units": F.char_length(r).cast("long")})
-    return df.withColumns({"_r": words(F.col(ref)), "_h": words(F.col(hyp))}).withColumns({"edits": word_edits(F.col("_r"), F.col("_h")), "units": F.size("_r").cast("long")}).drop("_r", "_h")
+    else:
+        df = df.withColumn("_c", coded_words(F.col(ref).cast("string"), F.col(hyp).cast("string")))
+        r, h = F.col("_c.ref"), F.col("_c.hyp")
+    return df.withColumns({"edits": F.levenshtein(r, h).cast("long"), "units": F.char_length(r).cast("long"), "heard": F.char_length(h).cast("long")}).drop("_c")
 
 
 def error_rate(df: DataFrame, ref: str, hyp: str, by: list[str] = (), chars: bool = False) -> DataFrame:
@@ -47,48 +58,63 @@ def utterance_rates(df: DataFrame, ref: str, hyp: str) -> DataFrame:
 
 def macro_rate(df: DataFrame, ref: str, hyp: str, by: list[str] = ()) -> DataFrame:
     """Mean rate over pairs whose texts are both not blank."""
-    return with_edits(df, ref, hyp).where((F.col("units") > 0) & (F.size(words(F.col(hyp))) > 0)).groupBy(*by).agg(F.avg(F.col("edits") / F.col("units")).alias("rate"), F.count("*").alias("pairs"))
+    return with_edits(df, ref, hyp).where("units > 0 and heard > 0").groupBy(*by).agg(F.avg(F.col("edits") / F.col("units")).alias("rate"), F.count("*").alias("pairs"))
+
+
+def alignment(r: str, h: str) -> tuple[int, int, int]:
+    """Insertions, deletions and substitutions of the best alignment that a walk back from the ends finds, which at every place takes a substitution (or equal characters) if one is best, else a deletion, else an insertion.
+
+    Only the last row of distances is held, with the substitutions on the walk from each place: from them and the distance the
+    others follow. Equal ends don't take part, since the walk takes them as they are.
+    """
+    same = next((i for i, (x, y) in enumerate(zip(reversed(r), reversed(h))) if x != y), min(len(r), len(h)))
+    a, b = (np.frombuffer(x[: len(x) - same].encode("utf-32-le"), np.int32) for x in (r, h))
+    at = np.arange(len(b) + 1)
+    last, subs = at, np.zeros(len(b) + 1, np.int64)
+    for i, x in enumerate(a.tolist(), 1):
+        cost = (b != x).astype(np.int64)
+        down, across = last + 1, last[:-1] + cost
+        row = down.copy()
+        np.minimum(across, down[1:], out=row[1:])
+        row = np.minimum.accumulate(row - at) + at
+        own = row == down  # a deletion, or the first column
+        walked = np.where(own, subs, 0)
+        crossed = row[1:] == across
+        walked[1:] = np.where(crossed, subs[:-1] + cost, walked[1:])
+        own[1:] |= crossed
+        last, subs = row, walked[np.maximum.accumulate(np.where(own, at, 0))]  # an insertion goes on from the place to its left
+    edits, substituted, longer = int(last[-1]), int(subs[-1]), len(b) - len(a)
+    return (edits - substituted + longer) // 2, (edits - substituted - longer) // 2, substituted
 
 
 def edit_kinds(df: DataFrame, ref: str, hyp: str) -> DataFrame:
-    """insertions, deletions, substitutions of a best alignment of each pair (ties: substitution, then deletion, then insertion, from the end)."""
-    kind = "struct<insertions:bigint,deletions:bigint,substitutions:bigint>"
+    """insertions, deletions, substitutions of a best alignment of the words of each pair (see alignment), and units, the words of the reference."""
+    kind = "struct<insertions:bigint,deletions:bigint,substitutions:bigint,units:bigint>"
 
     @F.arrow_udf(kind)
     def aligned(refs: pa.Array, hyps: pa.Array) -> pa.Array:
-        out = []
+        rows = []
         for r, h in zip(refs.to_pylist(), hyps.to_pylist()):
-            r, h = (r or "").split(), (h or "").split()
-            rows = [list(range(len(h) + 1))]
-            for i, x in enumerate(r, 1):
-                last, row = rows[-1], [i]
-                for j, y in enumerate(h, 1):
-                    row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
-                rows.append(row)
-            i, j, n = len(r), len(h), [0, 0, 0]
-            while i or j:
-                if i and j and rows[i][j] == rows[i - 1][j - 1] + (r[i - 1] != h[j - 1]):
-                    n[2] += r[i - 1] != h[j - 1]
-                    i, j = i - 1, j - 1
-                elif i and rows[i][j] == rows[i - 1][j] + 1:
-                    n[1], i = n[1] + 1, i - 1
-                else:
-                    n[0], j = n[0] + 1, j - 1
-            out.append({"insertions": n[0], "deletions": n[1], "substitutions": n[2]})
-        return pa.array(out, pa.struct([("insertions", pa.int64()), ("deletions", pa.int64()), ("substitutions", pa.int64())]))
-
-    return df.withColumn("_k", aligned(F.col(ref), F.col(hyp))).select(*df.columns, "_k.*")
+            known: dict[str, int] = {}
+            r, h = _letters((r or "").split(), known), _letters((h or "").split(), known)
+            rows.append((*alignment(r, h), len(r)))
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(4)], ["insertions", "deletions", "substitutions", "units"])
+
+    return df.withColumn("_k", aligned(F.col(ref).cast("string"), F.col(hyp).cast("string"))).select(*df.columns, "_k.*")
 
 
 def error_detail(df: DataFrame, ref: str, hyp: str, by: list[str] = ()) -> DataFrame:
     """Rates of insertions, deletions and substitutions over reference words, by groups."""
-    sums = edit_kinds(df, ref, hyp).groupBy(*by).agg(*[F.sum(k).alias(k) for k in ("insertions", "deletions", "substitutions")], F.sum(F.size(words(F.col(ref)))).alias("units"))
+    sums = edit_kinds(df, ref, hyp).groupBy(*by).agg(*[F.sum(k).alias(k) for k in ("insertions", "deletions", "substitutions", "units")])
     return sums.withColumns({k[:3] + "_rate": safe_divide(F.col(k).cast("double"), F.col("units")) for k in ("insertions", "deletions", "substitutions")})
 
 
-def ner_counts(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True) -> DataFrame:
-    """tp, gt, pred per label over tagged texts: spans (label, phrase, occ) of the same row meet in an equi full join."""
-    spans = lambda c, flag: df.select(key, F.inline(entity_spans(F.col(c), reset))).withColumn(flag, F.lit(1))
+def ner_counts(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True, by_label: bool = False, vocabulary: tuple[str, ...] | None = None) -> DataFrame:
+    """tp, gt, pred per label over tagged texts: spans (label, phrase, occ) of the same row meet in an equi full join.
+
+    by_label: spans count by their label alone, whatever their phrases. vocabulary: only these tags open spans.
+    """
+    spans = lambda c, flag: df.select(key, F.inline(entity_spans(F.col(c), reset, by_label, vocabulary))).withColumn(flag, F.lit(1))
     both = spans(ref, "gt").join(spans(hyp, "pred"), [key, "label", "phrase", "occ"], "full")
     return both.groupBy("label").agg(F.count("gt").alias("gt"), F.count("pred").alias("pred"), F.count(F.when(F.col("gt").isNotNull() & F.col("pred").isNotNull(), 1)).alias("tp"))
 
@@ -99,9 +125,12 @@ def scores(counts: DataFrame) -> DataFrame:
     return counts.withColumns({"precision": p, "recall": r}).withColumn("fscore", safe_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
-def ner_scores(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True) -> DataFrame:
-    """One row per label, and overall_micro and overall_macro (whose counts are the sums; NaN without labels is null here)."""
-    per = ner_counts(df, key, ref, hyp, reset)
+def ner_scores(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True, by_label: bool = False, vocabulary: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per label, and overall_micro and overall_macro (whose counts are the sums; NaN without labels is null here).
+
+    The counts, a row a label, are staged: the texts are parsed once for all three.
+    """
+    per = staged(ner_counts(df, key, ref, hyp, reset, by_label, vocabulary), "ner")
     labelled = scores(per)
     total = per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gt", "pred", "tp")])
     micro = scores(total.select(F.lit("overall_micro").alias("label"), "gt", "pred", "tp"))
@@ -109,6 +138,22 @@ def ner_scores(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True)
     return labelled.select(*macro.columns).unionByName(micro.select(*macro.columns)).unionByName(macro)
 
 
+def evaluation(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = False, by_label: bool = False, vocabulary: tuple[str, ...] | None = None, chars: bool = False) -> DataFrame:
+    """The composite report, as (metric, value): wer or cer of the texts without their upper-case words, then precision, recall and fscore of each label and overall of the tagged texts."""
+    plain = df.select(key, drop_upper_words(F.coalesce(F.col(ref), F.lit(""))).alias("r"), drop_upper_words(F.coalesce(F.col(hyp), F.lit(""))).alias("h"))
+    rate = error_rate(plain, "r", "h", chars=chars).select(F.lit("cer" if chars else "wer").alias("metric"), F.col("rate").alias("value"))
+    found = ner_scores(df, key, ref, hyp, reset, by_label, vocabulary)
+    values = F.array(*[F.struct(F.concat_ws(".", "label", F.lit(m)).alias("metric"), F.col(m).alias("value")) for m in ("precision", "recall", "fscore")])
+    return rate.unionByName(found.select(F.inline(values)))
+
+
+def same_length(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The positional zip of two lists as a join on their row key; an error if a row of one has no partner in the other."""
+    a, b = (df.withColumn(f"_{n}", F.lit(True)) for n, df in (("a", left), ("b", right)))
+    whole = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    return a.join(b, key, "full").where(F.when(whole, True).otherwise(F.raise_error(F.lit("the lists differ in length")).cast("boolean"))).drop("_a", "_b")
+
+
 def confusion(df: DataFrame, ref: str, hyp: str, families: tuple[str, ...] = ("AGE", "GER", "EMOTION", "INTENT")) -> DataFrame:
     """family, actual, predicted, n: the first tag of each family on either side; pairs in which one lacks it are dropped."""
     first = lambda c, f: F.nullif(F.regexp_extract(c, rf"\b({f}_[A-Z0-9_]+)", 1), F.lit(""))
@@ -122,3 +167,18 @@ def class_report(confused: DataFrame) -> DataFrame:
     hit = confused.where("actual = predicted").select("family", F.col("actual").alias("label"), F.col("n").alias("tp"))
     joined = by("actual", "gt").join(by("predicted", "pred"), ["family", "label"], "full").join(hit, ["family", "label"], "left").fillna(0, ["gt", "pred", "tp"])
     return scores(joined).withColumnRenamed("gt", "support")
+
+
+def f1_summary(report: DataFrame) -> DataFrame:
+    """family, macro_f1 (the mean over its classes) and micro_f1 (of the summed counts) of a class report."""
+    micro_p, micro_r = safe_divide(F.sum("tp").cast("double"), F.sum("pred")), safe_divide(F.sum("tp").cast("double"), F.sum("support"))
+    both = report.groupBy("family").agg(F.avg("fscore").alias("macro_f1"), micro_p.alias("_p"), micro_r.alias("_r"))
+    return both.select("family", "macro_f1", safe_divide(2 * F.col("_p") * F.col("_r"), F.col("_p") + F.col("_r")).alias("micro_f1"))
+
+
+def error_analysis(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True) -> DataFrame:
+    """The rows behind the scores: label (and one row with label all for each text), the key, text, and the (label, phrase) pairs of both sides as JSON; line joins the three by tabs."""
+    spans = lambda c: F.to_json(F.transform(entity_spans(F.col(c), reset), lambda s: F.array(s["label"], s["phrase"])))
+    rows = df.select(key, F.coalesce(F.col(ref), F.lit("")).alias("text"), spans(ref).alias("gt"), spans(hyp).alias("pred"))
+    labels = F.array_distinct(F.transform(F.concat(*[F.from_json(c, "array<array<string>>") for c in ("gt", "pred")]), lambda p: p[0]))
+    return rows.withColumn("label", F.explode(F.concat(F.array(F.lit("all")), labels))).select("label", key, "text", "gt", "pred", F.concat_ws("\t", "text", "gt", "pred").alias("line"))

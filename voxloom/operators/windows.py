@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.paths import basename
-from voxloom.staging import staged
+from voxloom.operators.aggregates import union_all
+from voxloom.operators.components import components
+from voxloom.staging import drop, staged
 
 
 def speaker_change(df: DataFrame, file: str, pos: str, speaker: str) -> DataFrame:
@@ -65,19 +67,52 @@ def keep_first_name(df: DataFrame, path: str, order: list[str]) -> DataFrame:
 def keep_first_of_two_keys(df: DataFrame, path: str, content: str, pos: str) -> DataFrame:
     """Sequential keep-first on two keys: a row stays if no row that stays before it has its path or its content.
 
-    Rounds until every row is decided: a row that is the first undecided one of both its path and its content stays, and
-    all other rows of that path or that content go. Every round decides the first undecided row of each group of rows that keys
-    join, all groups side by side. Only keys and positions take part; least positions are pre-aggregated before each shuffle.
+    In rounds, a row that is the first undecided one of both its path and its content stays, and all other rows of that
+    path or that content go: every round decides the first rows of all groups side by side. Where a round leaves more
+    than half of the rows, what is left are chains of rows that alternate keys: each group of rows that keys join
+    (connected components) is then walked in order, all groups side by side, with the keys that were kept in memory.
+    Only keys and positions take part; least positions are pre-aggregated before each shuffle.
     Null keys are keys like any other; positions are unique.
     """
-    live = staged(df.select(F.col(pos).alias("n"), F.struct(path).alias("p"), F.struct(content).alias("c")), "live")
-    stay = None
-    while not live.isEmpty():
+    key = lambda c: F.to_json(F.struct(F.col(c).alias("k")))  # noqa: E731  {} for null
+    live = staged(df.select(F.col(pos).alias("n"), key(path).alias("p"), key(content).alias("c")), "live")
+    stay, rows = [], live.count()
+    while rows:
         first = lambda k: live.groupBy(k).agg(F.min("n").alias("n"))
-        winners = staged(first("p").join(first("c"), "n").select("n", "p", "c"), "stay")
-        stay = winners.select("n") if stay is None else stay.unionByName(winners.select("n"))
-        live = staged(live.join(winners.select("p"), "p", "left_anti").join(winners.select("c"), "c", "left_anti").select("n", "p", "c"), "live")
-    return df.where("false") if stay is None else df.join(stay.withColumnRenamed("n", pos), pos, "left_semi")
+        winners = staged(first("p").join(first("c"), ["n"]).select("n", "p", "c"), "stay")
+        stay.append(winners.select("n"))
+        left = staged(live.join(winners.select("p"), "p", "left_anti").join(winners.select("c"), "c", "left_anti").select("n", "p", "c"), "live")
+        drop(live)
+        live, before, rows = left, rows, left.count()
+        if 2 * rows > before:
+            stay.append(_walk_groups(live))
+            break
+    if not stay:
+        return df.where("false")
+    return df.join(union_all(*stay).withColumnRenamed("n", pos), pos, "left_semi")
+
+
+def _walk_groups(live: DataFrame) -> DataFrame:
+    """n of the rows that stay, each group of rows that share keys walked by one task in order."""
+    schema = live.select("n").schema
+    rows = live.withColumns({"a": F.xxhash64(F.lit("p"), "p"), "b": F.xxhash64(F.lit("c"), "c")})
+    groups = components(rows, "a", "b")
+    ordered = rows.join(groups, rows.a == groups.node).select("component", "n", "p", "c").repartition("component").sortWithinPartitions("component", "n")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, paths, contents = None, set(), set()
+        for batch in batches:
+            keep = []
+            for i, (g, p, c) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)))):
+                if g != group:
+                    group, paths, contents = g, set(), set()
+                if p not in paths and c not in contents:
+                    paths.add(p)
+                    contents.add(c)
+                    keep.append(i)
+            yield batch.select(["n"]).take(pa.array(keep, pa.int64()))
+
+    return ordered.mapInArrow(walk, schema)
 
 
 def sliding_chunks(seconds: Column, length: float = 30.0, overlap: float = 10.0, least: float = 1.0) -> Column:

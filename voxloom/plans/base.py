@@ -38,7 +38,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HYP_SPARK = """replace(replace(CASE WHEN doc_id % 5 = 0 THEN replace(replace(text, 'ENTITY_CITY paris END ', ''), 'ENTITY_PERSON_NAME Ana Roy END ', '') WHEN doc_id % 6 = 1 THEN replace(text, 'Ana Roy END', 'Ana END') ELSE text END,
-    CASE WHEN doc_id % 4 = 0 THEN ' EMOTION_NEU' ELSE '#' END, ' EMOTION_HAP'), CASE WHEN doc_id % 7 = 0 THEN ' INTENT_ASK' ELSE '#!' END, ' INTENT_INFORM')"""
+    CASE WHEN doc_id % 4 = 0 THEN ' EMOTION_NEU' ELSE chr(1) END, ' EMOTION_HAP'), CASE WHEN doc_id % 7 = 0 THEN ' INTENT_ASK' ELSE chr(1) END, ' INTENT_INFORM')"""
 PAIRS = TAGGED + f", p AS (SELECT doc_id, lang, text AS ref, {HYP_SPARK} AS hyp FROM t)"
 
 

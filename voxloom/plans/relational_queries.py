@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.catalog import query
-from voxloom.functions import buckets, providers, tags
+from voxloom.functions import buckets, tags
 from voxloom.operators import aggregates, filters, joins, metrics, repair, windows
 from voxloom.plans.base import PAIRS, TAGGED, TURNS, UTTERANCES, pairs, table, tagged, turns, utterances
 from voxloom.sources import manifests, sinks, subtitles
+from voxloom.staging import scratch
 from voxloom.streaming import ingest
 
 
@@ -33,6 +34,16 @@ def p_pattern(spark, sf_dir):
     return m.where(filters.has_p_pattern(F.col("text"))).select("doc_id")
 
 
+@query("p_pattern_strict", f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{_N}p') OR regexp_matches(text, '{_N}P\\s+[Pp]{_M}') OR contains(text, '(P)') OR contains(text, '\"P\"') OR regexp_matches(text, '[.!?,:;]\\s+P(\\s|$)') OR regexp_matches(text, '(^|\\s)P\\s+[.!?,:;]')")
+def p_pattern_strict(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(filters.has_p_pattern(F.col("text"), strict=True)).select("doc_id")
+
+
+@query("lacks_duration", "SELECT event_id FROM events WHERE event_id % 4 = 0")
+def lacks_duration(spark, sf_dir):
+    return table(spark, sf_dir, "events").where(filters.lacks_duration(F.expr("CASE WHEN event_id % 4 <> 0 THEN value END"))).select("event_id")
+
+
 @query("duration_checks", "SELECT doc_id, abs(n_chars / 15::DOUBLE - (n_chars + doc_id % 20) / 15::DOUBLE) > 0.5 AS mismatch, CASE WHEN doc_id % 4 = 0 THEN -1.0::DOUBLE ELSE n_chars::DOUBLE END AS usable FROM documents")
 def duration_checks(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", filters.duration_mismatch(F.expr("n_chars / 15D"), F.expr("(n_chars + doc_id % 20) / 15D")).alias("mismatch"), filters.usable_duration(F.expr("CASE WHEN doc_id % 4 = 0 THEN 'x' ELSE CAST(n_chars AS STRING) END")).alias("usable"))
@@ -69,10 +80,18 @@ def coalesced_key_anti(spark, sf_dir):
     return joins.not_done(k, table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("k")), "k").select("doc_id", "k")
 
 
-@query("prefix_anti", "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND starts_with(d.text, substr(b.text, 1, 2 + b.item_id % 5)))")
+@query("prefix_anti", "WITH l AS (SELECT doc_id, text FROM documents UNION ALL SELECT 1000000 + item_id, text || ' and on' FROM benchmark) SELECT doc_id FROM l WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND starts_with(l.text, b.text))")
 def prefix_anti(spark, sf_dir):
-    prefixes = table(spark, sf_dir, "benchmark").selectExpr("substr(text, 1, CAST(2 + item_id % 5 AS INT)) AS prefix")
-    return joins.without_prefixes(table(spark, sf_dir, "documents").selectExpr("doc_id", "text AS value"), prefixes).select("doc_id")
+    b = table(spark, sf_dir, "benchmark")
+    lines = aggregates.union_all(table(spark, sf_dir, "documents").selectExpr("doc_id", "text AS value"), b.selectExpr("1000000 + item_id AS doc_id", "concat(text, ' and on') AS value"))
+    return joins.without_prefixes(lines, b.selectExpr("text AS prefix")).select("doc_id")
+
+
+@query("prefix_anti_lengths", "WITH p AS (SELECT DISTINCT substr(text, 1, 1 + doc_id * 7 % 1501) AS p FROM documents WHERE doc_id % 3 = 0) SELECT doc_id FROM documents d WHERE text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.p <> '' AND starts_with(d.text, p.p))")
+def prefix_anti_lengths(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    prefixes = d.where("doc_id % 3 = 0").select(F.expr("substr(text, 1, CAST(1 + doc_id * 7 % 1501 AS INT))").alias("prefix"))
+    return joins.without_prefixes(d.where("text is not null").selectExpr("doc_id", "text AS value"), prefixes).select("doc_id")
 
 
 @query("pair_join", f"WITH {TAGGED}, l AS (SELECT doc_id, any_value(quality) AS quality FROM labels GROUP BY doc_id) SELECT t.doc_id, audio_filepath, quality FROM t JOIN l USING (doc_id)")
@@ -141,10 +160,12 @@ def dedup_name(spark, sf_dir):
     return windows.keep_first_name(e, "path", ["ts", "event_id"]).select("event_id")
 
 
-@query("dedup_two_key")
+@query("dedup_two_key", """WITH r AS (SELECT list({'n': event_id, 'p': user_id, 'c': CASE WHEN value < 0 THEN ceil(value) ELSE floor(value) END} ORDER BY event_id) AS rows FROM events),
+    k AS (SELECT list_reduce(rows, lambda a, x: CASE WHEN list_contains(a.p, x.p) OR list_contains(a.c, x.c) THEN a ELSE {'n': list_append(a.n, x.n), 'p': list_append(a.p, x.p), 'c': list_append(a.c, x.c)} END, {'n': []::BIGINT[], 'p': []::BIGINT[], 'c': []::DOUBLE[]}) AS kept FROM
+        (SELECT list_transform(rows, lambda x: {'n': x.n, 'p': x.p, 'c': x.c}) AS rows FROM r)) SELECT unnest(kept.n) AS event_id FROM k""")
 def dedup_two_key(spark, sf_dir):
     e = table(spark, sf_dir, "events").selectExpr("event_id", "user_id AS path", "CAST(value AS INT) AS content")
-    return windows.keep_first_of_two_keys(e, "path", "content", "event_id")
+    return windows.keep_first_of_two_keys(e, "path", "content", "event_id").select("event_id")
 
 
 _LINE = """CASE {k} % 7 WHEN 0 THEN concat('{{"audio_filepath":"', {k}, '.wav","text":"t', {k}, '"}}, "duration": ', {k} % 9, '.5}}') WHEN 1 THEN concat('{{"audio_filepath":"', {k}, '.wav","text":"cut', {k})
@@ -243,7 +264,11 @@ def cue_overlap_join(spark, sf_dir):
     return joins.overlaps(cues, turns(spark, sf_dir), "conv_id", ("a", "b"), ("start", "end")).select("event_id", "conv_id", "turn")
 
 
-@query("cue_merge")
+_WORDS = "list_filter(regexp_split_to_array({}, '\\s+'), lambda w: w <> '')"
+
+
+@query("cue_merge", f"""WITH c AS (SELECT conv_id, list({_WORDS.format('text')} ORDER BY turn) AS cues FROM conversations GROUP BY conv_id)
+    SELECT conv_id, array_to_string(list_reduce(cues, lambda a, w: list_concat(a, w[coalesce(list_max(list_filter(range(1, 31), lambda k: k <= len(a) AND k <= len(w) AND lower(array_to_string(a[len(a) - k + 1:], ' ')) = lower(array_to_string(w[1:k], ' ')))), 0) + 1:]), []::VARCHAR[]), ' ') AS text FROM c""")
 def cue_merge(spark, sf_dir):
     rows = turns(spark, sf_dir).groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]).alias("cues"))
     return rows.select("conv_id", windows.merge_overlapping(F.col("cues")).alias("text"))
@@ -301,7 +326,15 @@ def cer_micro(spark, sf_dir):
     return metrics.error_rate(c, "ref", "hyp", ["c_mktsegment"], chars=True).withColumn("rate", F.round("rate", 6))
 
 
-@query("wer_detail")
+#: Rows of distances one after the other, each place with the substitutions on the walk back from it.
+_ALIGNED = """v AS (SELECT role, r, h, count(*) AS times FROM d GROUP BY ALL),
+g AS (SELECT role, times, len(r) AS m, len(h) AS k, list_reduce(r, lambda p, x: list_reduce(range(1, len(h) + 1), lambda a, j: list_append(a,
+    {'d': least(p[j].d + (x <> h[j])::BIGINT, p[j + 1].d + 1, a[j].d + 1), 's': CASE WHEN p[j].d + (x <> h[j])::BIGINT <= least(p[j + 1].d + 1, a[j].d + 1) THEN p[j].s + (x <> h[j])::BIGINT WHEN p[j + 1].d <= a[j].d THEN p[j + 1].s ELSE a[j].s END}),
+    [{'d': p[1].d + 1, 's': 0::BIGINT}]), list_transform(range(0, len(h) + 1), lambda j: {'d': j::BIGINT, 's': 0::BIGINT}))[-1] AS z FROM v),
+n AS (SELECT role, sum(times * (z.d - z.s + k - m) // 2)::BIGINT AS insertions, sum(times * (z.d - z.s - k + m) // 2)::BIGINT AS deletions, sum(times * z.s)::BIGINT AS substitutions, sum(times * m)::BIGINT AS units FROM g GROUP BY role)"""
+
+
+@query("wer_detail", f"WITH {UTTERANCES}, {_ALIGNED} SELECT role, insertions, deletions, substitutions, units, insertions / units::DOUBLE AS ins_rate, deletions / units::DOUBLE AS del_rate, substitutions / units::DOUBLE AS sub_rate FROM n")
 def wer_detail(spark, sf_dir):
     return metrics.error_detail(utterances(spark, sf_dir), "ref", "hyp", ["role"])
 
@@ -338,10 +371,43 @@ def class_report(spark, sf_dir):
     return out.select("family", "label", "support", "pred", "tp", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fscore")])
 
 
-@query("eval_report", f"""WITH {UTTERANCES} SELECT 'wer' AS metric, round(sum(edits) / sum(units)::DOUBLE, 6) AS value FROM e UNION ALL SELECT 'utterances', count(*)::DOUBLE FROM e""")
+@query("eval_report", f"""WITH {PAIRS} {_SPANS}, o AS (SELECT CASE WHEN doc_id % 5 = 0 THEN CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END WHEN doc_id % 6 = 1 AND doc_id % 3 = 1 THEN 1 ELSE 0 END AS edits, len(list_filter(regexp_split_to_array(array_to_string(list_filter(string_split(ref, ' '), lambda w: NOT (upper(w) = w AND lower(w) <> w)), ' '), '\\s+'), lambda w: w <> '')) AS units FROM p),
+    q AS (SELECT label, p AS precision, r AS recall, f AS fscore FROM f UNION ALL SELECT 'overall_macro', avg(p), avg(r), avg(f) FROM f WHERE label <> 'overall_micro')
+    SELECT 'wer' AS metric, round(sum(edits) / sum(units)::DOUBLE, 6) AS value FROM o UNION ALL SELECT label || '.precision', round(precision, 6) FROM q UNION ALL SELECT label || '.recall', round(recall, 6) FROM q UNION ALL SELECT label || '.fscore', round(fscore, 6) FROM q""")
 def eval_report(spark, sf_dir):
-    e = metrics.with_edits(utterances(spark, sf_dir), "ref", "hyp").agg(F.round(F.sum("edits") / F.sum("units"), 6).alias("wer"), F.count("*").cast("double").alias("utterances"))
-    return e.select(F.inline(F.array(F.struct(F.lit("wer").alias("metric"), F.col("wer").alias("value")), F.struct(F.lit("utterances").alias("metric"), F.col("utterances").alias("value")))))
+    return metrics.evaluation(pairs(spark, sf_dir), "doc_id", "ref", "hyp", reset=True).select("metric", F.round("value", 6).alias("value"))
+
+
+@query("ner_scores_by_label", f"""WITH {PAIRS} {_SPANS.replace("unnest(regexp_extract_all(side_text, 'ENTITY_[A-Z0-9_]+ (.+?) END( |$)', 1)) AS phrase", "'phrase' AS phrase")}
+    SELECT label, gt, pred, tp, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS fscore FROM f WHERE label <> 'overall_micro' AND label = 'ENTITY_CITY'""")
+def ner_scores_by_label(spark, sf_dir):
+    out = metrics.ner_scores(pairs(spark, sf_dir), "doc_id", "ref", "hyp", by_label=True, vocabulary=("ENTITY_CITY",)).where("label not like 'overall%'")
+    return out.select("label", "gt", "pred", "tp", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fscore")])
+
+
+@query("error_analysis", f"WITH {PAIRS} {_SPANS}, b AS (SELECT DISTINCT doc_id, label FROM x UNION ALL SELECT doc_id, 'all' FROM p) SELECT b.doc_id, b.label, length(p.ref) AS n FROM b JOIN p USING (doc_id)")
+def error_analysis(spark, sf_dir):
+    return metrics.error_analysis(pairs(spark, sf_dir), "doc_id", "ref", "hyp").select("doc_id", "label", F.length("text").cast("long").alias("n"))
+
+
+@query("positional_zip", "SELECT doc_id, d.lang, n_chars FROM documents d")
+def positional_zip(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return metrics.same_length(d.select("doc_id", "lang"), d.select("doc_id", "n_chars"), "doc_id")
+
+
+@query("f1_summary", f"""WITH {PAIRS} {_CONFUSED.replace(chr(92) * 2, chr(92))}, g AS (SELECT family, actual AS label, sum(n) AS support, sum(n) FILTER (actual = predicted) AS tp FROM z GROUP BY 1, 2), h AS (SELECT family, predicted AS label, sum(n) AS pred FROM z GROUP BY 1, 2),
+    j AS (SELECT family, label, coalesce(support, 0) AS support, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp FROM g FULL JOIN h USING (family, label))
+    SELECT family, round(avg(CASE WHEN tp = 0 THEN 0 ELSE 2 * tp / (support + pred)::DOUBLE END), 6) AS macro_f1, round(sum(tp) / sum(support)::DOUBLE, 6) AS micro_f1 FROM j GROUP BY family""")
+def f1_summary(spark, sf_dir):
+    out = metrics.f1_summary(metrics.class_report(metrics.confusion(pairs(spark, sf_dir), "ref", "hyp")))
+    return out.select("family", F.round("macro_f1", 6).alias("macro_f1"), F.round("micro_f1", 6).alias("micro_f1"))
+
+
+@query("chunk_texts", f"""WITH {TURNS} SELECT conv_id, coalesce(string_agg(trim(text), ' ' ORDER BY turn), '') AS text, trim(coalesce(string_agg(CASE WHEN turn % 2 = 1 THEN role END, ' ' ORDER BY turn), '')) AS odd, round(max("end") - min(start), 4) AS duration FROM u GROUP BY conv_id""")
+def chunk_texts(spark, sf_dir):
+    t = turns(spark, sf_dir).withColumns({"text": F.trim("text"), "odd": F.expr("CASE WHEN turn % 2 = 1 THEN role ELSE '' END")})
+    return aggregates.chunk_texts(t, "conv_id", ["turn"], ["text", "odd"]).withColumn("duration", F.round("duration", 4))
 
 
 @query("repeat_numbers", "SELECT event_id, array_to_string([props || '#1', event_type || '#1', props || '#2', props || '#3'], ',') AS numbered FROM events")
@@ -433,47 +499,28 @@ def event_windows(spark, sf_dir):
     return ingest.windowed_counts(spark, table(spark, sf_dir, "events"), "1 hour").select("start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query("ttl_sessions")
+_TTL = """WITH t AS (SELECT user_id, list([{'start': ts, 'n': 1::BIGINT}] ORDER BY ts) AS e FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY user_id),
+    s AS (SELECT user_id, unnest(list_reduce(e, lambda a, x: CASE WHEN x[1].start >= a[-1].start + INTERVAL 60 MINUTE THEN list_concat(a, x) ELSE list_append(a[:-2], {'start': a[-1].start, 'n': a[-1].n + 1}) END)) AS s FROM t)
+    SELECT user_id, s.start AS start, s.n AS n FROM s"""
+
+
+@query("ttl_sessions", _TTL)
 def ttl_sessions(spark, sf_dir):
     return ingest.sessions(table(spark, sf_dir, "events"))
 
 
+@query("ttl_session_stream", _TTL)
+def ttl_session_stream(spark, sf_dir):
+    """The same as a stream: the events, and then a late one of nobody, with which the watermark passes every end."""
+    src, out, ck = (scratch(spark, x) for x in ("stream-in", "stream-out", "stream-ck"))
+    e = table(spark, sf_dir, "events").selectExpr("user_id", "CAST(ts AS TIMESTAMP) AS ts")
+    for part in (e, e.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("user_id"), "ts")):
+        part.write.mode("append").parquet(src)
+        rows = ingest.session_stream(spark.readStream.schema("user_id long, ts timestamp").parquet(src))
+        ingest.with_state_store(spark, lambda: rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("user_id long, start timestamp, n long").parquet(out).where("user_id <> -1")
+
+
 @query("describe_columns", "SELECT 'doc_id' AS \"column\", 'bigint' AS type, count(doc_id) AS \"values\", count(*) AS rows FROM labels UNION ALL SELECT 'quality', 'int', count(quality), count(*) FROM labels UNION ALL SELECT 'toxic', 'int', count(toxic), count(*) FROM labels")
 def describe_columns(spark, sf_dir):
     return manifests.describe(table(spark, sf_dir, "labels").selectExpr("doc_id", "CAST(quality AS INT) AS quality", "CAST(toxic AS INT) AS toxic"))
-
-
-@query("annotate_stub")
-def annotate_stub(spark, sf_dir):
-    return providers.annotate_batches(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "text", providers.StubAnnotator)
-
-
-@query("annotate_pairs_stub")
-def annotate_pairs_stub(spark, sf_dir):
-    q = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("question"), F.col("text").alias("answer"))
-    return providers.annotate_pairs(q, "question", "answer", providers.StubAnnotator)
-
-
-@query("emotion_stub")
-def emotion_stub(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", providers.text_emotion(F.col("text")).alias("emotion"))
-
-
-@query("audio_traits_stub")
-def audio_traits_stub(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", providers.audio_traits(F.col("text").cast("binary"), F.expr("n_chars / 100D")).alias("t")).select("doc_id", "t.*")
-
-
-@query("entity_spans_stub")
-def entity_spans_stub(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tags.inject_spans(F.col("text"), providers.entity_provider(F.col("text"))).alias("text"))
-
-
-@query("diarize_stub")
-def diarize_stub(spark, sf_dir):
-    return providers.diarize(table(spark, sf_dir, "documents").select("doc_id", F.expr("n_chars / 15D").alias("seconds")), "doc_id", "seconds")
-
-
-@query("inverse_normalize_stub")
-def inverse_normalize_stub(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", tags.keep_head_of_age(F.col("text"), providers.inverse_normalize).alias("text"), providers.sentence_stops(F.col("text")).alias("stopped"))

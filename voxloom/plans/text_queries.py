@@ -37,14 +37,14 @@ SELECT doc_id,
  CASE WHEN years <= 17 THEN '0-17' WHEN years <= 29 THEN '18-29' WHEN years <= 44 THEN '30-44' WHEN years <= 59 THEN '45-59' ELSE '60+' END AS lecture,
  CASE WHEN years <= 18 THEN '0_18' WHEN years <= 30 THEN '18_30' WHEN years <= 45 THEN '30_45' WHEN years <= 60 THEN '45_60' ELSE '60PLUS' END AS inclusive,
  CASE WHEN pct < 18 THEN '0-17' WHEN pct < 25 THEN '18-24' WHEN pct < 35 THEN '25-34' WHEN pct < 45 THEN '35-44' WHEN pct < 55 THEN '45-54' WHEN pct < 65 THEN '55-64' ELSE '65+' END AS service,
- CASE ['twenties', 'fourties', 'nineties', 'other'][doc_id % 4 + 1] WHEN 'fourties' THEN '30_45' WHEN 'nineties' THEN '60PLUS' ELSE '18_30' END AS word,
+ ['18_30', '30_45', '45_60', '45_60', '60PLUS', '60PLUS', '60PLUS', '60PLUS', '18_30', '18_30', '18_30', '45_60'][doc_id % 12 + 1] AS word,
  CASE WHEN years < 18 THEN '0_18' WHEN years < 30 THEN '18_30' WHEN years < 45 THEN '30_45' WHEN years < 60 THEN '45_60' ELSE '60PLUS' END AS years FROM b"""
 
 
 @query("age_bucket_all", _AGE_SQL)
 def age_bucket_all(spark, sf_dir):
     age, years = F.expr("CAST(doc_id % 100 AS DOUBLE) / 100"), F.expr("CAST(doc_id % 100 AS DOUBLE)")
-    word = F.expr("element_at(array('twenties', 'fourties', 'nineties', 'other'), CAST(doc_id % 4 AS INT) + 1)")
+    word = F.expr("element_at(array('twenties', 'thirties', 'fourties', 'fifties', 'sixties', 'seventies', 'eighties', 'nineties', 'teens', 'other', NULL, 'Fourties'), CAST(doc_id % 12 AS INT) + 1)")
     return table(spark, sf_dir, "documents").select("doc_id", buckets.age_scaled(age).alias("scaled"), buckets.age_scaled_whole(age).alias("scaled_whole"), buckets.age_district(years).alias("district"), buckets.age_lecture(years).alias("lecture"), buckets.age_inclusive(years).alias("inclusive"), buckets.age_service(age).alias("service"), buckets.age_word(word).alias("word"), buckets.age_years(years).alias("years"))
 
 
@@ -115,7 +115,14 @@ def word_run_collapse(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tags.collapse_word_runs(F.expr(_RUNS)).alias("text"))
 
 
-@query("word_repeat_fixpoint")
+_W = "\\pL\\pN\\pM_"
+#: Words and what stands between them in turn; of three or more equal words with only white space between them, the last.
+_ONCE = f"""WITH w AS (SELECT doc_id, regexp_extract_all({_RUNS}, '[{_W}]+|[^{_W}]+') AS t FROM documents), s AS (SELECT doc_id, t, list_transform(t, lambda x, i: coalesce(x = t[i + 2] AND regexp_full_match(t[i + 1], '\\s+') AND regexp_matches(x, '[{_W}]'), false)) AS s FROM w),
+    g AS (SELECT doc_id, t, list_transform(s, lambda x, i: x AND (coalesce(s[i + 2], false) OR (i > 2 AND coalesce(s[greatest(i - 2, 1)], false)))) AS g FROM s),
+    o AS (SELECT doc_id, array_to_string(list_filter(t, lambda x, i: NOT (g[i] OR (i > 1 AND g[greatest(i - 1, 1)]))), '') AS text FROM g)"""
+
+
+@query("word_repeat_fixpoint", f"{_ONCE} SELECT doc_id, text, {_SQUEEZE.format('text')} || ' AGE_0_18' AS moved FROM o")
 def word_repeat_fixpoint(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tags.collapse_repeats(F.expr(_RUNS)).alias("text"), tags.metadata_to_end(F.concat(F.lit("AGE_0_18 "), F.expr(_RUNS))).alias("moved"))
 
@@ -125,13 +132,53 @@ def _broken(spark, sf_dir):
     return tagged(spark, sf_dir).select("doc_id", F.expr("replace(replace(text, ' END ', CASE WHEN doc_id % 2 = 0 THEN ' END END ' ELSE 'END ' END), 'ENTITY_PERSON_NAME', CASE WHEN doc_id % 4 = 1 THEN 'ENTITY_PERSON_NAM E' ELSE 'ENTITY_PERSON_NAME' END)").alias("text"))
 
 
-for _name, _rule in (("fix_end_family_a", tags.fix_end_family_a), ("fix_end_family_b", tags.fix_end_family_b), ("fix_end_family_c", tags.fix_end_family_c), ("fix_end_of_reply", tags.fix_end_of_reply), ("glue_split_tags", tags.glue_split_tags)):
-    query(_name)(lambda spark, sf_dir, rule=_rule: _broken(spark, sf_dir).select("doc_id", rule(F.col("text")).alias("text")))
-for _name, _rule in (("join_tag_parts", tags.join_tag_parts()), ("fix_tag_case", tags.fix_tag_case), ("capitalize_entities", tags.capitalize_entities), ("normalize_ner_case", tags.normalize_ner_case)):
-    query(_name)(lambda spark, sf_dir, rule=_rule: _broken(spark, sf_dir).select("doc_id", rule(F.col("text")).alias("text")))
+_BROKEN = f"WITH {TAGGED}, b AS (SELECT doc_id, replace(replace(text, ' END ', CASE WHEN doc_id % 2 = 0 THEN ' END END ' ELSE 'END ' END), 'ENTITY_PERSON_NAME', CASE WHEN doc_id % 4 = 1 THEN 'ENTITY_PERSON_NAM E' ELSE 'ENTITY_PERSON_NAME' END) AS text FROM t)"
+
+
+def _steps(*steps: tuple[str, str]) -> str:
+    """SQL of replacements (pattern, with what) one after the other, over texts with white space runs as one space."""
+    out = _SQUEEZE.format("text")
+    for pattern, to in steps:
+        out = f"regexp_replace({out}, '{pattern}', '{to}', 'g')"
+    return out
+
+
+def _marks(c: str, marks: str) -> str:
+    return _SQUEEZE.format(f"regexp_replace(regexp_replace({c}, '\\s+([{marks}])', '\\1', 'g'), '([{marks}])([{_W}])', '\\1 \\2', 'g')")
+
+
+_SPACED = ("(ENTITY_[A-Z0-9_]+)([^A-Z0-9_\\s])", "\\1 \\2")
+_BEFORE_END = (f"(\\S)END([^{_W}]|$)", "\\1 END\\2")
+#: The last span is open until metadata follows, and a text without an END right before that gets one.
+_A = _steps(("\\s+END\\s+(AGE_|GENDER_|EMOTION_|INTENT_|$)", " \\1"), ("\\s+END\\s+END", " END"), ("(ENTITY_[A-Z0-9_]+\\s+\\S.*?)(\\s+(AGE_|GENDER_|EMOTION_|INTENT_))", "\\1 END\\2"), _SPACED, _BEFORE_END)
+_B = _steps(_SPACED, _BEFORE_END, (f"(^|[^{_W}])END(\\S)", "\\1END \\2"), ("END\\s+END", "END"), ("END\\s*(AGE_|GENDER_|EMOTION_|INTENT_|$)", "\\1"))
+_C = _steps(("([।?!:;,.])\\s+END(\\s+INTENT_|\\s*$)", "\\1\\2"), ("END(\\s+END)+", "END"), ("\\sEND\\s+(INTENT_)", " \\1"), _SPACED, _BEFORE_END)
+_REPLY = f"""regexp_replace(regexp_replace(text, '(\\S)END([^{_W}]|$)', '\\1 END\\2', 'g'), '(ENTITY_[A-Z0-9_]+)([^A-Z0-9_\\s])', '\\1 \\2', 'g')"""
+_GLUED = "text"
+for _pattern, _to in (("(ENTITY_[A-Z]+)_([A-Z]+)\\s+([A-Z]+)", "\\1_\\2\\3"), ("(ENTITY_[A-Z]+)\\s+([A-Z]+)", "\\1\\2"), ("(ENTITY_[A-Z]+)_([A-Z]{2,})\\s+([A-Z])", "\\1_\\2\\3"), ("(ENTITY_[A-Z_]+)\\s+([A-Z]+)", "\\1\\2")):
+    _GLUED = f"regexp_replace({_GLUED}, '{_pattern}', '{_to}', 'g')"
+
+for _name, _rule, _sql in (
+    ("fix_end_family_a", tags.fix_end_family_a, f"{_BROKEN}, a AS (SELECT doc_id, {_A} AS text FROM b) SELECT doc_id, {_marks('text', '?!:;,.')} AS text FROM a"),
+    ("fix_end_family_b", tags.fix_end_family_b, f"{_BROKEN}, a AS (SELECT doc_id, {_B} AS text FROM b) SELECT doc_id, {_marks('text', '?!:;,.।')} AS text FROM a"),
+    ("fix_end_family_c", tags.fix_end_family_c, f"{_BROKEN}, a AS (SELECT doc_id, {_C} AS text FROM b) SELECT doc_id, {_marks('text', '।?!:;,.')} || CASE WHEN doc_id % 3 < 2 THEN ' END' ELSE '' END AS text FROM a"),
+    ("fix_end_of_reply", tags.fix_end_of_reply, f"{_BROKEN}, a AS (SELECT doc_id, {_REPLY} AS text FROM b) SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN regexp_replace(text, '(ENTITY_[A-Z0-9_]+\\s+\\S+)', '\\1 END') ELSE text END AS text FROM a"),
+    ("glue_split_tags", tags.glue_split_tags, f"""{_BROKEN}, a AS (SELECT doc_id, {_GLUED} AS text FROM b)
+        SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN substr(text, 1, position('END' IN text) + 2) || replace(substr(text, position('END' IN text) + 3), 'END', '') ELSE regexp_replace(text, '(^|[^{_W}])END([^{_W}]|$)', '\\1\\2', 'g') END AS text FROM a"""),
+    ("join_tag_parts", tags.join_tag_parts(), f"{_BROKEN} SELECT doc_id, replace(text, 'ENTITY_PERSON_NAM E ', 'ENTITY_PERSON_NAME ') AS text FROM b"),
+    ("fix_tag_case", tags.fix_tag_case, f"{_BROKEN}, a AS (SELECT doc_id, regexp_replace(text, '(^|[^{_W}])[Ee][Nn][Dd]([^{_W}]|$)', '\\1END\\2', 'g') AS text FROM b) SELECT doc_id, regexp_replace(text, '(^|[^{_W}])[Ee][Nn][Dd]([^{_W}]|$)', '\\1END\\2', 'g') AS text FROM a"),
+    ("capitalize_entities", tags.capitalize_entities, f"{_BROKEN} SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN text WHEN doc_id % 2 = 0 THEN replace(replace(text, 'paris END END', 'Paris END  END'), 'Roy END END', 'Roy END  END') ELSE replace(replace(text, 'parisEND', 'Paris END'), 'RoyEND', 'Roy END') END AS text FROM b"),
+    ("normalize_ner_case", tags.normalize_ner_case, f"{_BROKEN} SELECT doc_id, array_to_string(list_transform(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''), lambda w: CASE WHEN upper(w) = 'END' OR regexp_matches(w, '^(?i)(AGE|GER|GENDER|EMOTION|INTENT)_') THEN upper(w) ELSE lower(w) END), ' ') AS text FROM b"),
+):
+    query(_name, _sql)(lambda spark, sf_dir, rule=_rule: _broken(spark, sf_dir).select("doc_id", rule(F.col("text")).alias("text")))
+
+
+_UPPER = "html"
+for _open, _close in ("<>", ("\\[", "\\]"), ("\\{", "\\}"), ("\\(", "\\)")):
+    _UPPER = f"""array_to_string(list_transform(regexp_extract_all({_UPPER}, '{_open}[^{_close}]*{_close}|[^{_open}]+|{_open}'), lambda x: CASE WHEN regexp_full_match(x, '{_open}[^{_close}]*{_close}') THEN ' ' || upper(replace(trim(regexp_replace(x[2:-2], '\\s+', ' ', 'g')), 'ß', 'SS')) || ' ' ELSE x END), '')"""
 
 
-@query("upper_brackets")
+@query("upper_brackets", f"SELECT page_id, {_SQUEEZE.format(_UPPER)} AS text FROM pages")
 def upper_brackets(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tags.upper_brackets(F.col("html")).alias("text"))
 
@@ -177,12 +224,12 @@ def drop_upper_words(spark, sf_dir):
     return tagged(spark, sf_dir).select("doc_id", F.size(tags.tokens(tags.drop_upper_words(F.col("text")))).cast("long").alias("kept"))
 
 
-@query("inject_entities", """SELECT doc_id, 'ENTITY_FIRST ' || substr(text, 1, 3) || ' END' || substr(text, 4, 2) || 'ENTITY_SECOND ' || substr(text, 6, 2) || ' END' || substr(text, 8) AS by_offset,
-    CASE WHEN position('the' IN text) > 0 THEN substr(text, 1, position('the' IN text) - 1) || 'ENTITY_WORD the END' || substr(text, position('the' IN text) + 3) ELSE text END AS by_text FROM documents WHERE length(text) > 8""")
+@query("inject_entities", """SELECT doc_id, CASE WHEN length(text) >= 8 THEN 'ENTITY_FIRST ' || substr(text, 1, 3) || ' END' || substr(text, 4, 2) || 'ENTITY_SECOND ' || substr(text, 6, 2) || ' END' || substr(text, 8) ELSE text END AS by_offset,
+    CASE WHEN position('the' IN text) > 0 THEN substr(text, 1, position('the' IN text) - 1) || 'ENTITY_WORD the END' || substr(text, position('the' IN text) + 3) ELSE text END AS by_text FROM documents""")
 def inject_entities(spark, sf_dir):
-    spans = F.expr("array(named_struct('start', 0, 'end', 3, 'type', 'first'), named_struct('start', 5, 'end', 7, 'type', 'second'))")
+    spans = F.expr("filter(array(named_struct('start', 0, 'end', 3, 'type', 'first'), named_struct('start', 5, 'end', 7, 'type', 'second')), x -> length(text) >= 8)")
     words = F.expr("array(named_struct('text', 'the', 'type', 'word'))")
-    return table(spark, sf_dir, "documents").where(F.char_length("text") > 8).select("doc_id", tags.inject_spans(F.col("text"), spans).alias("by_offset"), tags.inject_strings(F.col("text"), words).alias("by_text"))
+    return table(spark, sf_dir, "documents").select("doc_id", tags.inject_spans(F.col("text"), spans).alias("by_offset"), tags.inject_strings(F.col("text"), words).alias("by_text"))
 
 
 @query("bio_repair", """WITH w AS (SELECT doc_id, list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM documents),

@@ -48,6 +48,13 @@ def read_table(spark: SparkSession, path: str, sep: str = "\t", strict: bool = T
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def read_csv_folder(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """All CSV files of a folder, with headers; an error if it has none."""
+    if spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(path).select("path").isEmpty():
+        raise FileNotFoundError(f"no CSV files in {path}")
+    return spark.read.schema(schema).option("sep", sep).option("header", True).option("multiLine", True).option("escape", '"').option("pathGlobFilter", "*.[cC][sS][vV]").csv(path)
+
+
 def split_pair(lines: DataFrame, separator: str = r" \| ", names: tuple[str, str] = ("audio_filepath", "text"), trim: bool = False, exact: bool = False, header: bool = False) -> DataFrame:
     """Lines of two parts, split once (with exact, lines of exactly two parts only); lines without the separator are left out."""
     parts = F.split("value", separator, -1 if exact else 2)
@@ -99,8 +106,8 @@ def read_verbatim(spark: SparkSession, path: str) -> DataFrame:
 
 def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("wav", "mp3", "flac", "ogg", "m4a"), recursive: bool = True) -> DataFrame:
     """path and length of files with one of the extensions, in any case; contents are not read. Object stores work by their Hadoop scheme."""
-    both = ",".join(x for e in extensions for x in (e.lower(), e.upper()))
-    return spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{both}}}").option("recursiveFileLookup", recursive).load(path).select("path", "length")
+    any_case = ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions)
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{any_case}}}").option("recursiveFileLookup", recursive).load(path).select("path", "length")
 
 
 def match_sidecars(media: DataFrame, sidecars: DataFrame, key: str = "stem", candidate: str = "name", languages: tuple[str, ...] = ("en",)) -> DataFrame:

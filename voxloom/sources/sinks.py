@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +17,20 @@ def write_json_lines(df: DataFrame, path: str, keep_nulls: bool = False, mode: s
     df.write.mode(mode).option("ignoreNullFields", not keep_nulls).json(path)
 
 
-def write_json_array(df: DataFrame, path: str, most_rows: int = 1_000_000) -> None:
-    """One file with one array; meant for small results and refused beyond most_rows."""
-    if df.limit(most_rows + 1).count() > most_rows:
-        raise ValueError("too many rows for one array; write JSON lines")
-    df.coalesce(1).select(F.to_json(F.struct("*")).alias("value")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value")).write.mode("overwrite").text(path)
+def write_json_array(df: DataFrame, path: str, rows: int = 10_000) -> None:
+    """Files that each hold one array of at most so many objects, one a line, without null fields; coalesce(1) before it for a single file of few rows."""
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= rows:
+                yield pa.RecordBatch.from_arrays([pa.array(["[\n" + ",\n".join(held[:rows]) + "\n]"])], ["value"])
+                del held[:rows]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(["[\n" + ",\n".join(held) + "\n]"])], ["value"])
+
+    df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(arrays, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = None) -> None:
@@ -70,7 +82,7 @@ def with_metadata_json(df: DataFrame, media: str) -> DataFrame:
 
 
 def transcripts_map(df: DataFrame, file: str, text: str) -> DataFrame:
-    """One JSON object of file to transcript for each folder of files; the last of equal files wins by text."""
+    """One JSON object of file to transcript for each folder of files; the last of equal files wins by text. A folder's object is one row, and has to fit in one."""
     folder = F.regexp_extract(F.col(file), "^(.*/)?[^/]*$", 1)
     pairs = df.groupBy(folder.alias("folder"), basename(F.col(file)).alias("f")).agg(F.max(text).alias("t"))
     return pairs.groupBy("folder").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("f", "t"))))).alias("value"))

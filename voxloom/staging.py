@@ -9,16 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own where it is unset, as in tests."""
+    """spark.checkpoint.dir of the session. Where it is unset, a folder of our own if the master is local, as in tests; on a cluster, whose machines would not share that, an error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="voxloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/voxloom/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jpath, True)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing else has; clear() deletes it."""
+    return f"{_own(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, label: str = "t") -> DataFrame:
     """df written as Parquet and read back: a short lineage that survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/voxloom/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the table of a frame that staged() gave; nothing that is still to be computed may read it."""
+    _delete(df.sparkSession, df.staged_at)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has staged; for its end, when no frame that reads them is needed any more."""
+    _delete(spark, _own(spark))
