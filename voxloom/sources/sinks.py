@@ -34,9 +34,9 @@ def write_json_array(df: DataFrame, path: str, rows: int = 10_000) -> None:
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = None) -> None:
-    """With a header; doubles rounded half to even."""
+    """With a header; quotes in values doubled; doubles rounded half to even."""
     columns = [F.bround(c, decimals).alias(c) if decimals is not None and t == "double" else F.col(c) for c, t in df.dtypes]
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*columns).write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_routed(df: DataFrame, path: str, route: str = "route", mode: str = "overwrite") -> None:
