@@ -81,7 +81,7 @@ def test_top_k_prunes_and_keeps_large_products(spark):
     v = rng.normal(size=(400, 8))
     v[:, 0] += 9  # one strong coordinate, and lengths far apart
     v *= np.exp(rng.normal(size=400))[:, None]
-    block = lambda ids: topk.Block({"n": len(ids), "dim": 8, "longest": float(np.linalg.norm(v[ids], axis=1).max()), "ids": np.array(ids, np.int64).tobytes(), "norms": np.linalg.norm(np.floor(v[ids] * 1000), axis=1).tobytes(), "data": np.floor(v[ids] * 1000).astype(np.int64).tobytes()})
+    block = lambda ids: topk.Block({"n": len(ids), "dim": 8, "longest": float(np.linalg.norm(v[ids], axis=1).max()), "ids": np.array(ids, np.int64).tobytes(), "norms": np.linalg.norm(np.floor(v[ids] * 1000), axis=1).tobytes(), "data": np.floor(v[ids] * 1000).tobytes()})
     blocks = [block(ids) for ids in np.array_split(np.argsort(-np.linalg.norm(v, axis=1)), 20)]
     for b in blocks:
         b.longest = float(b.norms.max())
@@ -95,9 +95,9 @@ def test_top_k_prunes_and_keeps_large_products(spark):
         s = whole @ whole[q]
         s[q] = -(10**15)
         assert sorted(search.found[2][search.found[0] == n])[::-1] == sorted(s)[::-1][:3]
-    huge = spark.createDataFrame([(0, [float(2**40)] * 2), (1, [float(2**40), 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
-    scores = {r["vec_id"]: r["score"] for r in topk.top_k(huge, huge.where("vec_id = 0"), 2, scale=1, vector_col="embedding").collect() if r["vec_id"] == 2}
-    assert scores == {2: 2**41}
+    huge = spark.createDataFrame([(0, [float(2**40)] * 2), (1, [float(2**21), 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    scores = {r["vec_id"]: r["score"] for r in topk.top_k(huge, huge.where("vec_id = 0"), 2, scale=1, vector_col="embedding").collect()}
+    assert scores == {1: 2**61 + 2**40, 2: 2**41}
 
 
 def test_vectors_of_one_id_take_one_place(spark):
@@ -107,6 +107,35 @@ def test_vectors_of_one_id_take_one_place(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 18_000_000), *((2 + i, 21 - i, 2_100_000 - 100_000 * i) for i in range(9))]
 
 
+def test_top_k_of_components_beyond_64_bits(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([0.0, 1.0, -2.0, 3e5]), rng.uniform(-3, 3), rng.choice([0.0, 0.0, 1e19, -1e19])]) for i in range(60)] + [(100, [2.0, 1.0, 0.0]), (200, [0.0, 0.0, 0.0]), (300, [1e5, 0.5, 0.0])]
+    rows += [(5, [-9e5, 1.0, 0.0]), (5, [8e5, 0.0, 0.0]), (6, [8e5, 0.0, 0.0]), (100, [-1.0, 0.0, 0.0])]  # one id, unlike vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for q in (100, 200, 300):
+        best = {}
+        for i, x in rows:
+            if i != q:
+                best[i] = max([best.get(i, -(10**40))] + [sum(a * b for a, b in zip(integers(x), integers(y))) for j, y in rows if j == q])
+        want += [(q, n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])]
+    for size in (8 * 3, 1 << 20):  # a round for each query, and one for all
+        assert sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id in (100, 200, 300)"), 5, bucket_rows=8, query_bytes=size).collect()) == want
+    with pytest.raises(Exception, match="fit a long"):
+        topk.top_k(df, df.where("embedding[2] > 1"), 5).collect()
+    with pytest.raises(Exception, match="beyond"):
+        topk.top_k(spark.createDataFrame([(0, [1e300])], "vec_id long, embedding array<double>"), df, 5).collect()
+
+
+def test_top_k_of_long_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=30_000).tolist()) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = np.array(integers(rows[0][1]))
+    want = sorted(((-int(q @ np.array(integers(x))), i) for i, x in rows[1:]))[:3]
+    assert [(r["vec_id"], r["score"]) for r in topk.top_k(df, df.where("vec_id = 0"), 3).orderBy("rank").collect()] == [(i, -s) for s, i in want]
+
+
 def test_top_k_of_nothing(spark):
     e = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(e, e).count() == 0

@@ -20,20 +20,27 @@ from . import common
 #: Local cosine thresholds from here up are pruned by coordinate, those below by length.
 COORDINATE = 0.75
 _SLACK = 1e-9
+#: Components may be as large as this in size; larger ones are an error, since lengths could not be told.
+LARGEST = 1e150
+#: Products of vectors up to this length fit in 64 bits; others are worked out in Python's integers.
+_WIDE = 2.0**31
 
 
 def _integers(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id, dim, norm, data (64-bit integers) of the rows that take part."""
+    """id, dim, norm, data (integers, held exactly as 64-bit floats) of the rows that take part."""
 
     def kernel(batch):
         out = [[], [], [], []]
         for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if name is None or not row or None in row:
                 continue
-            x = np.floor(np.asarray(row, np.float64) * scale)
-            if not np.isfinite(x).all() or np.abs(x).max() >= 2**62:
+            x = np.asarray(row, np.float64)
+            if not np.isfinite(x).all():
                 continue
-            for column, value in zip(out, (name, len(x), float(np.sqrt((x * x).sum())), x.astype(np.int64).tobytes())):
+            x = np.floor(x * scale)
+            if not np.abs(x).max() <= LARGEST:
+                raise ValueError(f"vector {name} has a component beyond {LARGEST} in size")
+            for column, value in zip(out, (name, len(x), float(np.sqrt((x * x).sum())), x.tobytes())):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.float64(), pa.binary()))], ["id", "dim", "norm", "data"])
 
@@ -70,10 +77,13 @@ class Block:
     def __init__(self, row: dict):
         self.n, self.dim, self.longest = row["n"], row["dim"], row["longest"]
         self.ids, self.norms = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["norms"], np.float64)
-        self.data = np.frombuffer(row["data"], np.int64).reshape(self.n, self.dim)
+        self.data = np.frombuffer(row["data"], np.float64).reshape(self.n, self.dim)
 
-    def real(self) -> np.ndarray:
-        return self.data.astype(np.float64)
+
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of rows in Python's integers."""
+    a, b = (np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(x.shape) for x in (a, b))
+    return a @ b.T
 
 
 class Search:
@@ -82,20 +92,27 @@ class Search:
     def __init__(self, queries: Block, k: int):
         self.q, self.k = queries, k
         self.least = np.full(queries.n, -np.inf)
-        self.real = queries.real()
-        self.unit = self.real / np.maximum(queries.norms, 1e-300)[:, None]
+        self.unit = queries.data / np.maximum(queries.norms, 1e-300)[:, None]
         self.focus = np.abs(self.unit).argmax(axis=1)
         self.found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))  # query, id, score
         self.products = 0
 
-    def _products(self, block: Block, real: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    def _products(self, block: Block, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
         self.products += len(rows) * len(columns)
-        if self.q.norms[rows].max() * block.longest < 2**52:
-            return (self.real[rows] @ real[columns].T).astype(np.int64)
-        return self.q.data[rows] @ block.data[columns].T
+        q, x, widest = self.q.data[rows], block.data[columns], self.q.norms[rows].max() * block.norms[columns].max()
+        if widest < 2**52:
+            return (q @ x.T).astype(np.int64)
+        if widest < 2**62:
+            return q.astype(np.int64) @ x.astype(np.int64).T
+        out = np.empty((len(rows), len(columns)), object)
+        long_q, long_x = self.q.norms[rows] >= _WIDE, block.norms[columns] >= _WIDE
+        out[np.ix_(~long_q, ~long_x)] = q[~long_q].astype(np.int64) @ x[~long_x].astype(np.int64).T
+        out[np.ix_(~long_q, long_x)] = _exact(q[~long_q], x[long_x])
+        out[long_q] = _exact(q[long_q], x)
+        return out
 
     def _take(self, block: Block, rows: np.ndarray, columns: np.ndarray, scores: np.ndarray) -> None:
-        r, c = np.nonzero(scores >= self.least[rows][:, None])
+        r, c = np.nonzero(scores.astype(np.float64) >= self.least[rows][:, None])
         r, ids, s = rows[r], block.ids[columns[c]], scores[r, c]
         other = ids != self.q.ids[r]
         q, ids, s = (np.concatenate((old, new[other])) for old, new in zip(self.found, (r, ids, s)))
@@ -111,12 +128,11 @@ class Search:
         keep = nth < self.k
         self.found = q[keep], ids[keep], s[keep]
         full = nth == self.k - 1
-        self.least[q[full]] = np.maximum(self.least[q[full]], s[full])
+        self.least[q[full]] = np.maximum(self.least[q[full]], s[full].astype(np.float64))
 
     def see(self, block: Block) -> None:
         if block.dim != self.q.dim:
             return
-        real = block.real()
         local = self.least / np.maximum(self.q.norms * block.longest, 1e-300)
         live = local <= 1 + _SLACK
         by_coordinate = live & (local >= COORDINATE)
@@ -124,27 +140,31 @@ class Search:
             t, f = min(1.0, max(0.0, local[r] - 1e-6)), self.focus[r]
             u = self.unit[r, f]
             spread = np.sqrt((1 - t * t) * max(0.0, 1 - u * u)) + 1e-6
-            share = real[:, f] / np.maximum(block.norms, 1e-300)
+            share = block.data[:, f] / np.maximum(block.norms, 1e-300)
             # a cosine of t or more keeps the coordinate within spread of u * cosine, whose least and most values are at t and 1
             low, high = min(u * t, u) - spread, max(u * t, u) + spread
             columns = np.flatnonzero((share >= low) & (share <= high) & (block.norms * self.q.norms[r] * (1 + _SLACK) >= self.least[r]))
             if len(columns):
                 rows = np.array([r])
-                self._take(block, rows, columns, self._products(block, real, rows, columns))
+                self._take(block, rows, columns, self._products(block, rows, columns))
         rows = np.flatnonzero(live & ~by_coordinate)
         if len(rows):
             need = (self.least[rows] / np.maximum(self.q.norms[rows], 1e-300)).min() * (1 - _SLACK)
             columns = np.flatnonzero(block.norms >= need) if np.isfinite(need) else np.arange(block.n)
             if len(columns):
-                self._take(block, rows, columns, self._products(block, real, rows, columns))
+                self._take(block, rows, columns, self._products(block, rows, columns))
 
 
-def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", bucket_rows: int = 4096, query_bytes: int = 64 << 20) -> DataFrame:
+def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", bucket_rows: int = 4096, query_bytes: int = 32 << 20) -> DataFrame:
     """query_id, rank (from 1), the candidate's id, score: the k largest integer inner products of every query with rows of other ids.
 
     Ties go to the smaller id. Null vectors, ids and components, non-finite ones and empty vectors take no part; vectors are
-    compared with those of their own dimension. Rows alike in id and vector count once; of several vectors with one id
-    the best counts. A query without candidates has no rows. Other columns are not read.
+    compared with those of their own dimension. Rows alike in id and vector count once; of several vectors with one id, as
+    candidates and as queries, the best counts. A query without candidates has no rows. Products are exact at every size: beyond
+    64 bits they are worked out in Python's integers, and one among a query's k largest that doesn't fit a long is an error, as is a
+    component beyond 1e150. A vector has to fit in a task some times over. Other columns are not read.
+
+    The driver holds query_bytes of queries at a time, and up to 64 heads of buckets of about 0.5 MB.
     """
     spark = df.sparkSession
     vectors = common.staged(_integers(df, id_col, vector_col, scale), "vectors")
@@ -157,7 +177,9 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_
     asked = _integers(queries, id_col, vector_col, scale).dropDuplicates(["id", "data"])
     asked = common.staged(asked, "queries")
     rounds = -(-asked.count() // query_rows)
-    seeds = [r.asDict() for r in buckets.groupBy("dim").agg(F.max_by(F.struct("dim", "n", "longest", "ids", "norms", "data"), F.struct("longest", "n")).alias("b")).select("b.*").limit(64).collect()]  # one block for each dimension
+    head = F.least("n", F.greatest(F.lit(k + 1), F.floor(F.lit(1 << 19) / (8 * F.col("dim")))).cast("int"))
+    heads = buckets.select("dim", head.alias("n"), "longest", *[F.substring(c, F.lit(1), 8 * head * (F.col("dim") if c == "data" else 1)).alias(c) for c in ("ids", "norms", "data")])
+    seeds = [r.asDict() for r in heads.groupBy("dim").agg(F.max_by(F.struct("dim", "n", "longest", "ids", "norms", "data"), F.struct("longest", "n")).alias("b")).select("b.*").limit(64).collect()]  # for first thresholds; a dimension without one starts at none
     out = None
     for i in range(rounds):
         part = asked.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(rounds)) == i).orderBy("dim", F.desc("norm"))
@@ -187,12 +209,20 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_
                         search.see(bucket)
             for search in own:
                 q, ids, s = search.found
-                yield pa.RecordBatch.from_arrays([pa.array(search.q.ids[q]), pa.array(ids), pa.array(s)], ["query_id", "id", "score"])
+                if s.dtype == object:  # null for what is too far below 0, which matters only where fewer than k are above
+                    if any(v >= 1 << 63 for v in s):
+                        raise OverflowError("a score does not fit a long")
+                    s = [v if v >= -1 << 63 else None for v in s]
+                yield pa.RecordBatch.from_arrays([pa.array(search.q.ids[q]), pa.array(ids), pa.array(s, pa.int64())], ["query_id", "id", "score"])
 
         found = buckets.mapInArrow(scan, "query_id long, id long, score long")
+        if rounds > 1:  # one table a round, so that its queries can go
+            found = common.staged(found, "found")
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], "query_id long, id long, score long")
     best = out.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col if id_col != "query_id" else "id"), "score")
+    fits = F.coalesce("score", F.raise_error(F.lit("a score does not fit a long")).cast("long")).alias("score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col if id_col != "query_id" else "id"), fits)
