@@ -329,6 +329,31 @@ def test_resolved_sequences_are_put_together_again(spark):
     assert sorted((str(r["page_id"]) for r in bare.where("pos is null").collect())) == ["2", "3", "None"]
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("a<![foo[x]]>b", ["ab"]), ("a<p><![ x", ["a"]), ("a<![CDATA[b]]><p>c", ["a", "c"]), ("a<p><!", ["a"]), ("<p>a<!ELEMENT x><p>b", ["a", "b"]), ("a &#xFFFFFFFF; <p>b &bogus; c", ["a \ufffd", "b &bogus; c"]), ("<" * 50, ["<" * 50]),
+])
+def test_broken_markup_keeps_what_stands_around_it(page, want):
+    assert [x["text"] for x in media.parse_items(page)] [: len(want)] == want
+
+
+def test_any_markup_is_parsed():
+    rng = random.Random(11)
+    parts = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "<?", "?>", "</", "/>", "&", "&#", ";", "'", '"', "=", " ", "\x00", "é", "漢", "text", "<p>", "</p>", "<figure>", "</figure>", "<figcaption>", "<img src=x>", "<nav>", "<head>", "<script>", "</script>", "<a href='", "if", "cdata[", "<title", "<noscript>", "<template>"]
+    for _ in range(3000):
+        items = media.parse_items("".join(rng.choice(parts) for _ in range(rng.randint(0, 30))))
+        assert [x["pos"] for x in items] == list(range(len(items)))
+    assert len(media.parse_items("<p>word " * 100_000)) == 100_000 and len(media.parse_items("<nav>" * 3000 + "x")) == 1
+
+
+def test_page_media_of_odd_pages(spark):
+    rows = [(1, "<p>a<img src='sha256:%s'>" % hashlib.sha256(media.padded(b"x")).hexdigest(), 1, "u"), (1, None, 2, None), (None, "a<![foo[x]]>b", 3, "u"), (2, "long " * 200_000, 4, "u"), (2, "long " * 200_000, 4, "u")]
+    df = spark.createDataFrame(rows, "page_id long, html string, pos int, digest string").repartition(2)
+    store = media.store_media(spark.createDataFrame([("x",), ("x",), (None,)], "t string"), "t")
+    out = {(r["page_id"], len(r["items"])): r["items"] for r in media.page_media(df, store).collect()}
+    assert set(out) == {(1, 2), (1, 0), (None, 1), (2, 1)} and out[1, 2][1]["payload_bytes"] == 64
+    assert media.page_media(df, store).count() == 5 and media.page_media(df.where("false"), store).count() == 0
+
+
 # 6
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from . import common
 
 ITEM = "struct<pos:int,kind:string,text:string,src:string,caption:string>"
+_ITEMS = pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("src", pa.string()), ("caption", pa.string())]))
 #: Elements whose text is not content, what a head holds (anything else ends it), elements that end a run of text, and those that refer to media.
 SKIPPED = frozenset(("script", "style", "head", "nav", "template"))
 HEAD = frozenset(("html", "head", "title", "base", "link", "meta", "script", "style", "noscript", "template"))
@@ -38,6 +39,13 @@ class _Items(HTMLParser):
         self.unclosed, self.found = unclosed, set()
         self.items, self.run, self.skip, self.figures, self.caption = [], [], [], [], None
 
+    def parse_marked_section(self, i, report=1):
+        """A marked section of an unknown kind is a comment, where the parser would give up."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i, report)
+
     def flush(self):
         if text := " ".join("".join(self.run).split()):
             self.items.append({"kind": "text", "text": text, "src": None, "caption": None})
@@ -63,7 +71,7 @@ class _Items(HTMLParser):
             self.items[i] |= {"caption": said, "taken": True}
         if not media:
             self.items.insert(at, {"kind": "text", "text": said, "src": None, "caption": None})
-            self.figures = [(f, a + (a is not None and a >= at), s) for f, a, s in self.figures]
+            self.figures = [(f, a if a is None else a + (a >= at), s) for f, a, s in self.figures]
 
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD:
@@ -147,10 +155,8 @@ def parse_items(page: str | None) -> list[dict]:
 
 def parse_sequences(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """One row per input row: id, items (array of pos, kind, text, src, caption)."""
-    kind = pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("src", pa.string()), ("caption", pa.string())]))
-
     def kernel(batch):
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([parse_items(x) for x in batch.column(1).to_pylist()], kind)], ["id", "items"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([parse_items(x) for x in batch.column(1).to_pylist()], _ITEMS)], ["id", "items"])
 
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html"))
     return common.map_batches(src, kernel, f"id long, items array<{ITEM}>").withColumnRenamed("id", id_col)
@@ -184,8 +190,8 @@ def feature(payload: bytes) -> str:
     return f"sum={x.sum()};energy={(y * y).sum()};crossings={np.count_nonzero((y[1:] >= 0) != (y[:-1] >= 0))};min={x.min()};max={x.max()}"
 
 
-def store_media(df: DataFrame, text_col: str, partial_only: bool = False) -> DataFrame:
-    """A store written in the shared folder: digest (sha256 of the padded payload), media (WAV), n_bytes.
+def store_media(df: DataFrame, text_col: str) -> DataFrame:
+    """A store written in the shared folder: digest (sha256 of the padded payload), media (WAV).
 
     One row per input row, but for equal payloads in one batch, which are stored once. A null text is an empty payload.
     """
@@ -194,10 +200,10 @@ def store_media(df: DataFrame, text_col: str, partial_only: bool = False) -> Dat
         seen = {}
         for text in common.utf8(batch.column(0)):
             payload = padded(text or b"")
-            seen.setdefault((hashlib.sha256(payload).hexdigest(), len(text or b"")), payload)
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([to_wav(p) for p in seen.values()], pa.binary()), pa.array([k[1] for k in seen], pa.int64())], ["digest", "media", "n_bytes"])
+            seen.setdefault(hashlib.sha256(payload).hexdigest(), payload)
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([to_wav(p) for p in seen.values()], pa.binary())], ["digest", "media"])
 
-    return common.staged(common.map_batches(df.select(F.col(text_col).cast("string").alias("text")), kernel, "digest string, media binary, n_bytes long"), "media")
+    return common.staged(common.map_batches(df.select(F.col(text_col).cast("string").alias("text")), kernel, "digest string, media binary"), "media")
 
 
 def describe_media(store: DataFrame) -> DataFrame:
@@ -254,15 +260,20 @@ def document_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def kernel(batch):
-        pages, sizes = [], []
-        for name, text in zip(batch.column(0).to_pylist(), common.utf8(batch.column(1))):
-            pages.append(as_page(f"Document {name}", hashlib.sha256(padded(text or b"")).hexdigest()))
-            sizes.append(len(text or b""))
-        items = pa.array([[{**x, "text": str(n) if x["kind"] == "audio" else x["text"]} for x in parse_items(page)] for page, n in zip(pages, sizes)], pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("src", pa.string()), ("caption", pa.string())])))
-        return pa.RecordBatch.from_arrays([batch.column(0), items], ["id", "items"])
-
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sequences = common.map_batches(src, kernel, f"id long, items array<{ITEM}>")
+        items = pa.array([parse_items(as_page(f"Document {name}", hashlib.sha256(padded(text or b"")).hexdigest())) for name, text in zip(batch.column(0).to_pylist(), common.utf8(batch.column(2)))], _ITEMS)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), items], ["id", "n_bytes", "items"])
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).cast("string").alias("text"))
+    sequences = common.map_batches(src, kernel, f"id long, n_bytes long, items array<{ITEM}>").select(F.struct("id", "n_bytes").alias("key"), "items")
     described = common.staged(describe_media(store_media(df, text_col)), "described")  # so that the join's own exchange can split a hot digest
-    rows = resolve(sequences, described, "id", DESCRIBED).where("kind = 'audio'")
-    return rows.select(F.col("id").alias(id_col), F.col("text").cast("long").alias("n_bytes"), *DESCRIBED)
+    rows = resolve(sequences, described, "key", DESCRIBED).where("kind = 'audio'")
+    return rows.select(F.col("key.id").alias(id_col), F.col("key.n_bytes").alias("n_bytes"), *DESCRIBED)
+
+
+def page_media(df: DataFrame, store: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Per page its sequence put together again, with what the store holds of the media that it names by digest: id, items.
+
+    One row per input row; null, empty and broken pages have the items that they have. store as store_media gives it.
+    """
+    described = common.staged(describe_media(store), "described")
+    return resolve_sequences(parse_sequences(df, id_col, html_col), described, id_col, DESCRIBED)

@@ -40,6 +40,19 @@ def op5_media_columns(spark, sf_dir):
     return media.document_media(_table(spark, sf_dir, "documents"))
 
 
+def media_pages(spark, sf_dir):
+    """The pages' own sequences, with one figure put at the end of each article that names the page's address, as a payload of the store, by digest."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    bytes_of = F.col("url").cast("binary")
+    payload = F.rpad(bytes_of, F.greatest(F.ceil(F.octet_length("url") / 64), F.lit(1)).cast("int") * 64, F.lit(b"\x00"))
+    figure = F.concat(F.lit('<figure><audio src="sha256:'), F.sha2(payload, 256), F.lit('"></audio><figcaption>'), "page_id", F.lit("</figcaption></figure></article>"))
+    shown = pages.withColumn("html", F.replace("html", F.lit("</article>"), figure))
+    out = media.page_media(shown, media.store_media(pages, "url"))
+    at = F.element_at(F.filter("items", lambda i: i["kind"] == "audio"), 1)
+    texts = F.transform(F.filter("items", lambda i: i["kind"] == "text"), lambda i: i["text"])
+    return out.select("page_id", F.size("items").cast("long").alias("n_items"), at["pos"].cast("long").alias("media_pos"), at["caption"].alias("caption"), at["payload_bytes"].alias("payload_bytes"), at["payload_sha256"].alias("payload_sha256"), F.md5(F.array_join(texts, "|").cast("binary")).alias("texts_md5"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
 
@@ -62,7 +75,7 @@ def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, media_pages)}
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": """
         WITH v AS (
@@ -73,6 +86,14 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "media_pages": r"""
+        WITH b AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)</head>(.*)', 1), '(?s)<nav>.*?</nav>|<!--.*?-->', '', 'g') AS h FROM pages),
+        s AS (SELECT page_id, url, regexp_replace(h, '</article>', chr(1) || '</article>') AS h FROM b),
+        t AS (SELECT page_id, url, list_transform(regexp_split_to_array(h, '</?(?:p|div|article|section|h1|h2|h3|li|ul|br|footer|header|table|tr|td)(?:\s[^>]*)?>|\x01'),
+            lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS texts,
+            len(list_filter(regexp_split_to_array(split_part(h, chr(1), 1), '</?(?:p|div|article|section|h1|h2|h3|li|ul|br|footer|header|table|tr|td)(?:\s[^>]*)?>'), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) <> '')) AS before FROM s),
+        f AS (SELECT page_id, url, before, list_filter(texts, lambda x: x <> '') AS texts, encode(url) || unhex(repeat('00', (64 * greatest(ceil(strlen(url) / 64.0), 1) - strlen(url))::INT)) AS payload FROM t)
+        SELECT page_id, len(texts) + 1 AS n_items, before AS media_pos, page_id::VARCHAR AS caption, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_sha256, md5(array_to_string(texts, '|')) AS texts_md5 FROM f""",
     "op4_minhash": r"""
         WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
         s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(x) AS h FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS x FROM d)),
