@@ -438,6 +438,62 @@ def test_texts_that_fit_no_learned_language_are_rejected(spark):
     assert model.infer(unlearned.encode())[1] < 0.2 and model.infer(say["r"](40).encode())[1] > 0.8
 
 
+def test_language_sets_against_every_set():
+    import itertools
+    import math
+
+    rng = random.Random(15)
+    words = {k: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(25)] for k, letters in zip("pqrst", ("abcdef", "defghi", "ghijkl", "jklmno", "xyzabc"))}
+    say = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    counts = np.zeros((5, 1 << langid.BITS))
+    for i, k in enumerate("pqrst"):
+        at, n = langid.trigrams(say(k, 4000).encode())
+        counts[i, at] = n
+    model, sizes = langid.Mixture(list("pqrst"), counts), []
+    for trial in range(40):
+        text = " ".join(say(k, rng.randint(8, 60)) for k in rng.sample("pqrst", 1 + trial % 4)) + (" q" if trial % 7 == 0 else "")
+        at, n = langid.trigrams(text.encode())
+        p, total, best = model.prob[:, at], n.sum(), (-math.inf, None, None)
+        for size in range(1, 6):
+            for some in itertools.combinations(range(5), size):
+                w = np.full(size, 1 / size)
+                for _ in range(2000):
+                    r = w[:, None] * p[list(some)]
+                    w = (r * (n / r.sum(axis=0))).sum(axis=1) / total
+                value = float((n * np.log(w @ p[list(some)])).sum()) - model.penalty * 0.5 * math.log(total + 1) * size
+                if value > best[0]:
+                    best = value, some, w
+        lang, score, fit, shares = model.assess(text.encode())
+        assert set(shares) == {"pqrst"[i] for i in best[1]}
+        assert all(abs(shares["pqrst"[i]] - x) < 0.02 for i, x in zip(best[1], best[2])) and abs(sum(shares.values()) - 1) < 1e-9
+        assert shares[lang] == max(shares.values()) and 0 <= score <= shares[lang] and 0 <= fit <= 1
+        sizes.append(len(shares))
+    assert set(sizes) == {1, 2, 3, 4}
+
+
+def test_languages_with_ties_repeats_and_few_samples(spark):
+    rng = random.Random(16)
+    rows = [(i, speech(rng, "aa", 20), "aa") for i in range(60)] * 2 + [(100 + i, speech(rng, "bb", 20), "bb") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(df, langid.fit(df)).collect()
+    assert len(out) == 180 and sum(r["lang_pred"] == ("aa" if r["doc_id"] < 100 else "bb") for r in out) > 170
+    same = langid.fit(spark.createDataFrame([(i, "one two three", "xy"[i % 2]) for i in range(60)], "doc_id long, text string, lang string"))
+    assert same.infer(b"one two three")[0] == ("x" if same.prob[0].max() >= same.prob[1].max() else "y")
+    some = langid.fit(df, fit_rows=10)
+    assert some.langs == ["aa", "bb"] and 0 < some.usual.max()
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(spark.createDataFrame([(i, "a", f"l{i}") for i in range(600)], "doc_id long, text string, lang string"))
+
+
+@pytest.mark.parametrize("rows", [10**4, 2 * 10**9, 10**11, 10**14])
+def test_samples_keep_their_share_at_every_size(spark, rows):
+    from voxloom.llm import common
+
+    share = 2000 / rows
+    assert abs((common.threshold(share) + (1 << 63)) / (1 << 64) - share) < share / 100
+    assert common.threshold(2.0) == common.threshold(1.0) == (1 << 63) - 1 and common.threshold(0.0) == -(1 << 63)
+
+
 def test_prediction_ignores_held_out_labels(spark):
     rng = random.Random(4)
     rows = [(i, speech(rng, "aa" if i % 2 else "bb", 30), "aa" if i % 2 else "bb") for i in range(200)]

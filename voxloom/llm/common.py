@@ -47,6 +47,11 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def threshold(share: float) -> int:
+    """The xxhash64 up to which a share of all hashes lies; to sample rows, xxhash64(id) <= threshold(share), at every size."""
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+
+
 def free_name(taken: list[str], name: str) -> str:
     """A column name that doesn't clash with those taken (without regard to case)."""
     low = {c.lower() for c in taken}

@@ -2,16 +2,19 @@
 
 Each learned language is a smoothed distribution over hashed byte trigrams of letters (case folded for A-Z, everything
 between letters is one space). A document is a mixture: EM estimates the shares of the languages from the likelihoods
-of its trigrams. Sets of the 1, 2, ... most likely languages are fitted in turn for as long as the likelihood less a
+of its trigrams, until no shares of these languages can have a likelihood that is better by more than a tolerance. The set of
+languages starts as the most likely one and takes in the one that promises most for as long as the likelihood less a
 penalty for each language (half the log of the number of trigrams, times a factor) grows; nothing else bounds the set.
-The language with the largest share in it is predicted.
+The likelihood is concave in the shares, so its slope towards a language bounds what that can add: where no slope
+is above the penalty, the set is final without another fit. The language with the largest share in it is predicted.
 
 The fit of a text is absolute: what a trigram of it gains over chance (all trigrams alike) under the selected mixture, as a
 part of what the fitted documents of these languages would gain in these shares, from 0 to 1. Texts in languages that
 were never learned and letter noise have a fit near 0, even mixes of learned languages one near 1. The score is the
 largest share, times the fit and, for a text in one language, the certainty that it isn't the next best one.
 
-The models are fitted on a bounded sample: about fit_rows labelled rows of each language, picked by a hash of the id.
+The models are fitted on a bounded sample: about fit_rows labelled rows of each language, picked by a hash of the id
+(rows that share an id are picked together). More than LANGUAGES languages are an error: each is a table of 32,768 numbers.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BITS = 15
+#: The most languages that are learned; the log-likelihood by which a fit may fall short of the best one, and the rounds after which it may fall short by more.
+LANGUAGES, TOLERANCE, ROUNDS = 250, 0.05, 1000
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[97:123] = np.arange(97, 123)
@@ -49,20 +54,42 @@ def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 class Mixture:
     """Fitted models; assess(text) gives (language, score, fit, shares of the selected languages), infer(text) leaves out the fit."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray, penalty: float = 4.0, rounds: int = 12):
-        self.langs, self.penalty, self.rounds = langs, penalty, rounds
+    def __init__(self, langs: list[str], counts: np.ndarray, penalty: float = 4.0):
+        self.langs, self.penalty = langs, penalty
         smooth = counts + 0.5
         self.prob = smooth / smooth.sum(axis=1, keepdims=True)
         #: What a trigram of the fitted documents gains over chance, by language.
         self.usual = (counts * np.log(self.prob * counts.shape[1])).sum(axis=1) / np.maximum(counts.sum(axis=1), 1)
 
-    def _em(self, p: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
-        w = np.full(len(p), 1 / len(p))
-        for _ in range(self.rounds if len(p) > 1 else 0):
-            r = w[:, None] * p
-            w = (r * (n / r.sum(axis=0))).sum(axis=1)
+    def em(self, p: np.ndarray, n: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray]:
+        """The log-likelihood and the shares from a start. A slope is how much likelihood a share adds, total at the best shares."""
+        total = n.sum()
+        for _ in range(ROUNDS):
+            mix = w @ p
+            slope = p @ (n / mix)
+            if slope.max() - total <= TOLERANCE:
+                break
+            w = w * slope
             w /= w.sum()
-        return float((n * np.log(w @ p)).sum()), w
+        return float(n @ np.log(w @ p)), w
+
+    def select(self, p: np.ndarray, n: np.ndarray, single: np.ndarray) -> tuple[list[int], np.ndarray, float]:
+        """The languages, their shares and the log-likelihood."""
+        total = float(n.sum())
+        cost = self.penalty * 0.5 * math.log(total + 1)
+        chosen = [int(np.argmax(single))]
+        w, ll = np.ones(1), float(single[chosen[0]])
+        while len(chosen) < len(p):
+            slope = p @ (n / (w @ p[chosen]))
+            slope[chosen] = -np.inf
+            more = int(np.argmax(slope))
+            if slope[more] - total <= cost:
+                break
+            new_ll, new_w = self.em(p[[*chosen, more]], n, np.append(w * 0.5, 0.5))
+            if new_ll - ll <= cost:
+                break
+            chosen, w, ll = [*chosen, more], new_w, new_ll
+        return chosen, w, ll
 
     def _fit(self, ll: float, chosen: list[int], w: np.ndarray) -> float:
         """The gain over chance of a log-likelihood per trigram, as a part of the usual one of a mixture, whose choice of languages costs its entropy at most."""
@@ -80,19 +107,8 @@ class Mixture:
         if not len(at):
             return "und", 0.0, 0.0, {}
         p, total = self.prob[:, at], int(n.sum())
-        order = np.argsort(-self._em(p, n)[1], kind="stable")
-        single = (n * np.log(p)).sum(axis=1)
-        best_one = int(np.argmax(single))
-        order = [best_one, *(i for i in order.tolist() if i != best_one)]
-        best = (-math.inf, [], None, 0.0)
-        for k in range(1, len(order) + 1):
-            chosen = order[:k]
-            ll, w = self._em(p[chosen], n)
-            value = ll - self.penalty * k * 0.5 * math.log(total + 1)
-            if value <= best[0]:
-                break
-            best = (value, chosen, w, ll)
-        _, chosen, w, ll = best
+        single = np.log(p) @ n
+        chosen, w, ll = self.select(p, n, single)
         top = max(range(len(chosen)), key=lambda i: (w[i], -chosen[i]))
         gain = (single[chosen[top]] - np.delete(single, chosen[top]).max()) if len(self.langs) > 1 and len(chosen) == 1 else 0.0
         sure = 1 / (1 + math.exp(-min(50.0, max(-50.0, gain)))) if len(chosen) == 1 and len(self.langs) > 1 else 1.0
@@ -108,13 +124,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = 2000) -> Mixture:
     """A mixture fitted on rows that aren't held out and have a language and an id; only bounded tables reach the driver."""
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and id is not null").where(~held_out("id"))
-    sizes = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(1001).collect()}
-    if len(sizes) > 1000:
-        raise ValueError("more than 1000 languages")
+    sizes = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not sizes:
         return Mixture([], np.ones((0, 1 << BITS)))
-    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, fit_rows / n) * 1e6)))]), F.col("lang"))
-    sample = src.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).select("lang", "text")
+    upto = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(common.threshold(fit_rows / n)))]), F.col("lang"))
+    sample = src.where(F.xxhash64("id") <= upto).select("lang", "text")
     common.small_batches(df.sparkSession)
 
     def count(batches):
@@ -127,11 +143,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bin", "n"])
 
-    rows = sample.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
+    sums = sample.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    rows = sums.groupBy("lang").agg(F.collect_list("bin").alias("bins"), F.collect_list("n").alias("counts"))  # at most 32,768 each
     langs = sorted(sizes)
     counts = np.zeros((len(langs), 1 << BITS))
-    if len(rows):
-        counts[np.searchsorted(langs, rows["lang"].to_numpy(str)), rows["bin"].to_numpy()] = rows["n"].to_numpy()
+    for r in rows.toLocalIterator():
+        counts[langs.index(r["lang"]), r["bins"]] = r["counts"]
     return Mixture(langs, counts)
 
 
