@@ -536,6 +536,66 @@ def test_sparse_sites_stay_near_their_parent(spark):
     assert by["one", ""]["host_rate"] > 0.1 and by["good", "a"]["path_rate"] > 0.3
 
 
+def test_site_rates_in_closed_form(spark):
+    rng = random.Random(21)
+    rows = [(f"h{h}", f"p{p}", min(0.99, max(0.01, rng.gauss(0.2 + 0.1 * (h % 6) + 0.05 * p, 0.1)))) for h in range(12) for p in range(3) for _ in range(rng.randint(1, 40))]
+
+    def strength(sites):  # (n, s, rate above)
+        sites = [x for x in sites if x[0] > 1]
+        total = sum(n for n, _, _ in sites)
+        between = max(1e-6, (sum(n * (s / n - up) ** 2 for n, s, up in sites) - sum(up * (1 - up) for _, _, up in sites)) / total)
+        return min(1e4, max(1.0, sum(n * up * (1 - up) for n, _, up in sites) / total / between - 1))
+
+    rate = (sum(p for _, _, p in rows) + 1) / (len(rows) + 2)
+    hosts, paths = {}, {}
+    for h, p, x in rows:
+        for table, key in ((hosts, h), (paths, (h, p))):
+            n, total = table.get(key, (0, 0.0))
+            table[key] = n + 1, total + x
+    a = strength([(n, s, rate) for n, s in hosts.values()])
+    hosts = {h: (s + a * rate) / (n + a) for h, (n, s) in hosts.items()}
+    b = strength([(n, s, hosts[h]) for (h, _), (n, s) in paths.items()])
+    want = {(h, p): (hosts[h], (s + b * hosts[h]) / (n + b)) for (h, p), (n, s) in paths.items()}
+    rates, overall, n = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p double"))
+    got = {(r["host"], r["path"]): (r["host_rate"], r["path_rate"]) for r in rates.collect()}
+    assert n == 36 and abs(overall - rate) < 1e-9 and set(got) == set(want)
+    assert all(abs(x - y) < 1e-9 for k in want for x, y in zip(got[k], want[k]))
+
+
+def test_quality_is_evidence_shifted_by_its_site(spark):
+    rows = [(i, "fine words here " * (1 + i % 3), f"s{i % 2}.org/{i % 5}") for i in range(40)] + [(7, "fine words here", "s1.org/2"), (50, "W!! " * 300_000, "s1.org/2"), (51, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model = quality.fit(df, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    out = quality.score(df, model).collect()
+    assert len(out) == 43
+    rate = (sum(1 / (1 + np.exp(-r["evidence"])) for r in out) + 1) / (len(out) + 2)
+    for r in out:
+        text = next(t for i, t, _ in rows if i == r["doc_id"] and (i != 7 or abs(model.evidence(quality.features((t or "").encode())) - r["evidence"]) < 1e-6))
+        assert abs(r["evidence"] - model.evidence(quality.features((text or "").encode()))) < 1e-6
+        shift = np.log(r["path_rate"] / (1 - r["path_rate"])) - np.log(rate / (1 - rate))
+        assert abs(r["quality"] - 1 / (1 + np.exp(-(r["evidence"] + shift)))) < 1e-9 and r["kept"] == (r["quality"] >= 0.5)
+
+
+def test_features_of_words_do_not_depend_on_their_places():
+    words = lambda t: quality.features(t.encode())[quality.STATISTICS + quality.BINS :]
+    assert np.allclose(words("one two three two"), words("  two\n three ONE\ttwo ")) and not np.allclose(words("one two"), words("one too"))
+    assert np.isclose((words("a b c") ** 2).sum(), 1) and not words(" \n").any() and not quality.features(None)[1:].any()
+    assert abs(quality.features(b"aa bb aa")[8] - 2 / 3) < 1e-9 and quality.features(b"x")[0] == 1
+
+
+def test_logistic_finds_the_least_loss():
+    rng = np.random.default_rng(2)
+    x = np.zeros((200, quality.N_FEATURES), np.float32)
+    x[:, 0], x[:, 1], x[:, 2] = 1, rng.normal(size=200), rng.normal(size=200)
+    y = (x[:, 1] + rng.logistic(size=200) > 0.3).astype(float)
+    m = quality.fit_logistic(x, y)
+    z = (x.astype(np.float64) - m.center) / m.scale
+    held = np.full(quality.N_FEATURES, 1.0)
+    held[0] = 1e-6
+    slope = z.T @ (1 / (1 + np.exp(-z @ m.weights)) - y) + held * m.weights
+    assert np.abs(slope).max() < 0.05 and m.weights[1] > 0.5
+
+
 def test_logistic_of_one_class_is_its_rate():
     m = quality.fit_logistic(np.zeros((4, quality.N_FEATURES)), np.ones(4))
     assert abs(1 / (1 + np.exp(-m.evidence(np.eye(quality.N_FEATURES)[:1])[0])) - 5 / 6) < 1e-9

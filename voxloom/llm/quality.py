@@ -1,11 +1,12 @@
 """Quality by hierarchical empirical Bayes.
 
-A logistic model over text statistics, fitted on a bounded sample of labelled rows, gives each document its own
-evidence. Documents are summed by host and by host and path; each level's rate is shrunk to the level above, by a
+A logistic model over hashed byte trigrams, hashed words and a few statistics of the whole text, fitted on a bounded
+sample of labelled rows, gives each document its own evidence. Documents are summed by host and by host and path; each level's rate is shrunk to the level above, by a
 prior strength that is estimated from how much the rates of that level differ (method of moments), so a sparse site
 stays near its parent. A document's quality adds to its own log-odds the shift from the global rate to its path's.
 
-Host and path are read from a source column: what stands before and after the first '/', behind any scheme.
+Host and path are read from a source column: what stands before and after the first '/', behind any scheme. Sources
+without a '/' have one path each, '', which then is the host once more.
 """
 
 from __future__ import annotations
@@ -19,35 +20,73 @@ from pyspark.sql import functions as F
 
 from . import common
 
-_CLASS = np.zeros((256, 8), np.float64)  # lower, upper, digit, white space, stops, other marks, wide, pipe
+#: Statistics (the first is constant), and hashed bins for trigrams and for words each.
+STATISTICS, BINS = 11, 512
+N_FEATURES = STATISTICS + 2 * BINS
+_CLASS = np.zeros((256, 7), np.float64)  # lower, upper, digit, white space, stops, other marks, wide
 for _b in range(256):
     _c = chr(_b)
-    _CLASS[_b, 6 if _b >= 128 else 0 if _c.islower() else 1 if _c.isupper() else 2 if _c.isdigit() else 3 if _c.isspace() else 4 if _c in ".,;:?'\"-()" else 7 if _c == "|" else 5] = 1
-N_FEATURES = 13
+    _CLASS[_b, 6 if _b >= 128 else 0 if _c.islower() else 1 if _c.isupper() else 2 if _c.isdigit() else 3 if _c.isspace() else 4 if _c in ".,;:?'\"-()" else 5] = 1
+_FOLD = np.arange(256, dtype=np.uint64)
+_FOLD[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MULTIPLIER, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+
+
+class _Powers:
+    """Powers of a number modulo 2^64, as many as were asked for at most."""
+
+    def __init__(self, base: int):
+        self.base, self.known = np.uint64(base), np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> np.ndarray:
+        if len(self.known) < n:
+            step = np.full(max(n, 2 * len(self.known)), self.base)
+            step[0] = 1
+            self.known = np.multiply.accumulate(step)
+        return self.known[:n]
+
+
+_UP, _DOWN = _Powers(_MULTIPLIER), _Powers(_INVERSE)
+
+
+def _bins(hashes: np.ndarray) -> np.ndarray:
+    """Square roots of the shares of BINS hashed bins."""
+    if not len(hashes):
+        return np.zeros(BINS)
+    return np.sqrt(np.bincount((hashes * _MIX >> np.uint64(64 - 9)).astype(np.int64), minlength=BINS) / len(hashes))
 
 
 def features(text: bytes | None) -> np.ndarray:
-    """Statistics of a whole text; a null or empty one has zeros and the constant."""
+    """Statistics, trigrams and words of a whole text, A-Z folded; a null or empty one has the constant and zeros."""
     out = np.zeros(N_FEATURES)
     out[0] = 1
     if not text:
         return out
-    share = np.bincount(np.frombuffer(text, np.uint8), minlength=256) @ _CLASS / len(text)
-    words = text.lower().split()
+    raw = np.frombuffer(text, np.uint8)
+    share = np.bincount(raw, minlength=256) @ _CLASS / len(text)
+    x = _FOLD[raw]
+    edge = np.flatnonzero(np.diff(_SPACE[raw], prepend=True, append=True))
+    starts, ends = edge[::2], edge[1::2]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((x + np.uint64(1)) * _UP(len(x)), dtype=np.uint64)))
+    words = (sums[ends] - sums[starts]) * _DOWN(len(x) + 1)[starts]  # the same wherever the word stands
     lines = text.split(b"\n")
     n = max(1, len(words))
-    out[1:8] = share[1], share[2], share[4], share[5], share[7], share[3], share[6]
-    out[8] = np.log1p(len(words)) / 10
-    out[9] = len(set(words)) / n
-    out[10] = len(text) / n / 20
-    out[11] = len(set(lines)) / len(lines)
-    out[12] = min(1.0, share[5] * 20)
+    out[1:7] = share[1], share[2], share[4], share[5], share[3], share[6]
+    out[7] = np.log1p(len(words)) / 10
+    out[8] = len(np.unique(words)) / n
+    out[9] = len(text) / n / 20
+    out[10] = len(set(lines)) / len(lines)
+    out[STATISTICS : STATISTICS + BINS] = _bins(x[:-2] << np.uint64(16) | x[1:-1] << np.uint64(8) | x[2:])
+    out[STATISTICS + BINS :] = _bins(words)
     return out
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the text statistics, their scales, and the share of good labels they were fitted on."""
+    """Weights of the features, their centers and scales, and the share of good labels they were fitted on."""
 
     weights: np.ndarray
     center: np.ndarray
@@ -55,26 +94,61 @@ class Model:
     rate: float
 
     def evidence(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.center) / self.scale) @ self.weights, -30, 30)
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> Model:
-    """Newton's method with a ridge; without rows of both classes the evidence is the smoothed rate alone."""
+        w = self.weights / self.scale
+        return np.clip(x @ w - self.center @ w, -30, 30)
+
+
+def _minimum(f, w: np.ndarray, rounds: int, keep: int = 10) -> np.ndarray:
+    """The least value of a smooth convex function (f gives value and slope), by steps along slopes that the last changes of the slope correct."""
+    value, slope = f(w)
+    changes: list[tuple] = []
+    for _ in range(rounds):
+        d, taken = -slope, []
+        for s, y in reversed(changes):
+            taken.append((s @ d) / (s @ y))
+            d = d - taken[-1] * y
+        if changes:
+            s, y = changes[-1]
+            d = d * ((s @ y) / (y @ y))
+        for (s, y), a in zip(changes, reversed(taken)):
+            d = d + (a - (y @ d) / (s @ y)) * s
+        down, step = slope @ d, 1.0
+        if down > -1e-9:
+            break
+        while True:
+            new_value, new_slope = f(w + step * d)
+            if new_value <= value + 1e-4 * step * down or step < 1e-10:
+                break
+            step /= 2
+        change = step * d, new_slope - slope
+        if change[0] @ change[1] > 1e-12:
+            changes = [*changes, change][-keep:]
+        done = value - new_value < 1e-9 * max(1.0, abs(value))
+        w, value, slope = w + step * d, new_value, new_slope
+        if done:
+            break
+    return w
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 300) -> Model:
+    """The likeliest weights with a ridge; without rows of both classes the evidence is the smoothed rate alone. Statistics are scaled, shares of bins are not, so that the ridge holds rare ones back."""
     rate = (y.sum() + 1) / (len(y) + 2)
     center, scale = np.zeros(N_FEATURES), np.ones(N_FEATURES)
     w = np.zeros(N_FEATURES)
     w[0] = np.log(rate / (1 - rate))
     if len(y) and 0 < y.sum() < len(y):
-        center[1:], scale[1:] = x[:, 1:].mean(axis=0), np.maximum(x[:, 1:].std(axis=0), 1e-6)
-        z = (x - center) / scale
-        keep = np.full(N_FEATURES, ridge)
-        keep[0] = 1e-6
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(keep), z.T @ (y - p) - keep * w)
-            w = w + np.clip(step, -5, 5)
-            if np.abs(step).max() < 1e-8:
-                break
+        center[1:] = x[:, 1:].mean(axis=0, dtype=np.float64)
+        scale[1:STATISTICS] = np.maximum(x[:, 1:STATISTICS].std(axis=0, dtype=np.float64), 1e-6)
+        z = ((x - center.astype(np.float32)) / scale.astype(np.float32)).astype(np.float32)
+        held = np.full(N_FEATURES, ridge)
+        held[0] = 1e-6
+
+        def loss(w):
+            s = (z @ w.astype(np.float32)).astype(np.float64)
+            slope = z.T @ (1 / (1 + np.exp(-np.clip(s, -500, 500))) - y).astype(np.float32)
+            return float((np.logaddexp(0, s) - y * s).sum() + 0.5 * (held * w * w).sum()), slope.astype(np.float64) + held * w
+
+        w = _minimum(loss, w, rounds)
     return Model(w, center, scale, float(rate))
 
 
@@ -98,20 +172,22 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     """
     marks = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y is not null").where(~held_out("id")).groupBy("id").agg(F.avg("y").alias("y"))
     n = marks.count()
-    marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(1.0, fit_rows / max(1, n)) * 1e6))
+    marks = marks.where(F.xxhash64("id") <= F.lit(common.threshold(fit_rows / max(1, n))))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(common.maybe_broadcast(marks, min(n, 2 * fit_rows)), "id")
-    made = rows.select((F.col("y") >= 0.5).cast("double").alias("y"), statistics(df.sparkSession, F.col("text")).alias("x")).toPandas()
-    if not len(made):
-        return fit_logistic(np.zeros((0, N_FEATURES)), np.zeros(0))
-    return fit_logistic(np.stack(made["x"].to_numpy()), made["y"].to_numpy())
+    made = rows.select((F.col("y") >= 0.5).cast("double").alias("y"), packed(df.sparkSession, F.col("text")).alias("x")).toPandas()
+    x = np.zeros((len(made), N_FEATURES), np.float32)
+    for i, row in enumerate(made["x"]):
+        x[i] = np.frombuffer(row, np.float16)
+    return fit_logistic(x, made["y"].to_numpy(np.float64))
 
 
-def statistics(spark, text: Column) -> Column:
+def packed(spark, text: Column) -> Column:
+    """Features as 16-bit numbers, of which fit_rows texts fit the driver: about 20 MB for 10,000."""
     common.small_batches(spark)
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("binary")
     def made(texts: pa.Array) -> pa.Array:
-        return pa.array([features(t).tolist() for t in common.utf8(texts)], pa.list_(pa.float64()))
+        return pa.array([features(t).astype(np.float16).tobytes() for t in common.utf8(texts)], pa.binary())
 
     return made(text.cast("string"))
 
@@ -157,8 +233,8 @@ def _logit(c) -> Column:
     return F.log(c / (1 - c))
 
 
-def _shifted(df: DataFrame, model: Model, names: dict[str, str], source_col: str, scored: DataFrame | None = None) -> DataFrame:
-    rates, rate, n = site_rates((scored if scored is not None else df).select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path"), F.expr(f"1 / (1 + exp(-`{names['own']}`))").alias("p")))
+def _shifted(df: DataFrame, model: Model, names: dict[str, str], source_col: str) -> DataFrame:
+    rates, rate, n = site_rates(df.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path"), F.expr(f"1 / (1 + exp(-`{names['own']}`))").alias("p")))
     sites = rates.select(*[F.col(c).alias(names[c]) for c in ("host", "path", "host_rate", "path_rate")])
     joined = df.join(common.maybe_broadcast(sites, n), [names["host"], names["path"]])
     shift = _logit(F.col(names["path_rate"])) - float(np.log(rate / (1 - rate)))
@@ -176,9 +252,11 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_good(df: DataFrame, model: Model, text_col: str = "text", source_col: str = "source", least: float = 0.5) -> DataFrame:
-    """The rows of quality from least up, with their columns as they are."""
+    """The rows of quality from least up, with their columns as they are; null texts and sources as in score.
+
+    The rows are staged with their evidence, so that texts are read for it once.
+    """
     names = {c: common.free_name(df.columns, c) for c in ("host", "path", "own", "host_rate", "path_rate", "quality")}
     made = df.withColumns({names["host"]: host_of(F.col(source_col)), names["path"]: path_of(F.col(source_col)), names["own"]: evidence(model, df.sparkSession, F.col(text_col))})
-    slim = common.staged(made.select(*[names[c] for c in ("host", "path", "own")]), "evidence")
-    out = _shifted(made, model, names, source_col, slim)
+    out = _shifted(common.staged(made, "evidence"), model, names, source_col)
     return out.where(F.col(names["quality"]) >= least).select(*[F.col(f"`{c}`") for c in df.columns])
