@@ -11,7 +11,8 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from voxloom.llm import bpe, components, langid, licenses, media, minhash, packing, quality, sharding, token_counts, tokens, topk
+from voxloom.llm import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts, tokens, topk
+from voxloom.operators import components
 
 MULTI, PLAIN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = "ab 's\n\t  é漢1²_.,'tREllD\x1c\x85   "
@@ -237,7 +238,52 @@ def test_near_duplicates_match_brute_force(spark, docs, empty, blocks):
         assert minhash.near_duplicates(empty).count() == 0
         kept = minhash.keep_one(df, 85)
         assert kept.columns == df.columns
-        assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, *_ in rows if i is None or want[i][2])
+        assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({str(i) for i, *_ in rows if i is None or want[i][2]})
+
+
+def families(rng, n, kinds, noise):
+    """Texts that share halves of few templates, each with words of its own, so that many agree on a band without being alike."""
+    words = [f"w{i}" for i in range(3000)]
+    heads = [[rng.choice(words) for _ in range(90)] for _ in range(kinds)]
+    out = []
+    for _ in range(n):
+        text = list(rng.choice(heads)) + [rng.choice(words) for _ in range(rng.choice([0, 0, 4, 60, 90]))]
+        for _ in range(rng.randint(0, noise)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize(("block_docs", "pivots", "percent"), [(4, 1, 85), (5, 3, 80), (40, 8, 80), (128, 64, 85)])
+def test_large_groups_match_brute_force(spark, block_docs, pivots, percent):
+    rows = list(enumerate(families(random.Random(block_docs), 220, 3, 4)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = minhash.near_duplicates(df, percent, block_docs=block_docs, pivots=pivots).collect()
+    want = exact_components(rows, percent)
+    assert 3 < sum(x[2] for x in want.values()) < 220
+    assert {r["doc_id"]: tuple(r)[1:] for r in out} == want
+
+
+def test_repeated_rows_leave_one(spark):
+    rng = random.Random(3)
+    texts = families(rng, 30, 2, 3)
+    rows = [(i, t, "a") for i, t in enumerate(texts)] * 3 + [(100, None, "a")] * 2 + [(101, "", "a")] * 2 + [(None, texts[0], "a")] * 2 + [(102, "only here", "a"), (102, "and there", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, maybe string").repartition(4)
+    kept = minhash.keep_one(df, 80)
+    assert kept.columns == df.columns
+    left = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    want = exact_components([(i, t) for i, t, _ in rows if i != 102], 80)
+    assert left == sorted([(str(i), str(t)) for i, t, _ in set(rows) if i is not None and (i == 102 or want[i][2])] + [("None", texts[0])] * 2)
+
+
+def test_filters_hold_every_id(spark):
+    from voxloom.llm import common
+
+    bits = common.id_filter(spark.range(0, 5000, 7), "id")
+    at = spark.range(5000).select("id", *[c.alias(n) for c, n in zip(common.positions(F.col("id")), "ab")]).toPandas()
+    held = set(at["id"][common.may_hold(bits, at["a"].to_numpy(), at["b"].to_numpy())])
+    assert set(range(0, 5000, 7)) <= held and len(held) < 730
+    assert not common.id_filter(spark.range(0), "id").any()
 
 
 def test_sketches_fill_and_estimate():

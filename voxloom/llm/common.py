@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.staging import shared_dir, staged  # noqa: F401  operators take them from here
+from voxloom.staging import drop, shared_dir, staged  # noqa: F401  operators take them from here
 
 #: A table is broadcast only if it has at most this many rows (of a few dozen bytes each).
 BROADCAST_ROWS = 200_000
@@ -47,6 +48,31 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+#: Bits of a filter of ids: 8 MB at every size.
+FILTER_BITS = 1 << 26
+
+
+def positions(c: Column) -> list[Column]:
+    """The two bits of a filter that stand for an id."""
+    return [F.pmod(F.xxhash64(c, F.lit(i)), F.lit(FILTER_BITS)).cast("int") for i in (1, 2)]
+
+
+def id_filter(ids: DataFrame, c: str) -> np.ndarray:
+    """A filter of fixed size that holds every id (and, the more ids there are, the more others by chance): what it doesn't hold needs no join. At most a million counted words reach the driver."""
+    at = ids.select(F.explode(F.array(*positions(F.col(c)))).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def may_hold(bits: np.ndarray, *at: np.ndarray) -> np.ndarray:
+    out = np.ones(len(at[0]), bool)
+    for x in at:
+        out &= (bits[x >> 6] >> (x & 63) & 1).astype(bool)
+    return out
+
+
 def threshold(share: float) -> int:
     """The xxhash64 up to which a share of all hashes lies; to sample rows, xxhash64(id) <= threshold(share), at every size."""
     return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))

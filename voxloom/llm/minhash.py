@@ -4,10 +4,15 @@ Words are maximal runs without ASCII white space, A-Z lower-cased; a document's
 shingles as 64-bit hashes. The sketch has t coordinates. Round i throws every element into one of t hashed bins with value
 i plus a hashed fraction, and a bin keeps its least value; after t rounds, every bin left empty takes all elements in a
 round of its own, so every coordinate is filled. Sketches are cut into bands; documents that agree on a band
-are candidates. Candidates are grouped by connected components over bands (a superset of every true group), each document's
-set is brought to its group once, and all pairs of a group are counted exactly by matrix products over shared
-shingles. A group that is too large for one task is cut into blocks, and every pair of blocks is one task, so no pair is
-left out at any size. Only links of a spanning forest leave a task.
+are candidates, and candidates are grouped by connected components over bands (a superset of every true group). Only the
+texts of candidates are read again: all others are passed over by a filter of fixed size before anything is shuffled.
+
+All pairs of a small group are counted exactly in one task, by matrix products over shared shingles. A large group
+goes in two steps, so that the work isn't quadratic in its size where its documents are copies of few. First each of its
+documents is held against a bounded number of pivots of the group, which joins most copies. Then, band by band, pairs of
+documents that agree on the band and aren't joined yet are counted: those outside the largest joined set of the band against
+all of the band, in pairs of blocks. So every pair that agrees on a band is counted or joined already, at any size.
+Only links of a spanning forest leave a task.
 
 Equal sets are one node from the start. A pair at similarity s is missed if no band agrees: (1 - s^7)^48, which is
 9e-9 at 0.85 and 1e-5 at 0.8.
@@ -15,15 +20,15 @@ Equal sets are one node from the start. A pair at similarity s is missed if no b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common, components, tokens
+from voxloom.operators import components
+
+from . import common, tokens
 
 WORDS, ROWS, BANDS = 5, 7, 48
 SIZE = ROWS * BANDS
@@ -109,8 +114,8 @@ def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return common.map_batches(src, kernel, "id long, n long, h1 long, h2 long, bands array<bigint>")
 
 
-def forest(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links (i, j) that connect what pairs with 100 * intersection >= percent * union connect; with sides, only pairs across or all of them alike."""
+def forest(sets: list[np.ndarray], percent: int, rows: np.ndarray | None = None, joined: list | None = None) -> list[tuple[int, int]]:
+    """Links (i, j) that connect what pairs with 100 * intersection >= percent * union connect: all pairs, or those of rows with all others. Sets with equal names in joined are connected from the start."""
     sizes = np.array([len(s) for s in sets], np.int64)
     m = len(sets)
     values, owner = np.concatenate(sets), np.repeat(np.arange(m), sizes)
@@ -122,7 +127,9 @@ def forest(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None
     column = np.cumsum(new) - 1
     shared = np.bincount(column)[column] > 1
     column, owner = column[shared], owner[shared]
-    inter = np.zeros((m, m), np.int64)
+    alone = rows is not None
+    rows = rows if alone else np.arange(m)
+    inter = np.zeros((len(rows), m), np.int64)
     if len(column):
         column = np.unique(column, return_inverse=True)[1]
         width = max(64, (4 << 20) // m)
@@ -130,9 +137,10 @@ def forest(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None
             a, b = np.searchsorted(column, (low, low + width))
             part = np.zeros((m, min(width, int(column[-1]) + 1 - low)), np.float32)
             part[owner[a:b], column[a:b] - low] = 1
-            inter += (part @ part.T).astype(np.int64)
-    linked = 100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter)
-    up = list(range(m))
+            inter += (part[rows] @ part.T).astype(np.int64)
+    linked = 100 * inter >= percent * (sizes[rows][:, None] + sizes[None, :] - inter)
+    first: dict = {}
+    up = list(range(m)) if joined is None else [first.setdefault(name, i) for i, name in enumerate(joined)]
 
     def root(i):
         while up[i] != i:
@@ -140,58 +148,133 @@ def forest(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None
         return i
 
     out = []
-    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+    for i, j in np.argwhere(linked if alone else np.triu(linked, 1)).tolist():
+        i = int(rows[i])
         if (a := root(i)) != (b := root(j)):
             up[max(a, b)] = min(a, b)
             out.append((i, j))
     return out
 
 
-def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_docs: int = 128, block_bytes: int = 8 << 20) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (least id reachable over links), kept (id = component_id).
-
-    Null, empty and blank texts have no shingles and are linked with nothing: they are components of their own. Rows with
-    equal ids are one node if their texts are equal; rows with equal ids and other texts are linked by their id alone where a
-    component takes it in. A null id has a null component and is kept, but still links nothing. An empty table gives no rows.
-    Other columns are not read.
-    """
-    table = common.staged(_sketched(df, id_col, text_col), "sketched")
-    classes = common.staged(table.where("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    members = classes.select("rep", F.explode("bands").alias("band"))
-    heads = members.groupBy("band").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last").select("band", "head")
-    candidates = components.components(members.join(heads, "band").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    candidates = common.staged(candidates.join(classes.select(F.col("rep").alias("node"), "n"), "node"), "candidates")
-    blocks = candidates.groupBy("component").agg(F.count("*").alias("docs"), (8 * F.sum("n")).alias("bytes")).select(
-        "component", F.when((F.col("docs") <= 2 * block_docs) & (F.col("bytes") <= 2 * block_bytes), 1).otherwise(F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("bytes") / block_bytes))).cast("int").alias("blocks"))
-    wanted = candidates.join(blocks, "component").select(F.col("node").alias("id"), "component", "blocks", "n")
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted.hint("merge"), "id")  # the same plan at every size
+def _sets(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of wanted (id, h1, h2, ...) with their shingles; texts of other ids are dropped by the filter before the shuffle, repeats of a text under one id are one row."""
+    spark = df.sparkSession
+    bits = spark.sparkContext.broadcast(common.id_filter(wanted, "id"))
     held = []
 
-    def to_sets(batch):
+    def kernel(batch):
         if not held:
             held.append(word_hashes())
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3)), pa.array([shingles(t, held[0]).tobytes() for t in common.utf8(batch.column(1))], pa.binary())], ["id", "component", "blocks", "shingles"])
+        batch = batch.filter(pa.array(common.may_hold(bits.value, *(batch.column(i).fill_null(0).to_numpy() for i in (2, 3))) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
+        sets = [shingles(t, held[0]).tobytes() for t in common.utf8(batch.column(1))]
+        names = [np.frombuffer(xxhash.xxh3_128(s).digest(), ">i8") if s else (None, None) for s in sets]
+        hashes = [pa.array([None if x[i] is None else int(x[i]) for x in names], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *hashes, pa.array(sets, pa.binary())], ["id", "h1", "h2", "shingles"])
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sets = common.map_batches(src.select("id", "text", *common.positions(F.col("id"))), kernel, "id long, h1 long, h2 long, shingles binary")
+    return sets.groupBy("id", "h1", "h2").agg(F.first("shingles").alias("shingles")).join(wanted, ["id", "h1", "h2"])
 
-    sets = common.map_batches(texts.select("id", "text", "component", "blocks"), to_sets, "id long, component long, blocks int, shingles binary")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "id", "shingles")
 
+def _links(percent: int):
     def verify(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         ids = group["id"].to_pylist()
         links = forest([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()], percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
 
-    links = dealt.groupBy("component", "left", "right").applyInArrow(verify, "a long, b long")
+    return verify
+
+
+def _in_blocks(docs: str, size: str, block_docs: int, block_bytes: int):
+    return F.greatest(F.ceil(F.col(docs) / block_docs), F.ceil(F.col(size) / block_bytes)).cast("int")
+
+
+def _large_links(big: DataFrame, percent: int, pivots: int, block_docs: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) of large groups: big has component, id, n, blocks, bands, shingles."""
+    by_hash = Window.partitionBy("component").orderBy(F.xxhash64("id", F.lit(3)), "id")
+    few = big.select("component", "id", "n", "blocks", "shingles").withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= pivots)
+    few = few.withColumn("sum", F.sum(8 * F.col("n")).over(by_hash)).where((F.col("sum") <= block_bytes) | (F.col("r") == 1))
+    dealt = big.select("component", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "shingles").unionByName(few.select("component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "shingles"))
+    first = common.staged(dealt.groupBy("component", "block").applyInArrow(_links(percent), "a long, b long"), "links")
+    joined = components.components(first)
+    named = big.join(joined.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select("id", F.coalesce("c", "id").alias("c"), "n", "bands")
+    members = common.staged(named.select("id", "c", "n", F.explode("bands").alias("band")), "members")
+    size = F.struct(F.col("docs"), F.col("bytes"), F.col("c"))
+    bands = members.groupBy("band", "c").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n")).alias("bytes")).groupBy("band").agg(F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"), F.max(size).alias("top"), F.count("*").alias("sets")).where("sets > 1")
+    bands = bands.select("band", F.col("top.c").alias("top"), "docs", (F.col("docs") - F.col("top.docs")).alias("rest"), _in_blocks("docs", "bytes", block_docs, block_bytes).alias("whole"), (F.col("bytes") - F.col("top.bytes")).alias("rest_bytes"))
+    bands = common.staged(bands.select("band", "top", "docs", "whole", _in_blocks("rest", "rest_bytes", block_docs, block_bytes).alias("parts")), "bands")
+    tasks = max(1, (bands.where("whole = 1 and parts = 1").agg(F.sum("docs")).first()[0] or 0) // 512)
+    mixed = members.join(bands, "band")
+    whole = mixed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(F.xxhash64("id"), F.col("whole")).cast("int").alias("j"), F.lit(False).alias("part"))
+    part = mixed.where("c <> top").select("*", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("j"), F.lit(True).alias("part"))
+    task = F.when((F.col("whole") == 1) & (F.col("parts") == 1), F.pmod(F.xxhash64("band"), F.lit(tasks))).otherwise(F.xxhash64("band", "i", "j"))  # small bands share a task
+    rows = whole.unionByName(part).select(task.alias("task"), "band", "i", "j", "id", "c", "part").join(big.select("id", "shingles"), "id")
+
+    def verify(group: pa.Table) -> pa.Table:
+        columns = [group[x].to_pylist() for x in ("band", "i", "j", "id", "c", "part", "shingles")]
+        held: dict = {}
+        for *key, name, c, part, shingled in zip(*columns):
+            one = held.setdefault(tuple(key), {})
+            one[name, shingled] = c, part or one.get((name, shingled), (c, False))[1]
+        out = []
+        for one in held.values():
+            ids = [name for name, _ in one]
+            links = forest([np.frombuffer(x, np.uint64) for _, x in one], percent, np.flatnonzero([part for _, part in one.values()]), [c for c, _ in one.values()])
+            out += [(ids[i], ids[j]) for i, j in links]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return first.unionByName(rows.groupBy("task").applyInArrow(verify, "a long, b long"))
+
+
+def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_docs: int = 128, block_bytes: int = 8 << 20, pivots: int = 64) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (least id reachable over links), kept (id = component_id).
+
+    Null, empty and blank texts have no shingles and are linked with nothing: they are components of their own. Rows with
+    equal ids are one node if their texts are equal; rows with equal ids and other texts are linked by their id alone where a
+    component takes it in. A null id has a null component and is kept, but still links nothing. An empty table gives no rows.
+    Groups of more than two blocks (block_docs different sets, or block_bytes of shingles) are large ones. Other columns are not read.
+    """
+    table = common.staged(_sketched(df, id_col, text_col), "sketched")
+    classes = common.staged(table.where("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    members = classes.select("rep", F.explode("bands").alias("band"))
+    heads = members.groupBy("band").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last").select("band", "head")
+    candidates = components.components(members.join(heads, "band").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    candidates = common.staged(candidates.join(classes.select(F.col("rep").alias("node"), "n", "h1", "h2", "bands"), "node"), "candidates")
+    groups = candidates.groupBy("component").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n")).alias("bytes")).select("component", _in_blocks("docs", "bytes", block_docs, block_bytes).alias("blocks"), ((F.col("docs") > 2 * block_docs) | (F.col("bytes") > 2 * block_bytes)).alias("large"))
+    groups = common.staged(groups, "groups")
+    wanted = candidates.join(groups, "component").select(F.col("node").alias("id"), "h1", "h2", "component", "n", "blocks", "large", F.when(F.col("large"), F.col("bands")).alias("bands"))
+    sets = common.staged(_sets(df, wanted, id_col, text_col), "sets")
+    links = sets.where("not large").groupBy("component").applyInArrow(_links(percent), "a long, b long")
+    if not groups.where("large").isEmpty():
+        links = links.unionByName(_large_links(sets.where("large"), percent, pivots, block_docs, block_bytes))
     found = common.staged(components.components(links), "components")
+    for done in (candidates, groups, sets):
+        common.drop(done)
     named = classes.select("h1", "h2", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
     named = common.staged(named, "named")
+    common.drop(classes)
+    common.drop(found)
     out = table.select("id", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose id is the least of its near-duplicates, with their columns as they are. Rows with a null id stay; so do rows that repeat the id of one that stays."""
-    gone = near_duplicates(df.select(id_col, text_col), percent, id_col, text_col).where("not kept").select(id_col).distinct()
-    return df.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows whose id is the least of its near-duplicates, with their columns as they are; of rows alike in id and text one. Rows with a null id stay.
+
+    Ids that go or that repeat are put in a filter of fixed size; only rows that it may hold are shuffled.
+    """
+    named = near_duplicates(df.select(id_col, text_col), percent, id_col, text_col)
+    ids = common.staged(named.groupBy(F.col(id_col).alias("id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")).where("id is not null and (not kept or rows > 1)"), "gone")
+    bits = df.sparkSession.sparkContext.broadcast(common.id_filter(ids, "id"))
+    name = common.free_name(df.columns, "maybe")
+
+    @F.arrow_udf("boolean")
+    def maybe(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(common.may_hold(bits.value, a.to_numpy(zero_copy_only=False), b.to_numpy(zero_copy_only=False)))
+
+    own = F.col(id_col).cast("long")
+    rows = df.withColumn(name, maybe(*common.positions(own)) & own.isNotNull())
+    checked = rows.where(F.col(name)).join(ids.where("not kept").select(F.col("id").alias(name + "_id")), own == F.col(name + "_id"), "left_anti").dropDuplicates([id_col, text_col])
+    return rows.where(~F.col(name)).unionByName(checked).select(*[F.col(f"`{c}`") for c in df.columns])
