@@ -201,6 +201,21 @@ def test_count_tokens(spark, docs, empty):
     assert token_counts.count_tokens(empty, MULTI, public_tokenizers.PATTERN).count() == 0
 
 
+def test_edits_count_what_they_encode():
+    held = token_counts.counter(tokens.read_file(MULTI), public_tokenizers.PATTERN)
+    enc = encoding(MULTI)
+    text = b"some words " * 2000 + b"x" * 20_000 + b" and some more" * 2000
+    tree = token_counts.TokenTree(text, held)
+    at = text.index(b"xxxx") + 9000
+    for k in range(3):  # in a long run without spaces: that leaf alone
+        before = tree.reencoded
+        assert tree.edit(at, at + 1, b"yz") == len(enc.encode_ordinary(tree.text.decode()))
+        assert 20_000 <= tree.reencoded - before < 21_000
+    before = tree.reencoded
+    tree.edit(5, 5, b" new words" * 3000)  # more chunks than leaves: all anew, and counted
+    assert tree.reencoded - before > len(tree.text) and tree.total == len(enc.encode_ordinary(tree.text.decode()))
+
+
 # 4
 
 
@@ -653,7 +668,6 @@ def test_logistic_of_one_class_is_its_rate():
 def test_packing_places_every_id_once(spark, docs, empty):
     df, rows = docs
     tk = Tokenizer.from_file(PLAIN)
-    tk.encode_special_tokens = True
     out = packing.pack_documents(df, PLAIN, round_docs=7).collect()
     seqs, texts = {}, {}
     for r in out:

@@ -4,7 +4,8 @@ A document is cut into chunks at every space that a non-space follows, which alw
 of a segment tree hold the bytes and tokens of runs of such pre-tokens, inner nodes hold the sums of their subtrees.
 An edit re-encodes only the leaves that it touches, with one boundary of context on either side, and updates the sums
 on the paths above them. If a region grows by more chunks than it had leaves, its last leaf takes the surplus; a leaf
-that has become too long makes the tree be built anew.
+that has become too long by that makes the tree be built anew, which encodes the whole document. A chunk that is long of
+itself (no space in it) is one leaf at any length, and only it is encoded when an edit touches it.
 """
 
 from __future__ import annotations
@@ -89,7 +90,8 @@ class TokenTree:
         put[: min(slots, len(fresh))] = fresh[:slots]
         if len(fresh) > slots:
             put[-1] += fresh[slots:].sum(axis=0)
-        if put[:, 0].max() > max(self.longest_leaf, 2 * len(self.text) // max(1, self.n)):
+        if len(fresh) > slots and put[-1, 0] > max(self.longest_leaf, 2 * len(self.text) // max(1, self.n)):
+            self.reencoded += len(self.text)
             self._build()
             return self.total
         a, b = self.half + first, self.half + last
