@@ -163,6 +163,19 @@ def test_shards_are_contiguous_and_balanced(spark, docs, empty):
     assert sharding.shard_by_bytes(empty).count() == 0
 
 
+def test_shards_follow_from_prefix_sums(spark, docs):
+    df, rows = docs
+    order = sorted((-1 if i is None else i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 8) for i, t, *_ in rows)
+    total, before, want, slots = sum(r[2] for r in order), 0, [], {}
+    for i, crc, size in order:
+        shard = min(6, (2 * before + size) * 7 // (2 * total))
+        want.append((i, size, crc, shard, slots.get(shard, 0)))
+        slots[shard] = slots.get(shard, 0) + 1
+        before += size
+    got = sharding.shard_by_bytes(df, 7).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], *tuple(r)[1:]) for r in got) == sorted(want)
+
+
 def test_shards_of_even_rows_are_even(spark):
     df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x" * 92).alias("text"))
     counts = {r["shard"]: r["n"] for r in sharding.shard_by_bytes(df, 24).groupBy("shard").agg(F.count("*").alias("n")).collect()}
@@ -593,7 +606,7 @@ def test_sparse_sites_stay_near_their_parent(spark):
     rows = [("big", "", 0.2)] * 500 + [("good", "", 0.9)] * 500 + [("one", "", 0.0)] + [("good", "a", 0.0)]
     rates, rate, n = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p double"))
     by = {(r["host"], r["path"]): r for r in rates.collect()}
-    assert n == 4 and by["big", ""]["host_rate"] < 0.25 and by["good", ""]["host_rate"] > 0.8
+    assert n == 4 * 32 + sum(map(len, ("big", "good", "one", "good", "a"))) and by["big", ""]["host_rate"] < 0.25 and by["good", ""]["host_rate"] > 0.8
     assert by["one", ""]["host_rate"] > 0.1 and by["good", "a"]["path_rate"] > 0.3
 
 
@@ -619,7 +632,7 @@ def test_site_rates_in_closed_form(spark):
     want = {(h, p): (hosts[h], (s + b * hosts[h]) / (n + b)) for (h, p), (n, s) in paths.items()}
     rates, overall, n = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p double"))
     got = {(r["host"], r["path"]): (r["host_rate"], r["path_rate"]) for r in rates.collect()}
-    assert n == 36 and abs(overall - rate) < 1e-9 and set(got) == set(want)
+    assert n == sum(32 + len(h) + len(p) for h, p in paths) and abs(overall - rate) < 1e-9 and set(got) == set(want)
     assert all(abs(x - y) < 1e-9 for k in want for x, y in zip(got[k], want[k]))
 
 

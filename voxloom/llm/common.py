@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from voxloom.staging import drop, shared_dir, staged  # noqa: F401  operators take them from here
 
-#: A table is broadcast only if it has at most this many rows (of a few dozen bytes each).
-BROADCAST_ROWS = 200_000
+#: A table is broadcast only if its values have at most this many bytes in all.
+BROADCAST_BYTES = 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -43,9 +43,9 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast if the counted rows are few; else the join shuffles, and AQE splits skewed keys."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def maybe_broadcast(df: DataFrame, size: int) -> DataFrame:
+    """Hint a broadcast if the counted bytes are few; else the join shuffles, and AQE splits skewed keys."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 #: Bits of a filter of ids: 8 MB at every size.

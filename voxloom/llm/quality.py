@@ -173,7 +173,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     marks = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y is not null").where(~held_out("id")).groupBy("id").agg(F.avg("y").alias("y"))
     n = marks.count()
     marks = marks.where(F.xxhash64("id") <= F.lit(common.threshold(fit_rows / max(1, n))))
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(common.maybe_broadcast(marks, min(n, 2 * fit_rows)), "id")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(common.maybe_broadcast(marks, 32 * min(n, 2 * fit_rows)), "id")
     made = rows.select((F.col("y") >= 0.5).cast("double").alias("y"), packed(df.sparkSession, F.col("text")).alias("x")).toPandas()
     x = np.zeros((len(made), N_FEATURES), np.float32)
     for i, row in enumerate(made["x"]):
@@ -213,12 +213,12 @@ def _strength(rates: DataFrame) -> float:
 
 
 def site_rates(scored: DataFrame) -> tuple[DataFrame, float, int]:
-    """Shrunk rates of paths from (host, path, p): (host, path, host_rate, path_rate), the global rate, and the number of rows.
+    """Shrunk rates of paths from (host, path, p): (host, path, host_rate, path_rate), the global rate, and the bytes of the rows.
 
     Rows are summed on the map side before they are shuffled, so a host with a third of all rows is one row a task.
     """
     paths = common.staged(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s")), "paths")
-    total = paths.agg(F.sum("n"), F.sum("s"), F.count("*")).first()
+    total = paths.agg(F.sum("n"), F.sum("s"), F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 32), F.lit(0))).first()
     rate = float(min(0.999, max(0.001, ((total[1] or 0.0) + 1) / ((total[0] or 0) + 2))))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     a = _strength(hosts.select(F.col("hn").alias("n"), F.col("hs").alias("s"), F.lit(rate).alias("up")))
@@ -234,9 +234,9 @@ def _logit(c) -> Column:
 
 
 def _shifted(df: DataFrame, model: Model, names: dict[str, str], source_col: str) -> DataFrame:
-    rates, rate, n = site_rates(df.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path"), F.expr(f"1 / (1 + exp(-`{names['own']}`))").alias("p")))
+    rates, rate, size = site_rates(df.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path"), F.expr(f"1 / (1 + exp(-`{names['own']}`))").alias("p")))
     sites = rates.select(*[F.col(c).alias(names[c]) for c in ("host", "path", "host_rate", "path_rate")])
-    joined = df.join(common.maybe_broadcast(sites, n), [names["host"], names["path"]])
+    joined = df.join(common.maybe_broadcast(sites, size), [names["host"], names["path"]])
     shift = _logit(F.col(names["path_rate"])) - float(np.log(rate / (1 - rate)))
     return joined.withColumn(names["quality"], 1 / (1 + F.exp(-(F.col(names["own"]) + shift))))
 
