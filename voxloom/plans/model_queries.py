@@ -72,9 +72,9 @@ def inverse_normalize_stub(spark, sf_dir):
     return tagged(spark, sf_dir).select("doc_id", tags.keep_head_of_age(F.col("text"), providers.inverse_normalize).alias("text"), providers.sentence_stops(F.col("text")).alias("stopped"))
 
 
-@query("sentence_stops_stub", "SELECT doc_id, regexp_replace(text, '([^\\n])\\n', '\\1。' || chr(10), 'g') AS text FROM documents WHERE NOT contains(text, chr(10) || chr(10))")
+@query("sentence_stops_stub", "SELECT doc_id, substr(text, 1, 1) || replace(substr(text, 2), chr(10), '。' || chr(10)) AS text FROM documents")
 def sentence_stops_stub(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\n\n"))).select("doc_id", providers.sentence_stops(F.col("text")).alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", providers.sentence_stops(F.col("text")).alias("text"))
 
 
 @query("punctuate_stub", "SELECT conv_id, turn, CASE WHEN regexp_full_match(text, '\\s*') THEN text ELSE upper(text[1]) || text[2:] || CASE WHEN text[-1] IN ('.', '?', '!') THEN '' ELSE '.' END END AS text FROM conversations")
@@ -158,12 +158,12 @@ def strip_all_columns(spark, sf_dir):
     return tags.strip_all_columns(rows)
 
 
-@query("titles", "SELECT event_id, upper(event_type[1]) || event_type[2:] || ' Of' || '-It''S ' || user_id || 'X' AS title, CASE event_type WHEN 'click' THEN 'Ang' WHEN 'view' THEN 'NA' ELSE 'Unk' END AS emotion FROM events WHERE regexp_full_match(event_type, '[a-z]+')")
+@query("titles", "SELECT event_id, array_to_string(list_transform(string_split(event_type, '_'), lambda x: upper(x[1]) || lower(x[2:])), ' ') || ' Of' || '-It''S ' || user_id || 'X' AS title, CASE event_type WHEN 'click' THEN 'Ang' WHEN 'view' THEN 'NA' ELSE 'Unk' END AS emotion FROM events")
 def titles(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where(F.col("event_type").rlike("^[a-z]+$"))
+    e = table(spark, sf_dir, "events")
     return e.select("event_id", buckets.title(F.expr("concat(event_type, '_of-it''s ', user_id, 'x')")).alias("title"), buckets.emotion_name(F.expr("CASE event_type WHEN 'click' THEN 'anger' WHEN 'view' THEN 'No_Audio' ELSE event_type END")).alias("emotion"))
 
 
-@query("text_keys", """SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN '{"doc_id":' || doc_id || ',"lang":"' || lang || '"}' ELSE text END) AS key FROM documents WHERE lang IS NOT NULL""")
+@query("text_keys", """SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN '{"doc_id":' || doc_id || ',"lang":"' || coalesce(lang, '') || '"}' ELSE text END) AS key FROM documents""")
 def text_keys(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("lang is not null").select("doc_id", buckets.text_key(F.expr("CASE WHEN doc_id % 3 <> 0 THEN text END"), F.col("doc_id"), F.col("lang")).alias("key"))
+    return table(spark, sf_dir, "documents").select("doc_id", buckets.text_key(F.expr("CASE WHEN doc_id % 3 <> 0 THEN text END"), F.col("doc_id"), F.coalesce("lang", F.lit("")).alias("lang")).alias("key"))

@@ -87,11 +87,11 @@ def prefix_anti(spark, sf_dir):
     return joins.without_prefixes(lines, b.selectExpr("text AS prefix")).select("doc_id")
 
 
-@query("prefix_anti_lengths", "WITH p AS (SELECT DISTINCT substr(text, 1, 1 + doc_id * 7 % 1501) AS p FROM documents WHERE doc_id % 3 = 0) SELECT doc_id FROM documents d WHERE text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.p <> '' AND starts_with(d.text, p.p))")
+@query("prefix_anti_lengths", "WITH p AS (SELECT DISTINCT substr(text, 1, 1 + doc_id * 7 % 1501) AS p FROM documents WHERE doc_id % 3 = 0) SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.p <> '' AND starts_with(d.text, p.p))")
 def prefix_anti_lengths(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     prefixes = d.where("doc_id % 3 = 0").select(F.expr("substr(text, 1, CAST(1 + doc_id * 7 % 1501 AS INT))").alias("prefix"))
-    return joins.without_prefixes(d.where("text is not null").selectExpr("doc_id", "text AS value"), prefixes).select("doc_id")
+    return joins.without_prefixes(d.selectExpr("doc_id", "text AS value"), prefixes).select("doc_id")
 
 
 @query("pair_join", f"WITH {TAGGED}, l AS (SELECT doc_id, any_value(quality) AS quality FROM labels GROUP BY doc_id) SELECT t.doc_id, audio_filepath, quality FROM t JOIN l USING (doc_id)")

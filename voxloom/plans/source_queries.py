@@ -144,7 +144,7 @@ def src_listing(spark, sf_dir):
 
 @query("src_search", "SELECT n_name AS query, n_name || ' ' || i AS title, 'PT' || (1 + i % 59) || 'M' AS duration FROM nation, range(60) t(i)")
 def src_search(spark, sf_dir):
-    names = [r["n_name"] for r in table(spark, sf_dir, "nation").select("n_name").limit(1000).collect()]  # a list of queries, not data
+    names = [r["n_name"] for r in table(spark, sf_dir, "nation").select("n_name").collect()]  # a list of queries, 25 at every scale
     return search.search(spark, names, 60).select(F.regexp_extract("title", "^(.*) [0-9]+$", 1).alias("query"), "title", "duration")
 
 
@@ -155,14 +155,14 @@ def src_columns(spark, sf_dir):
 
 @query("src_config", "SELECT r_name AS domain, 'en' AS language, 20.0::DOUBLE AS chunk_seconds, 10.0::DOUBLE AS overlap_seconds, r_regionkey::VARCHAR AS feature FROM region")
 def src_config(spark, sf_dir):
-    rows = [manifests.DomainConfig.from_mapping({"domain": r["r_name"], "processing": {"chunk_seconds": 20.0}, "region": str(r["r_regionkey"])}) for r in table(spark, sf_dir, "region").limit(1000).collect()]  # configurations live on the driver
+    rows = [manifests.DomainConfig.from_mapping({"domain": r["r_name"], "processing": {"chunk_seconds": 20.0}, "region": str(r["r_regionkey"])}) for r in table(spark, sf_dir, "region").collect()]  # configurations live on the driver, 5 at every scale
     return spark.createDataFrame([(c.domain, c.language, c.chunk_seconds, c.overlap_seconds, c.features["region"]) for c in rows], "domain string, language string, chunk_seconds double, overlap_seconds double, feature string")
 
 
-@query("src_preview", "SELECT event_id % 3 <> 0 AS valid, count(*) AS n FROM (SELECT event_id FROM events WHERE event_id < 100) GROUP BY 1")
+@query("src_preview", "SELECT event_id % 3 <> 0 AS valid, CASE WHEN event_id % 3 = 0 THEN '{cut ' || event_id ELSE props END AS value FROM events ORDER BY event_id LIMIT 200")
 def src_preview(spark, sf_dir):
-    path = _lines(table(spark, sf_dir, "events").where("event_id < 100"), "CASE WHEN event_id % 3 = 0 THEN '{cut' ELSE props END", "preview")
-    return manifests.valid_json_preview(manifests.read_lines(spark, path), 200).groupBy("valid").agg(F.count("*").alias("n"))
+    path = _lines(table(spark, sf_dir, "events").orderBy("event_id"), "CASE WHEN event_id % 3 = 0 THEN concat('{cut ', event_id) ELSE props END", "preview")
+    return manifests.valid_json_preview(manifests.read_lines(spark, path), 200).select("valid", "value")
 
 
 @query("sink_json_lines", """SELECT '{"c_custkey":' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN ',"name":"' || c_name || '"' ELSE '' END || '}' AS value FROM customer""")
