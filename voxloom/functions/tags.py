@@ -153,7 +153,7 @@ def fix_end_family_a(c: Column, marks: str = "?!:;,.", legacy: bool = False) ->
     c = F.regexp_replace(c, rf"(?U)\s+END\s+(\b{_META}|$)", " $1")
     for _ in range(2):
         c = F.regexp_replace(c, r"(?U)\s+END\s+END\b", " END")
-    c = F.regexp_replace(c, r"(?U)(ENTITY_[A-Z0-9_]+\s+\S.*?)(?<!\sEND)(?=\s+(\bAGE_|\bGENDER_|\bEMOTION_|\bINTENT_|\bENTITY_)|$)", "$1 END")
+    c = F.regexp_replace(c, rf"(ENTITY_[A-Z0-9_]+ \S.*?)(?= (?:{_META}|ENTITY_)|$)(?<! END)", "$1 END")  # all white space is single spaces here
     c = F.regexp_replace(c, rf"(?U){_tag(legacy)}(\S)", "$1 $2")
     c = F.regexp_replace(c, r"(?U)(\S)(END\b)", "$1 $2")
     return _punctuation(c, marks)
