@@ -507,8 +507,9 @@ def test_texts_that_fit_no_learned_language_are_rejected(spark):
     unlearned = speech(rng, "bb", 80)
     left = spark.createDataFrame([(1, four), (2, five), (3, foreign), (4, unlearned), (5, say["p"](3)), (6, foreign + " " + unlearned), (7, say["q"](300) + " " + unlearned[:60])], "doc_id long, text string")
     assert {r["doc_id"] for r in langid.keep_known(left, model).collect()} == {1, 2, 5, 7}
-    lang, score, fit, shares = model.assess(five.encode())
+    lang, score, fit, most, shares = model.assess(five.encode())
     assert set(shares) == set("pqrst") and fit > 0.9 and abs(score - max(shares.values()) * fit) < 1e-9
+    assert fit <= most <= 1 and model.assess((foreign * 3).encode())[3] < 0.5
     assert model.infer(unlearned.encode())[1] < 0.2 and model.infer(say["r"](40).encode())[1] > 0.8
 
 
@@ -537,7 +538,7 @@ def test_language_sets_against_every_set():
                 value = float((n * np.log(w @ p[list(some)])).sum()) - model.penalty * 0.5 * math.log(total + 1) * size
                 if value > best[0]:
                     best = value, some, w
-        lang, score, fit, shares = model.assess(text.encode())
+        lang, score, fit, most, shares = model.assess(text.encode())
         assert set(shares) == {"pqrst"[i] for i in best[1]}
         assert all(abs(shares["pqrst"[i]] - x) < 0.02 for i, x in zip(best[1], best[2])) and abs(sum(shares.values()) - 1) < 1e-9
         assert shares[lang] == max(shares.values()) and 0 <= score <= shares[lang] and 0 <= fit <= 1

@@ -52,7 +52,7 @@ def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Mixture:
-    """Fitted models; assess(text) gives (language, score, fit, shares of the selected languages), infer(text) leaves out the fit."""
+    """Fitted models; assess(text) gives (language, score, fit, most: the fit and three standard errors of its mean over the trigrams, shares of the selected languages), infer(text) leaves out the fit."""
 
     def __init__(self, langs: list[str], counts: np.ndarray, penalty: float = 4.0):
         self.langs, self.penalty = langs, penalty
@@ -91,29 +91,31 @@ class Mixture:
             chosen, w, ll = [*chosen, more], new_w, new_ll
         return chosen, w, ll
 
-    def _fit(self, ll: float, chosen: list[int], w: np.ndarray) -> float:
-        """The gain over chance of a log-likelihood per trigram, as a part of the usual one of a mixture, whose choice of languages costs its entropy at most."""
-        gain, some = ll + math.log(self.prob.shape[1]), w[w > 0]
+    def _fit(self, gain: float, chosen: list[int], w: np.ndarray) -> float:
+        """A gain over chance per trigram as a part of the usual one of a mixture, whose choice of languages costs its entropy at most."""
+        some = w[w > 0]
         return min(1.0, max(0.0, gain / max(1e-9, float((w * self.usual[chosen]).sum() + (some * np.log(some)).sum()))))
 
     def infer(self, text: bytes | None) -> tuple[str, float, dict[str, float]]:
-        lang, score, _, shares = self.assess(text)
+        lang, score, _, _, shares = self.assess(text)
         return lang, score, shares
 
-    def assess(self, text: bytes | None) -> tuple[str, float, float, dict[str, float]]:
+    def assess(self, text: bytes | None) -> tuple[str, float, float, float, dict[str, float]]:
         if not text or not self.langs or not _LETTER.search(text.decode()):
-            return "und", 0.0, 0.0, {}
+            return "und", 0.0, 0.0, 0.0, {}
         at, n = trigrams(text)
         if not len(at):
-            return "und", 0.0, 0.0, {}
+            return "und", 0.0, 0.0, 0.0, {}
         p, total = self.prob[:, at], int(n.sum())
         single = np.log(p) @ n
         chosen, w, ll = self.select(p, n, single)
         top = max(range(len(chosen)), key=lambda i: (w[i], -chosen[i]))
         gain = (single[chosen[top]] - np.delete(single, chosen[top]).max()) if len(self.langs) > 1 and len(chosen) == 1 else 0.0
         sure = 1 / (1 + math.exp(-min(50.0, max(-50.0, gain)))) if len(chosen) == 1 and len(self.langs) > 1 else 1.0
-        fit = self._fit(ll / total, chosen, w)
-        return self.langs[chosen[top]], min(1.0, max(0.0, float(w[top]) * sure * fit)), fit, {self.langs[c]: float(x) for c, x in zip(chosen, w)}
+        each = np.log(w @ p[chosen])
+        gain, error = ll / total + math.log(self.prob.shape[1]), math.sqrt(max(0.0, float(n @ (each - ll / total) ** 2)) / total / total)
+        fit, most = (self._fit(x, chosen, w) for x in (gain, gain + 3 * error))
+        return self.langs[chosen[top]], min(1.0, max(0.0, float(w[top]) * sure * fit)), fit, most, {self.langs[c]: float(x) for c, x in zip(chosen, w)}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -153,15 +155,15 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
 
 def predict(model: Mixture, spark, text: Column) -> Column:
-    """struct(lang, score, fit, shares) of a text column; null, empty or letterless texts are und with score 0."""
+    """struct(lang, score, fit, most, shares) of a text column; null, empty or letterless texts are und with score 0."""
     shared = spark.sparkContext.broadcast(model)
     common.small_batches(spark)
 
-    @F.arrow_udf("struct<lang:string,score:double,fit:double,shares:map<string,double>>")
+    @F.arrow_udf("struct<lang:string,score:double,fit:double,most:double,shares:map<string,double>>")
     def assess(texts: pa.Array) -> pa.Array:
         found = [shared.value.assess(t) for t in common.utf8(texts)]
-        columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
-        return pa.StructArray.from_arrays([*columns, pa.array([list(f[3].items()) for f in found], pa.map_(pa.string(), pa.float64()))], ["lang", "score", "fit", "shares"])
+        columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64(), pa.float64()))]
+        return pa.StructArray.from_arrays([*columns, pa.array([list(f[4].items()) for f in found], pa.map_(pa.string(), pa.float64()))], ["lang", "score", "fit", "most", "shares"])
 
     return assess(text.cast("string"))
 
@@ -173,7 +175,11 @@ def identify(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(df: DataFrame, model: Mixture, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows, with their columns as they are, whose text fits the learned languages at least so well; it may mix any number of them evenly."""
+    """The rows, with their columns as they are, whose text may fit the learned languages so well; it may mix any number of them evenly.
+
+    A text is rejected only if its fit is below least by more than three standard errors, so a few odd trigrams (a number, an
+    address, a key) in a short text do not make it foreign.
+    """
     name = common.free_name(df.columns, "said")
     out = df.withColumn(name, predict(model, df.sparkSession, F.col(text_col)))
-    return out.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.fit") >= least)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.most") >= least)).select(*[F.col(f"`{c}`") for c in df.columns])
