@@ -204,7 +204,7 @@ def _large_links(big: DataFrame, percent: int, pivots: int, block_docs: int, blo
     bands = members.groupBy("band", "c").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n")).alias("bytes")).groupBy("band").agg(F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"), F.max(size).alias("top"), F.count("*").alias("sets")).where("sets > 1")
     bands = bands.select("band", F.col("top.c").alias("top"), "docs", (F.col("docs") - F.col("top.docs")).alias("rest"), _in_blocks("docs", "bytes", block_docs, block_bytes).alias("whole"), (F.col("bytes") - F.col("top.bytes")).alias("rest_bytes"))
     bands = common.staged(bands.select("band", "top", "docs", "whole", _in_blocks("rest", "rest_bytes", block_docs, block_bytes).alias("parts")), "bands")
-    tasks = max(1, (bands.where("whole = 1 and parts = 1").agg(F.sum("docs")).first()[0] or 0) // 512)
+    tasks = max(1, (bands.where("whole = 1 and parts = 1").agg(F.sum("docs")).first()[0] or 0) // block_docs)
     mixed = members.join(bands, "band")
     whole = mixed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(F.xxhash64("id"), F.col("whole")).cast("int").alias("j"), F.lit(False).alias("part"))
     part = mixed.where("c <> top").select("*", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("j"), F.lit(True).alias("part"))
