@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxloom.functions import buckets, paths, providers, tags
-from voxloom.operators import filters, joins, metrics, repair, windows
+from voxloom.operators import components, filters, joins, metrics, repair, windows
 from voxloom.sources import manifests, sinks, subtitles
 from voxloom.streaming import ingest
 
@@ -358,3 +358,17 @@ def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
     staging.drop(table)
     with pytest.raises(Exception):
         spark.read.parquet(table.staged_at).count()
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(5, 5), (None, 3), (1, 0)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    up = {}
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = up.setdefault(a, {a}), up.setdefault(b, {b})
+            x |= y
+            for k in x:
+                up[k] = x
+    assert got == {k: min(v) for k, v in up.items()}
