@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from voxloom.llm import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts, tokens, topk
-from voxloom.operators import components
 
 MULTI, PLAIN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = "ab 's\n\t  é漢1²_.,'tREllD\x1c\x85   "
@@ -325,20 +324,6 @@ def test_sketches_fill_and_estimate():
     assert abs(agree - 0.8) < 0.1
 
 
-def test_components(spark):
-    rng = random.Random(9)
-    edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(5, 5), (None, 3), (1, 0)]
-    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    up = {}
-    for a, b in edges:
-        if a is not None and a != b:
-            x, y = up.setdefault(a, {a}), up.setdefault(b, {b})
-            x |= y
-            for k in x:
-                up[k] = x
-    assert got == {k: min(v) for k, v in up.items()}
-
-
 # 5
 
 
