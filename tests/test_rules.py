@@ -358,6 +358,16 @@ def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
     staging.drop(table)
     with pytest.raises(Exception):
         spark.read.parquet(table.staged_at).count()
+    way = []
+
+    def make():
+        way.append(staging.staged(spark.range(5)))
+        return way[0].where("id > 2")
+
+    out = staging.settled(make)
+    assert out.count() == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(way[0].staged_at).count()
 
 
 def test_components(spark):

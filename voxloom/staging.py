@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Tables that this process has staged and not deleted, in order.
+_MADE: list[str] = []
+
+
 def _own(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/voxloom/{spark.sparkContext.applicationId}"
 
@@ -36,17 +41,31 @@ def scratch(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str = "t") -> DataFrame:
     """df written as Parquet and read back: a short lineage that survives lost executors."""
     path = scratch(df.sparkSession, label)
+    _MADE.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
 
 
+def settled(make: Callable[[], DataFrame], label: str = "t") -> DataFrame:
+    """make() staged, and the tables deleted that were staged on the way to it. For one thread."""
+    before = len(_MADE)
+    out = staged(make(), label)
+    for path in _MADE[before:-1]:
+        _delete(out.sparkSession, path)
+    _MADE[before:] = [out.staged_at]
+    return out
+
+
 def drop(df: DataFrame) -> None:
     """Delete the table of a frame that staged() gave; nothing that is still to be computed may read it."""
+    if df.staged_at in _MADE:
+        _MADE.remove(df.staged_at)
     _delete(df.sparkSession, df.staged_at)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete all tables that this application has staged; for its end, when no frame that reads them is needed any more."""
     _delete(spark, _own(spark))
+    _MADE.clear()
