@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.staging import drop, shared_dir, staged  # noqa: F401  operators take them from here
+from voxloom.staging import drop, settled, shared_dir, staged  # noqa: F401  operators take them from here
 
 #: A table is broadcast only if its values have at most this many bytes in all.
 BROADCAST_BYTES = 16 << 20
