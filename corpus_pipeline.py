@@ -51,8 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = common.staged(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.settled(lambda: stage(spark, docs, sf_dir), name)  # a stage's own tables go when its rows are written
+    return STAGES[-1][1](spark, docs, sf_dir)
