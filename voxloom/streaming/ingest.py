@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQu
 
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: str, step: Callable[[DataFrame], DataFrame] = lambda df: df, key: str | None = None, form: str = "json") -> StreamingQuery:
-    """Process the files that are new since the last run, and stop. With a key, a row whose key has come before is dropped, across runs too."""
+    """Process the files that are new since the last run, and stop. With a key, a row whose key has come before is dropped, across runs too; the state holds every key, and grows with them."""
     rows = spark.readStream.schema(schema).format(form).load(source)
     if key:
         rows = rows.dropDuplicates([key])
