@@ -8,11 +8,11 @@ are candidates, and candidates are grouped by connected components over bands (a
 texts of candidates are read again: all others are passed over by a filter of fixed size before anything is shuffled.
 
 All pairs of a small group are counted exactly in one task, by matrix products over shared shingles. A large group
-goes in two steps, so that the work isn't quadratic in its size where its documents are copies of few. First each of its
-documents is held against a bounded number of pivots of the group, which joins most copies. Then, band by band, pairs of
-documents that agree on the band and aren't joined yet are counted: those outside the largest joined set of the band against
-all of the band, in pairs of blocks. So every pair that agrees on a band is counted or joined already, at any size.
-Only links of a spanning forest leave a task.
+goes in two steps. First each of its documents is held against a bounded number of pivots of the group, which joins most
+copies. Then the documents outside its largest joined set are counted against all of the group, or, if that is less work,
+band by band, those outside the largest joined set of a band against all of the band; in pairs of blocks, whose size grows with
+the group so that a matrix product has enough to do. So every pair that agrees on a band is counted or joined already, at
+any size. Only links of a spanning forest leave a task.
 
 Equal sets are one node from the start. A pair at similarity s is missed if no band agrees: (1 - s^7)^48, which is
 9e-9 at 0.85 and 1e-5 at 0.8.
@@ -139,20 +139,15 @@ def forest(sets: list[np.ndarray], percent: int, rows: np.ndarray | None = None,
             part[owner[a:b], column[a:b] - low] = 1
             inter += (part[rows] @ part.T).astype(np.int64)
     linked = 100 * inter >= percent * (sizes[rows][:, None] + sizes[None, :] - inter)
-    first: dict = {}
-    up = list(range(m)) if joined is None else [first.setdefault(name, i) for i, name in enumerate(joined)]
-
-    def root(i):
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        return i
-
+    label = np.arange(m) if joined is None else np.unique(np.array(joined), return_inverse=True)[1]
     out = []
-    for i, j in np.argwhere(linked if alone else np.triu(linked, 1)).tolist():
-        i = int(rows[i])
-        if (a := root(i)) != (b := root(j)):
-            up[max(a, b)] = min(a, b)
-            out.append((i, j))
+    for row, i in zip(linked if alone else np.triu(linked, 1), rows.tolist()):
+        others = np.flatnonzero(row)
+        others = others[label[others] != label[i]]
+        if len(others):
+            found, first = np.unique(label[others], return_index=True)
+            out += [(i, int(j)) for j in others[first]]
+            label[np.isin(label, found)] = label[i]
     return out
 
 
@@ -198,14 +193,21 @@ def _large_links(big: DataFrame, percent: int, pivots: int, block_docs: int, blo
     dealt = big.select("component", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "shingles").unionByName(few.select("component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "shingles"))
     first = common.staged(dealt.groupBy("component", "block").applyInArrow(_links(percent), "a long, b long"), "links")
     joined = components.components(first)
-    named = big.join(joined.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select("id", F.coalesce("c", "id").alias("c"), "n", "bands")
-    members = common.staged(named.select("id", "c", "n", F.explode("bands").alias("band")), "members")
+    whole_group = F.xxhash64("component", F.lit("group"))  # one more band, that all of a group share
+    named = big.join(joined.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select("component", "id", F.coalesce("c", "id").alias("c"), "n", F.explode(F.array_append("bands", whole_group)).alias("band"))
+    members = common.staged(named, "members")
     size = F.struct(F.col("docs"), F.col("bytes"), F.col("c"))
-    bands = members.groupBy("band", "c").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n")).alias("bytes")).groupBy("band").agg(F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"), F.max(size).alias("top"), F.count("*").alias("sets")).where("sets > 1")
-    bands = bands.select("band", F.col("top.c").alias("top"), "docs", (F.col("docs") - F.col("top.docs")).alias("rest"), _in_blocks("docs", "bytes", block_docs, block_bytes).alias("whole"), (F.col("bytes") - F.col("top.bytes")).alias("rest_bytes"))
-    bands = common.staged(bands.select("band", "top", "docs", "whole", _in_blocks("rest", "rest_bytes", block_docs, block_bytes).alias("parts")), "bands")
+    bands = members.groupBy("component", "band", "c").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n")).alias("bytes")).groupBy("component", "band").agg(F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"), F.max(size).alias("top"), F.count("*").alias("sets")).where("sets > 1")
+    bands = bands.select("component", "band", F.col("top.c").alias("top"), "docs", "bytes", (F.col("docs") - F.col("top.docs")).alias("rest"), (F.col("bytes") - F.col("top.bytes")).alias("rest_bytes"), (F.col("band") == whole_group).alias("whole_group"))
+    bands = common.staged(bands, "bands")
+    work = F.col("docs").cast("double") * F.col("rest")
+    choice = bands.groupBy("component").agg((F.coalesce(F.sum(F.when(F.col("whole_group"), work)), F.lit(0.0)) < F.coalesce(F.sum(F.when(~F.col("whole_group"), work)), F.lit(0.0))).alias("at_once"))
+    block = F.least(F.greatest(F.col("docs") / 64, F.lit(block_docs)), F.lit(8 * block_docs))
+    in_blocks = lambda docs, size: F.greatest(F.ceil(F.col(docs) / block), F.ceil(F.col(size) / block_bytes)).cast("int")
+    bands = bands.join(choice, "component").where(F.col("whole_group") == F.col("at_once")).select("component", "band", "top", "docs", in_blocks("docs", "bytes").alias("whole"), in_blocks("rest", "rest_bytes").alias("parts"))
+    bands = common.staged(bands, "chosen")
     tasks = max(1, (bands.where("whole = 1 and parts = 1").agg(F.sum("docs")).first()[0] or 0) // block_docs)
-    mixed = members.join(bands, "band")
+    mixed = members.join(bands, ["component", "band"])
     whole = mixed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(F.xxhash64("id"), F.col("whole")).cast("int").alias("j"), F.lit(False).alias("part"))
     part = mixed.where("c <> top").select("*", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("j"), F.lit(True).alias("part"))
     task = F.when((F.col("whole") == 1) & (F.col("parts") == 1), F.pmod(F.xxhash64("band"), F.lit(tasks))).otherwise(F.xxhash64("band", "i", "j"))  # small bands share a task
