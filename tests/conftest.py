@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from voxloom import staging  # noqa: E402  the path comes first
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,4 +17,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    staging.clear(session)
     session.stop()
