@@ -50,11 +50,11 @@ def staged(df: DataFrame, label: str = "t") -> DataFrame:
 
 def settled(make: Callable[[], DataFrame], label: str = "t") -> DataFrame:
     """make() staged, and the tables deleted that were staged on the way to it. For one thread."""
-    before = len(_MADE)
+    before = set(_MADE)
     out = staged(make(), label)
-    for path in _MADE[before:-1]:
+    for path in [p for p in _MADE if p not in before and p != out.staged_at]:
+        _MADE.remove(path)
         _delete(out.sparkSession, path)
-    _MADE[before:] = [out.staged_at]
     return out
 
 
