@@ -3,6 +3,7 @@
 import json
 import random
 import struct
+import time
 import wave
 
 import pytest
@@ -201,6 +202,35 @@ def test_streaming_ingest_is_incremental(spark, tmp_path):
     assert sorted(r["audio_filepath"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
 
 
+def test_progress_is_observed(spark, tmp_path):
+    seen = ingest.Progress()
+    spark.streams.addListener(seen)
+    try:
+        (tmp_path / "src").mkdir()
+        (tmp_path / "src" / "1.json").write_text('{"audio_filepath":"a"}\n{"audio_filepath":"b"}\n')
+        run = ingest.ingest(spark, *(str(tmp_path / x) for x in ("src", "out", "ck")), "audio_filepath string")
+        run.awaitTermination()
+        for _ in range(100):
+            if seen.last.get(str(run.id), {}).get("done"):
+                break
+            time.sleep(0.1)
+        assert seen.last[str(run.id)] == {"rows": 2, "done": True}
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def test_session_stream_takes_late_events_and_long_gaps(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    at = lambda u, *ts: [(u, f"2024-01-01 {t}") for t in ts]
+    parts = [at(1, "00:00:00", "00:20:00") + at(2, "00:05:00"), at(1, "00:10:00", "01:00:00", "01:59:59", "02:00:00"), at(9, "23:00:00"), at(None, "23:30:00") + at(9, "23:59:00")]
+    for part in parts:
+        spark.createDataFrame(part, "user_id long, t string").selectExpr("user_id", "CAST(t AS TIMESTAMP) AS ts").coalesce(1).write.mode("append").parquet(src)
+        rows = ingest.session_stream(spark.readStream.schema("user_id long, ts timestamp").parquet(src), late="30 minutes")
+        ingest.with_state_store(spark, lambda: rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    got = sorted((r["user_id"], str(r["start"])[11:], r["n"]) for r in spark.read.schema("user_id long, start timestamp, n long").parquet(out).collect())
+    assert got == [(1, "00:00:00", 3), (1, "01:00:00", 2), (1, "02:00:00", 1), (2, "00:05:00", 1)]
+
+
 def test_sessions_end_after_their_time(spark):
     rows = [(1, 1, "2024-01-01 00:00:00"), (2, 1, "2024-01-01 00:59:00"), (3, 1, "2024-01-01 01:00:00"), (4, 2, "2024-01-01 00:30:00")]
     df = spark.createDataFrame(rows, "event_id long, user_id long, t string").withColumn("ts", F.to_timestamp("t"))
