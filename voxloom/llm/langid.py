@@ -169,7 +169,11 @@ def predict(model: Mixture, spark, text: Column) -> Column:
 
 
 def identify(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, held_out, lang_pred, score, shares (language to share). Reads the id and the text alone."""
+    """One row per input row: id, held_out, lang_pred, score, shares (language to share). Reads the id and the text alone.
+
+    Null, empty and letterless texts are und with score 0 and no shares, as are all texts if no language was learned. Rows that
+    repeat are predicted alike; ties go to the first language by name. A null id stays null and is not held out.
+    """
     said = df.select(F.col(id_col).alias("id"), predict(model, df.sparkSession, F.col(text_col)).alias("said"))
     return said.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"), F.col("said.shares").alias("shares"))
 
