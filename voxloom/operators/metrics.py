@@ -138,7 +138,7 @@ def ner_scores(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True,
     return labelled.select(*macro.columns).unionByName(micro.select(*macro.columns)).unionByName(macro)
 
 
-def evaluation(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = False, by_label: bool = False, vocabulary: tuple[str, ...] | None = None, chars: bool = False) -> DataFrame:
+def evaluation(df: DataFrame, key: str, ref: str, hyp: str, reset: bool = True, by_label: bool = False, vocabulary: tuple[str, ...] | None = None, chars: bool = False) -> DataFrame:
     """The composite report, as (metric, value): wer or cer of the texts without their upper-case words, then precision, recall and fscore of each label and overall of the tagged texts."""
     plain = df.select(key, drop_upper_words(F.coalesce(F.col(ref), F.lit(""))).alias("r"), drop_upper_words(F.coalesce(F.col(hyp), F.lit(""))).alias("h"))
     rate = error_rate(plain, "r", "h", chars=chars).select(F.lit("cer" if chars else "wer").alias("metric"), F.col("rate").alias("value"))
