@@ -56,7 +56,8 @@ class Codec:
                     at, up = parts_of[at][side], at
                 edges[i] = edge
         self.cache = tokens.ChunkCache(self._chunk, limit)
-        self.decoded = tokens.TwoAges(lambda part: b"".join(self.bytes_of[int(i)] for i in part.split(b",") if i), limit)
+        #: Decimal ids, as they stand in lines, to their bytes.
+        self.named = {b"": b""} | {b"%d" % i: b for i, b in self.bytes_of.items()}
 
     def merged(self, piece: bytes, stop: int = 1) -> list[int]:
         """Plain merging by rank until stop parts are left, for what tokens are made of."""
@@ -155,9 +156,9 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in b",".join(self.encode_parts(text.encode())).split(b",") if i]
 
-    def decode_parts(self, parts: list[bytes]) -> list[bytes]:
-        """The bytes of each part's ids."""
-        return list(map(self.decoded.__getitem__, parts))
+    def decode_line(self, line: bytes) -> bytes:
+        """The bytes of decimal, comma-joined ids."""
+        return b"".join(map(self.named.__getitem__, line.split(b",")))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(self.bytes_of[i] for i in ids)
@@ -192,6 +193,18 @@ class PrefixTable:
         return self.codec.walk(self.last, end)
 
 
+_CODECS: dict[tuple[bytes, str], Codec] = {}
+
+
+def codec_of(vocabulary: bytes, pattern: str) -> Codec:
+    """The codec of a vocabulary, one at a time for each Python worker: the tasks that a worker runs share its tables and caches, whose sizes are bounded."""
+    key = hashlib.sha256(vocabulary).digest(), pattern
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = Codec(tokens.load_ranks(vocabulary), pattern)
+    return _CODECS[key]
+
+
 def _shared(spark, path: str):
     return spark.sparkContext.broadcast(tokens.read_file(path))
 
@@ -206,14 +219,13 @@ def encode_texts(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
-            held.append(Codec(tokens.load_ranks(data.value), pattern))
+            held.append(codec_of(data.value, pattern))
         codec, n, all_ids, sums, decoded = held[0], [], [], [], []
         for text in common.utf8(batch.column(1)):
-            parts = codec.encode_parts(text or b"")
-            line = b",".join(parts)
+            line = b",".join(codec.encode_parts(text or b""))
             n.append(line.count(b",") + 1 if line else 0)
             sums.append(hashlib.sha256(line).hexdigest())
-            decoded.append(hashlib.sha256(b"".join(codec.decode_parts(parts))).hexdigest())
+            decoded.append(hashlib.sha256(codec.decode_line(line)).hexdigest())
             if keep_ids:
                 all_ids.append([int(i) for i in line.split(b",") if i])
         columns = [batch.column(0), *([pa.array(all_ids, pa.list_(pa.int32()))] if keep_ids else []), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(decoded, pa.string())]
