@@ -11,7 +11,9 @@ shuffled, a lost task is packed again from its input, and memory is bounded by t
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
@@ -101,6 +103,20 @@ class Packer:
         return windows
 
 
+_ENCODERS: dict[tuple[bytes, str], tuple] = {}
+
+
+def encoder_of(vocabulary: bytes, pattern: str) -> tuple[tokens.ChunkCache, dict[bytes, bytes], re.Pattern]:
+    """Chunks to their ids, added tokens to theirs, and the split of a text by these; one at a time for each Python worker, whose tasks share the bounded cache."""
+    key = hashlib.sha256(vocabulary).digest(), pattern
+    if key not in _ENCODERS:
+        encoding = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=tokens.load_ranks(vocabulary), special_tokens={})
+        added = {text: array("I", [i]).tobytes() for text, i in tokens.load_added(vocabulary).items()}
+        _ENCODERS.clear()
+        _ENCODERS[key] = tokens.ChunkCache(lambda chunk: array("I", encoding.encode_ordinary(chunk.decode())).tobytes()), added, tokens.splitter(added)
+    return _ENCODERS[key]
+
+
 def step_groups(sizes: list[int], step_tokens: int) -> list[int]:
     """The group of each window: longest first to the group with the fewest tokens."""
     loads = [(0, g) for g in range(max(1, -(-sum(sizes) // step_tokens)))]
@@ -127,10 +143,7 @@ def pack_documents(df: DataFrame, vocabulary: str, pattern: str = PATTERN, end_i
     kinds = [*[pa.int64()] * 7, pa.int32(), pa.int64(), *([pa.binary()] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=tokens.load_ranks(data.value), special_tokens={})
-        cache = tokens.ChunkCache(lambda chunk: array("I", encoding.encode_ordinary(chunk.decode())).tobytes())
-        added = {text: array("I", [i]).tobytes() for text, i in tokens.load_added(data.value).items()}
-        by_added = tokens.splitter(added)
+        cache, added, by_added = encoder_of(data.value, pattern)
 
         def ids_of(text: bytes) -> bytes:
             return b"".join([x for i, part in enumerate(by_added.split(text)) for x in ((added[part],) if i % 2 else cache.values_of(part))])
