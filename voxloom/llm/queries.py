@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, media, minhash, packing, quality, sharding, token_counts, topk
+from . import bpe, langid, licenses, media, minhash, negatives, packing, quality, sharding, token_counts, topk
 
 
 def _table(spark, sf_dir, name):
@@ -75,7 +75,12 @@ def op10_license_scans(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, media_pages)}
+def op11_hard_negatives(spark, sf_dir):
+    named = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", named), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, op11_hard_negatives, media_pages)}
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": """
         WITH v AS (
@@ -86,6 +91,19 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+        n AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.place <= 5)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "media_pages": r"""
         WITH b AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)</head>(.*)', 1), '(?s)<nav>.*?</nav>|<!--.*?-->', '', 'g') AS h FROM pages),
         s AS (SELECT page_id, url, regexp_replace(h, '</article>', chr(1) || '</article>') AS h FROM b),

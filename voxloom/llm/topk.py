@@ -15,60 +15,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, vectors
 
 #: Local cosine thresholds from here up are pruned by coordinate, those below by length.
 COORDINATE = 0.75
 _SLACK = 1e-9
-#: Components may be as large as this in size; larger ones are an error, since lengths could not be told.
-LARGEST = 1e150
 #: Products of vectors up to this length fit in 64 bits; others are worked out in Python's integers.
 _WIDE = 2.0**31
 
 
-def _integers(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id, dim, norm, data (integers, held exactly as 64-bit floats) of the rows that take part."""
-
-    def kernel(batch):
-        out = [[], [], [], []]
-        for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if name is None or not row or None in row:
-                continue
-            x = np.asarray(row, np.float64)
-            if not np.isfinite(x).all():
-                continue
-            x = np.floor(x * scale)
-            if not np.abs(x).max() <= LARGEST:
-                raise ValueError(f"vector {name} has a component beyond {LARGEST} in size")
-            for column, value in zip(out, (name, len(x), float(np.sqrt((x * x).sum())), x.tobytes())):
-                column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.float64(), pa.binary()))], ["id", "dim", "norm", "data"])
-
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    return common.map_batches(src, kernel, "id long, dim int, norm double, data binary")
-
-
 def _pack(df: DataFrame, rows: int) -> DataFrame:
     """Blocks of up to rows vectors of one dimension, in the order of each partition: dim, n, longest, ids, norms, data. Equal neighbours are one."""
 
-    def run(batches):
-        held, last = [], None
-
-        def block():
-            ids, dims, norms, data = zip(*held)
-            return pa.RecordBatch.from_arrays([pa.array([dims[0]], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([max(norms)], pa.float64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([np.array(norms).tobytes()], pa.binary()), pa.array([b"".join(data)], pa.binary())], ["dim", "n", "longest", "ids", "norms", "data"])
+    def block(dim, parts):
+        ids, norms, data = (np.concatenate(x) for x in zip(*parts))
+        return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([norms.max()]), *[pa.array([x.tobytes()], pa.binary()) for x in (ids, norms, data)]], ["dim", "n", "longest", "ids", "norms", "data"])
 
+    def run(batches):
+        held, n, last, of = [], 0, None, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row == last:
-                    continue
-                if held and (len(held) >= rows or held[0][1] != row[1]):
-                    yield block()
-                    held = []
-                held.append(row)
-                last = row
+            for dim, part in vectors.runs_of_dims(batch):
+                if of != dim and held:
+                    yield block(of, held)
+                    held, n = [], 0
+                last = last if of == dim else None
+                of = dim
+                ids, norms, data = part.column("id").to_numpy(), part.column("norm").to_numpy(), vectors.matrix(part.column("data"), dim)
+                new = np.ones(len(ids), bool)
+                new[1:] = (ids[1:] != ids[:-1]) | (data[1:] != data[:-1]).any(axis=1)
+                new[0] = last is None or last[0] != ids[0] or (last[1] != data[0]).any()
+                last = ids[-1], data[-1].copy()
+                ids, norms, data = ids[new], norms[new], data[new]
+                while len(ids):
+                    some = rows - n
+                    held.append((ids[:some].copy(), norms[:some].copy(), data[:some].copy()))  # the batch can go
+                    n += len(held[-1][0])
+                    ids, norms, data = ids[some:], norms[some:], data[some:]
+                    if n == rows:
+                        yield block(dim, held)
+                        held, n = [], 0
         if held:
-            yield block()
+            yield block(of, held)
 
     return df.select("id", "dim", "norm", "data").mapInArrow(run, "dim int, n int, longest double, ids binary, norms binary, data binary")
 
@@ -116,18 +103,8 @@ class Search:
         r, ids, s = rows[r], block.ids[columns[c]], scores[r, c]
         other = ids != self.q.ids[r]
         q, ids, s = (np.concatenate((old, new[other])) for old, new in zip(self.found, (r, ids, s)))
-        order = np.lexsort((-s, ids, q))  # the best of each id first, and the others away, so that they take no places
-        q, ids, s = q[order], ids[order], s[order]
-        if len(q):
-            best = np.concatenate(([True], (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])))
-            q, ids, s = q[best], ids[best], s[best]
-        order = np.lexsort((ids, -s, q))
-        q, ids, s = q[order], ids[order], s[order]
-        first = np.concatenate(([0], np.flatnonzero(q[1:] != q[:-1]) + 1)) if len(q) else np.empty(0, np.int64)
-        nth = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
-        keep = nth < self.k
-        self.found = q[keep], ids[keep], s[keep]
-        full = nth == self.k - 1
+        *self.found, full = vectors.best(q, ids, s, self.k)
+        q, _, s = self.found
         self.least[q[full]] = np.maximum(self.least[q[full]], s[full].astype(np.float64))
 
     def see(self, block: Block) -> None:
@@ -167,14 +144,14 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_
     The driver holds query_bytes of queries at a time, and up to 64 heads of buckets of about 0.5 MB.
     """
     spark = df.sparkSession
-    vectors = common.staged(_integers(df, id_col, vector_col, scale), "vectors")
-    n, dim = vectors.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    table = common.staged(vectors.integers(df, id_col, vector_col, scale), "vectors")
+    n, dim = table.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
     bucket_rows = max(1, min(bucket_rows, (32 << 20) // (8 * dim)))
     query_rows = max(1, query_bytes // (8 * dim))
     parts = max(1, min(-(-n // bucket_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    by_length = vectors.repartitionByRange(parts, "dim", F.desc("norm"), "id", F.xxhash64("data")).sortWithinPartitions("dim", F.desc("norm"), "id", "data")
+    by_length = table.repartitionByRange(parts, "dim", F.desc("norm"), "id", F.xxhash64("data")).sortWithinPartitions("dim", F.desc("norm"), "id", "data")
     buckets = common.staged(_pack(by_length, bucket_rows), "buckets")
-    asked = _integers(queries, id_col, vector_col, scale).dropDuplicates(["id", "data"])
+    asked = vectors.integers(queries, id_col, vector_col, scale).dropDuplicates(["id", "data"])
     asked = common.staged(asked, "queries")
     rounds = -(-asked.count() // query_rows)
     head = F.least("n", F.greatest(F.lit(k + 1), F.floor(F.lit(1 << 19) / (8 * F.col("dim")))).cast("int"))
