@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, media, minhash, negatives, packing, quality, sharding, token_counts, topk
+from . import bpe, common, langid, licenses, media, minhash, negatives, packing, quality, sharding, token_counts, topk, trie
 
 
 def _table(spark, sf_dir, name):
@@ -80,7 +80,12 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", named), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, op11_hard_negatives, media_pages)}
+def op13_prefix_trie(spark, sf_dir):
+    arrays = common.staged(trie.turn_arrays(_table(spark, sf_dir, "conversations")), "turns")
+    return trie.prefix_trie(trie.share_heads(arrays))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, op11_hard_negatives, op13_prefix_trie, media_pages)}
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": """
         WITH v AS (
@@ -104,6 +109,23 @@ ORACLE_SQL: dict[str, str] = {
                 row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
             FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.place <= 5)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op13_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS units FROM t GROUP BY conv_id),
+        h AS (SELECT conv_id, units, conv_id - conv_id % 5 AS base, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substring(conv_id::VARCHAR, i, 1))::BIGINT)),
+            lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h FROM c),
+        r AS (SELECT h.conv_id, list_concat(coalesce(list_slice(b.units, 1, h.h), []), list_slice(h.units, h.h + 1, len(h.units))) AS units FROM h LEFT JOIN c b ON b.conv_id = h.base),
+        p AS (SELECT conv_id, len(units) AS size, d AS depth, list_slice(units, 1, d) AS path FROM r, unnest(range(0, len(units) + 1)) u(d)),
+        n AS MATERIALIZED (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256,
+                CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(path[depth].text) END AS own
+            FROM p GROUP BY path, depth),
+        k AS MATERIALIZED (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        s AS (SELECT list_slice(n.path, 1, a) AS path, sum(own) AS saved, count(*) FILTER (WHERE k.path IS NULL) AS leaves FROM n LEFT JOIN k ON k.path = n.path, unnest(range(0, n.depth + 1)) u(a) GROUP BY 1)
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+        FROM n LEFT JOIN n up ON n.depth > 0 AND up.depth = n.depth - 1 AND up.path = list_slice(n.path, 1, n.depth - 1) LEFT JOIN k ON k.path = n.path JOIN s ON s.path = n.path""",
     "media_pages": r"""
         WITH b AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)</head>(.*)', 1), '(?s)<nav>.*?</nav>|<!--.*?-->', '', 'g') AS h FROM pages),
         s AS (SELECT page_id, url, regexp_replace(h, '</article>', chr(1) || '</article>') AS h FROM b),
