@@ -73,6 +73,33 @@ def may_hold(bits: np.ndarray, *at: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Bits a key in a filter of hashed keys, and bits that one such filter may have: 32 MB.
+KEY_BITS, MOST_BITS = 12, 1 << 28
+
+
+def key_filters(keys: DataFrame, c: str, most_parts: int | None = None) -> Iterator[np.ndarray]:
+    """Filters that together hold all keys (64-bit hashes), sized by their count: none for no keys, more than one where one would be too large. More than most_parts, and there is none either."""
+    n = keys.count()
+    parts = -(-n * KEY_BITS // MOST_BITS)
+    if most_parts is not None and parts > most_parts:
+        return
+    size = 1 << max(16, (-(-n // max(1, parts)) * KEY_BITS - 1).bit_length())
+    at = F.explode(F.array(F.col(c).bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned(c, 32).bitwiseAND(F.lit(size - 1)))).alias("at")
+    for part in range(parts):
+        own = keys.where(F.pmod(F.xxhash64(c), F.lit(parts)) == part).select(at)
+        words = own.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toPandas()
+        out = np.zeros(size // 64, np.int64)
+        out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+        yield out
+
+
+def key_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a filter of key_filters may hold keys; it holds all of its own."""
+    mask = np.uint64(64 * len(bits) - 1)
+    keys = keys.view(np.uint64)
+    return may_hold(bits, (keys & mask).astype(np.int64), (keys >> np.uint64(32) & mask).astype(np.int64))
+
+
 def threshold(share: float) -> int:
     """The xxhash64 up to which a share of all hashes lies; to sample rows, xxhash64(id) <= threshold(share), at every size."""
     return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))

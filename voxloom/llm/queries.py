@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, common, langid, licenses, media, minhash, negatives, packing, quality, sharding, token_counts, topk, trie
+from . import bpe, common, langid, licenses, media, minhash, negatives, packing, quality, sharding, suffixes, token_counts, topk, trie
 
 
 def _table(spark, sf_dir, name):
@@ -80,12 +80,16 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", named), F.col("vec_id") % 50 == 0)
 
 
+def op12_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), 200)
+
+
 def op13_prefix_trie(spark, sf_dir):
     arrays = common.staged(trie.turn_arrays(_table(spark, sf_dir, "conversations")), "turns")
     return trie.prefix_trie(trie.share_heads(arrays))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, op11_hard_negatives, op13_prefix_trie, media_pages)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_sharding, op3_token_counts, op4_minhash, op5_media_columns, op6_byte_bpe, op7_language_id, op8_quality, op9_packing, op10_license_scans, op11_hard_negatives, op12_suffix_dedup, op13_prefix_trie, media_pages)}
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": """
         WITH v AS (
@@ -109,6 +113,15 @@ ORACLE_SQL: dict[str, str] = {
                 row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
             FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.place <= 5)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op12_suffix_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT r, i, hash(substring(h, 2 * i + 1, 400)) AS k FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400)),
+        m AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1),
+        g AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM m),
+        s AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM g) GROUP BY r, run),
+        p AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM s),
+        t AS (SELECT d.r, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substring(any_value(h), 2 * max(b) + 1) AS kept FROM p JOIN d USING (r) GROUP BY d.r)
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN t USING (r)""",
     "op13_prefix_trie": """
         WITH t AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
