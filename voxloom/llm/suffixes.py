@@ -9,8 +9,8 @@ transform: before each suffix, in order, the eight symbols that precede it. The
 is refined, eight symbols a step, by dealing its entries out stably by the word that precedes them, until it is the order by REACH + 1 symbols. Borders that a step adds are where the common prefix of
 neighbours ends; what no border divides is an interval of a repeated string. A window is REACH bytes and its core, so it occurs again if another stands in its interval.
 
-Segments that occur twice or more need no merge: all their windows do. A core with more different segments than a task should hold has its windows grouped one by one instead, by 128 bits of hash; the rest
-is exact up to 128 bits of hash for cores and 128 for segments.
+Texts that repeat wholly go wholly, and one of them stands for all. Segments that occur twice or more need no merge: all their windows do. A core with more different segments than a task should hold has its windows grouped one by one instead, by 128 bits of hash; the rest
+is exact up to 128 bits of hash for texts, cores and segments.
 """
 
 from __future__ import annotations
@@ -56,11 +56,8 @@ def cores(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     if not out:
         return (np.empty(0, np.int64),) * 3
     at, first, last = (np.concatenate(x) for x in zip(*out))
-    same = np.flatnonzero(at[1:] == at[:-1])  # a block's border within the windows of one core
-    keep = np.ones(len(at), bool)
-    keep[same + 1] = False
-    last[same] = last[same + 1]
-    return at[keep], first[keep], last[keep]
+    new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))  # not a block's border within the windows of one core
+    return at[new], first[new], last[np.append(new[1:], len(at)) - 1]
 
 
 def _keys(text: bytes, at: np.ndarray, size: int) -> np.ndarray:
@@ -82,12 +79,12 @@ def _counted(df: DataFrame, length: int) -> DataFrame:
 
 
 def _segments(df: DataFrame, length: int, bits) -> DataFrame:
-    """Segments around cores that the filter may hold: c1, c2 (the core), s (of the segment), lr, nl (left and right bytes; how many are left), id, th, first window's start, last window's end."""
+    """Segments around cores that the filter may hold: c1, c2 (the core), s (of the segment), lr, nl (left and right bytes; how many are left), id, th, copied, first window's start, last window's end."""
     size = length - REACH
 
     def one(batch):
-        out: list[list] = [[] for _ in range(9)]
-        for name, th, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch.column(2))):
+        out: list[list] = [[] for _ in range(10)]
+        for name, th, copied, text in zip(*(batch.column(i).to_pylist() for i in range(3)), common.utf8(batch.column(3))):
             if text is None or len(text) < length:
                 continue
             at, first, last = cores(text, length)
@@ -96,22 +93,22 @@ def _segments(df: DataFrame, length: int, bits) -> DataFrame:
             for c1, p, a, b in zip(keys[hit].tolist(), at[hit].tolist(), first[hit].tolist(), (last[hit] + length).tolist()):
                 lr = text[a:p] + text[p + size : b]
                 c2 = xxhash.xxh64_intdigest(text[p : p + size], 1)
-                row = c1, c2 - (c2 >> 63 << 64), (s := xxhash.xxh3_64_intdigest(lr, p - a)) - (s >> 63 << 64), lr, p - a, name, th, a, b
+                row = c1, c2 - (c2 >> 63 << 64), (s := xxhash.xxh3_64_intdigest(lr, p - a)) - (s >> 63 << 64), lr, p - a, name, th, copied, a, b
                 for column, value in zip(out, row):
                     column.append(value)
             if len(out[0]) > 50_000:
                 yield out
-                out = [[] for _ in range(9)]
+                out = [[] for _ in range(10)]
         yield out
 
     def run(batches):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
         for batch in batches:
             for out in one(batch):
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["c1", "c2", "s", "lr", "nl", "id", "th", "a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["c1", "c2", "s", "lr", "nl", "id", "th", "copied", "a", "b"])
 
-    return df.select("id", "th", "text").mapInArrow(run, "c1 long, c2 long, s long, lr binary, nl int, id long, th long, a long, b long")
+    return df.select("id", "th", "copied", "text").mapInArrow(run, "c1 long, c2 long, s long, lr binary, nl int, id long, th long, copied boolean, a long, b long")
 
 
 def _stable(keys: np.ndarray) -> np.ndarray:
@@ -199,7 +196,7 @@ def _merged(batches, length: int, chunk: int):
         table = pa.Table.from_batches(held).combine_chunks()
         c = np.stack([table[x].to_numpy() for x in ("c1", "c2")])
         core = np.cumsum(np.concatenate(([False], (c[:, 1:] != c[:, :-1]).any(axis=0))))
-        once = table["n"].to_numpy() == 1
+        once = (table["n"].to_numpy() == 1) & ~table["copied"].to_numpy()
         wanted = (np.bincount(core) > 1)[core] & (np.bincount(core, once) > 0)[core]
         table, core, once = table.filter(pa.array(wanted)), core[wanted], once[wanted]
         out = []
@@ -274,19 +271,26 @@ def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", tex
         raise ValueError(f"length has to be {REACH + 8} at least")
     spark = df.sparkSession
     text = F.col(text_col).cast("string")
-    docs = df.select(F.col(id_col).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    long = docs.where(F.octet_length("text") >= length)
+    docs = df.select(F.col(id_col).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(1), text).alias("th2"), text.alias("text"))
+    classes = common.staged(docs.where(F.octet_length("text") >= length).groupBy("th", "th2").agg(F.count("*").alias("n"), F.min("id").alias("stands")).where("n > 1").select("th", "th2", "stands"), "copies")
+    docs = docs.join(common.maybe_broadcast(classes, 24 * classes.count()), ["th", "th2"], "left").withColumn("copied", F.col("stands").isNotNull())
+    own = F.coalesce("text", F.lit(""))
+    size, none = F.octet_length(own).cast("long").alias("n_bytes"), F.lit(0).cast("long")
+    untouched = [size, none.alias("n_removed"), none.alias("n_spans"), F.sha2(own.cast("binary"), 256).alias("kept_sha256")]
+    copies = docs.where("copied").select("doc", size, size.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"))
+    long = docs.where((F.octet_length("text") >= length) & (~F.col("copied") | (F.col("id") == F.col("stands"))))
+    docs = docs.where("not copied")
     many = common.staged(_counted(long, length), "cores")
     found = None
     for bits in common.key_filters(many, "key"):
         part = common.staged(_segments(long, length, spark.sparkContext.broadcast(bits)), "segments")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return docs.select(F.col("doc").alias(id_col), *_untouched())
+        return copies.unionByName(docs.select("doc", *untouched)).withColumnRenamed("doc", id_col)
     first = [F.min(c).alias(c) for c in ("id", "th", "a")]
-    segments = common.staged(found.groupBy("c1", "c2", "s", "lr", "nl").agg(F.count("*").alias("n"), *first), "distinct")
+    segments = common.staged(found.groupBy("c1", "c2", "s", "lr", "nl").agg(F.count("*").alias("n"), F.bool_or("copied").alias("copied"), *first), "distinct")
     hot = common.staged(segments.groupBy("c1", "c2").count().where(F.col("count") > most).select("c1", "c2"), "hot")
-    whole = found.select("c1", "s", "id", "th", "a", "b").join(segments.where("n > 1").select("c1", "s"), ["c1", "s"], "left_semi").select("id", "th", "a", "b")
+    whole = found.where("not copied").select("c1", "s", "id", "th", "a", "b").join(segments.where("n > 1").select("c1", "s"), ["c1", "s"], "left_semi").select("id", "th", "a", "b")
     rest, spans = segments, whole
     if not hot.isEmpty():
         rest = segments.join(hot, ["c1", "c2"], "left_anti")
@@ -317,11 +321,5 @@ def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", tex
     touched = docs.where("maybe").join(by_doc, ["id", "th"], "left").select("doc", "text", "spans")
     kind = df.schema[id_col].dataType.simpleString()
     touched = common.map_batches(touched, kernel, f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    out = touched.unionByName(docs.where("not maybe").select("doc", *_untouched()))
+    out = touched.unionByName(docs.where("not maybe").select("doc", *untouched)).unionByName(copies)
     return out.withColumnRenamed("doc", id_col)
-
-
-def _untouched() -> list:
-    own = F.coalesce("text", F.lit(""))
-    none = F.lit(0).cast("long")
-    return [F.octet_length(own).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(own.cast("binary"), 256).alias("kept_sha256")]
