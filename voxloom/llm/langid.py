@@ -19,6 +19,7 @@ The models are fitted on a bounded sample: about fit_rows labelled rows of each
 
 from __future__ import annotations
 
+import codecs
 import math
 
 import numpy as np
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BITS = 15
+#: Bytes of a text that are read at a time.
+WINDOW = 1 << 18
 #: The most languages that are learned; the log-likelihood by which a fit may fall short of the best one, and the rounds after which it may fall short by more.
 LANGUAGES, TOLERANCE, ROUNDS = 250, 0.05, 1000
 _FOLD = np.full(256, 32, np.uint8)
@@ -40,15 +43,22 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed trigrams of a text and their counts; runs of non-letters are one space."""
-    x = _FOLD[np.frombuffer(b" " + text + b" ", np.uint8)]
-    x = x[np.concatenate(([True], (x[1:] != 32) | (x[:-1] != 32)))].astype(np.uint32)
-    if len(x) < 3:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = ((x[:-2] << np.uint32(16) | x[1:-1] << np.uint32(8) | x[2:]) * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-    n = np.bincount(h, minlength=1 << BITS)
-    at = np.flatnonzero(n)
-    return at, n[at]
+    """The distinct hashed trigrams of a text and their counts; runs of non-letters are one space. Texts are read a window at a time, so memory doesn't grow with them."""
+    counts, held = np.zeros(1 << BITS, np.int64), np.full(1, 32, np.uint8)  # held: the letters that begin the next trigrams
+    raw = np.frombuffer(text, np.uint8)
+    for a in range(0, len(raw) + 1, WINDOW):
+        x = _FOLD[raw[a : a + WINDOW]] if a + WINDOW <= len(raw) else np.append(_FOLD[raw[a:]], np.uint8(32))
+        x = np.concatenate((held, x[(x != 32) | (np.concatenate((held[-1:], x[:-1])) != 32)])).astype(np.uint32)
+        h = ((x[:-2] << np.uint32(16) | x[1:-1] << np.uint32(8) | x[2:]) * np.uint32(2654435761)) >> np.uint32(32 - BITS)
+        counts += np.bincount(h, minlength=1 << BITS)
+        held = x[-2:].astype(np.uint8)
+    at = np.flatnonzero(counts)
+    return at, counts[at]
+
+
+def has_letter(text: bytes) -> bool:
+    decode = codecs.getincrementaldecoder("utf-8")("replace").decode
+    return any(_LETTER.search(decode(text[a : a + WINDOW])) for a in range(0, len(text), WINDOW))
 
 
 class Mixture:
@@ -101,7 +111,7 @@ class Mixture:
         return lang, score, shares
 
     def assess(self, text: bytes | None) -> tuple[str, float, float, float, dict[str, float]]:
-        if not text or not self.langs or not _LETTER.search(text.decode()):
+        if not text or not self.langs or not has_letter(text):
             return "und", 0.0, 0.0, 0.0, {}
         at, n = trigrams(text)
         if not len(at):

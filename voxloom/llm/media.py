@@ -13,6 +13,7 @@ import html as html_lib
 import io
 import wave
 import zlib
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,6 +39,8 @@ class _Items(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.unclosed, self.found = unclosed, set()
         self.items, self.run, self.skip, self.figures, self.caption = [], [], [], [], None
+        self.skipped: Counter = Counter()  # elements in skip, by name
+        self.untaken, self.texts, self.captions = [], [], 0  # media without a figure's caption, captions without media (their places and texts), captions begun
 
     def parse_marked_section(self, i, report=1):
         """A marked section of an unknown kind is a comment, where the parser would give up."""
@@ -54,30 +57,48 @@ class _Items(HTMLParser):
     def end_head(self):
         if self.skip and self.skip[-1][0] == "head":
             self.skip.pop()
+            self.skipped["head"] -= 1
 
     def end_caption(self):
         self.caption = None
 
-    def end_figure(self, closed: bool):
-        """Give the caption of the innermost figure to its media, or make it a text where it stands. A figure without an end tag has the media before its caption, or else the next one."""
+    def end_figure(self):
+        """Give the caption of the innermost figure to its media, or make it a text where it stands."""
         self.end_caption()
         start, at, said = self.figures.pop()
-        if not (said := " ".join("".join(said).split())):
-            return
-        media = [i for i in range(start, len(self.items)) if self.items[i]["src"] and not self.items[i].get("taken")]
-        if not closed:
-            media = [i for i in media if i < at] or media[:1]
+        if said := " ".join("".join(said).split()):
+            mine = []
+            while self.untaken and self.untaken[-1] >= start:
+                mine.append(self.untaken.pop())
+            self.give(said, at, mine)
+
+    def end_open_figures(self):
+        """A figure without an end tag gives its caption to the media before it, or else to the next one. From the innermost out, each takes from what the inner ones left."""
+        left: deque[int] = deque()
+        while self.figures:
+            start, at, said = self.figures.pop()
+            while self.untaken and self.untaken[-1] >= start:
+                left.appendleft(self.untaken.pop())
+            if said := " ".join("".join(said).split()):
+                mine = []
+                while left and left[0] < at[0]:
+                    mine.append(left.popleft())
+                if left and not mine:
+                    mine.append(left.popleft())
+                self.give(said, at, mine)
+
+    def give(self, said, at, media):
         for i in media:
-            self.items[i] |= {"caption": said, "taken": True}
+            self.items[i]["caption"] = said
         if not media:
-            self.items.insert(at, {"kind": "text", "text": said, "src": None, "caption": None})
-            self.figures = [(f, a if a is None else a + (a >= at), s) for f, a, s in self.figures]
+            self.texts.append((*at, said))
 
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD:
             self.end_head()
         if (tag in SKIPPED or tag in ("title", "noscript") and self.skip) and self.getpos() not in self.unclosed:
             self.skip.append((tag, self.getpos()))
+            self.skipped[tag] += 1
         if self.skip:
             return
         if tag in BLOCKS or tag in MEDIA:
@@ -90,12 +111,16 @@ class _Items(HTMLParser):
             else:
                 self.figures[-1][2].append(" ")
         if tag == "figure":
-            self.figures.append((len(self.items), None, []))
+            self.figures.append([len(self.items), None, []])
         elif tag == "figcaption" and self.figures:
-            start, at, said = self.figures[-1]
-            self.figures[-1] = start, len(self.items) if at is None else at, [*said, " "]
+            figure = self.figures[-1]
+            figure[2].append(" ")
+            self.captions += 1
+            if figure[1] is None:
+                figure[1] = len(self.items), self.captions
             self.caption = self.getpos()
         elif tag in MEDIA and (src := dict(attrs).get("src")):
+            self.untaken.append(len(self.items))
             self.items.append({"kind": MEDIA[tag], "text": None, "src": src, "caption": dict(attrs).get("alt")})
 
     def handle_startendtag(self, tag, attrs):
@@ -104,11 +129,12 @@ class _Items(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.skip:
-            for i in range(len(self.skip) - 1, -1, -1):
-                if self.skip[i][0] == tag:
-                    self.found |= {place for name, place in self.skip[i + 1 :]}
-                    del self.skip[i:]
+            while self.skipped[tag]:
+                name, place = self.skip.pop()
+                self.skipped[name] -= 1
+                if name == tag:
                     break
+                self.found.add(place)
             return
         if tag in BLOCKS:
             self.flush()
@@ -120,7 +146,7 @@ class _Items(HTMLParser):
             else:
                 self.figures[-1][2].append(" ")
         if tag == "figure" and self.figures:
-            self.end_figure(True)
+            self.end_figure()
 
     def handle_data(self, data):
         if data.strip():
@@ -132,8 +158,16 @@ class _Items(HTMLParser):
         self.close()
         self.flush()
         self.found |= {place for name, place in self.skip if name not in ("head", "script", "style")} | ({self.caption} - {None})
-        while self.figures:
-            self.end_figure(False)
+        self.end_open_figures()
+
+    def ordered(self) -> list[dict]:
+        """The items with captions that no media took where they stand, in the order in which they began."""
+        out, at = [], 0
+        for place, _, said in sorted(self.texts):
+            out += self.items[at:place]
+            out.append({"kind": "text", "text": said, "src": None, "caption": None})
+            at = place
+        return out + self.items[at:]
 
 
 def parse_items(page: str | None) -> list[dict]:
@@ -149,7 +183,7 @@ def parse_items(page: str | None) -> list[dict]:
         parser.feed(page or "")
         parser.end()
         if parser.found <= unclosed:
-            return [{"pos": i, **{k: v for k, v in item.items() if k != "taken"}} for i, item in enumerate(parser.items)]
+            return [{"pos": i, **item} for i, item in enumerate(parser.ordered())]
         unclosed |= parser.found
 
 

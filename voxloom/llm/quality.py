@@ -35,52 +35,98 @@ _MULTIPLIER, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 
-class _Powers:
-    """Powers of a number modulo 2^64, as many as were asked for at most."""
+#: Bytes of a text that are read at a time, and powers of the multiplier and its inverse up to so many.
+WINDOW = 1 << 18
 
-    def __init__(self, base: int):
-        self.base, self.known = np.uint64(base), np.ones(1, np.uint64)
 
-    def __call__(self, n: int) -> np.ndarray:
-        if len(self.known) < n:
-            step = np.full(max(n, 2 * len(self.known)), self.base)
-            step[0] = 1
-            self.known = np.multiply.accumulate(step)
-        return self.known[:n]
+def _powers(base: int) -> np.ndarray:
+    out = np.full(WINDOW + 2, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(_MULTIPLIER), _powers(_INVERSE)
+
+
+class _Pieces:
+    """Hashes of the pieces of a text between separators, the same wherever a piece stands and wherever windows cut it."""
+
+    def __init__(self, keep_empty: bool):
+        self.keep_empty, self.held, self.size = keep_empty, 0, 0  # of the piece that the last window left open
+
+    def feed(self, sums: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """Pieces that end in a window. sums: running sums of its symbols times powers; apart: where its separators stand."""
+        starts, ends = np.concatenate(([0], apart + 1)), np.append(apart, len(sums) - 1)
+        hashes, sizes = (sums[ends] - sums[starts]) * _DOWN[starts], ends - starts
+        begun = int(hashes[0]) * pow(_MULTIPLIER, self.size, 1 << 64) + self.held & (1 << 64) - 1, int(sizes[0]) + self.size
+        if not len(apart):
+            self.held, self.size = begun
+            return hashes[:0]
+        hashes[0], sizes[0] = begun
+        self.held, self.size = int(hashes[-1]), int(sizes[-1])
+        hashes, sizes = hashes[:-1], sizes[:-1]
+        return hashes if self.keep_empty else hashes[sizes > 0]
 
+    def last(self) -> np.ndarray:
+        return np.array([self.held] * (self.keep_empty or self.size > 0), np.uint64)
 
-_UP, _DOWN = _Powers(_MULTIPLIER), _Powers(_INVERSE)
 
+class _Distinct:
+    """How many hashes there were, and how many different ones. Memory grows with these alone."""
 
-def _bins(hashes: np.ndarray) -> np.ndarray:
-    """Square roots of the shares of BINS hashed bins."""
-    if not len(hashes):
-        return np.zeros(BINS)
-    return np.sqrt(np.bincount((hashes * _MIX >> np.uint64(64 - 9)).astype(np.int64), minlength=BINS) / len(hashes))
+    def __init__(self):
+        self.n, self.kept, self.new, self.waiting = 0, np.empty(0, np.uint64), [], 0
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.n += len(hashes)
+        self.new.append(np.unique(hashes))
+        self.waiting += len(self.new[-1])
+        if self.waiting > max(WINDOW, len(self.kept)):
+            self.settle()
+
+    def settle(self) -> int:
+        self.kept, self.new, self.waiting = np.unique(np.concatenate((self.kept, *self.new))), [], 0
+        return len(self.kept)
+
+
+def _binned(hashes: np.ndarray) -> np.ndarray:
+    return np.bincount((hashes * _MIX >> np.uint64(64 - 9)).astype(np.int64), minlength=BINS)
 
 
 def features(text: bytes | None) -> np.ndarray:
-    """Statistics, trigrams and words of a whole text, A-Z folded; a null or empty one has the constant and zeros."""
+    """Statistics, trigrams and words of a whole text, A-Z folded; a null or empty one has the constant and zeros. Texts are read a window at a time."""
     out = np.zeros(N_FEATURES)
     out[0] = 1
     if not text:
         return out
     raw = np.frombuffer(text, np.uint8)
-    share = np.bincount(raw, minlength=256) @ _CLASS / len(text)
-    x = _FOLD[raw]
-    edge = np.flatnonzero(np.diff(_SPACE[raw], prepend=True, append=True))
-    starts, ends = edge[::2], edge[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((x + np.uint64(1)) * _UP(len(x)), dtype=np.uint64)))
-    words = (sums[ends] - sums[starts]) * _DOWN(len(x) + 1)[starts]  # the same wherever the word stands
-    lines = text.split(b"\n")
-    n = max(1, len(words))
+    kinds, grams, bins = np.zeros(256, np.int64), np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
+    words, lines, each_word, each_line = _Pieces(False), _Pieces(True), _Distinct(), _Distinct()
+    for a in range(0, len(raw), WINDOW):
+        part = raw[a : a + WINDOW]
+        kinds += np.bincount(part, minlength=256)
+        x = _FOLD[raw[a : a + WINDOW + 2]]  # trigrams reach into the next window
+        grams += _binned(x[:-2] << np.uint64(16) | x[1:-1] << np.uint64(8) | x[2:])
+        for pieces, each, symbols, apart in ((words, each_word, x[: len(part)], _SPACE[part]), (lines, each_line, part.astype(np.uint64), part == 10)):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((symbols + np.uint64(1)) * _UP[: len(part)], dtype=np.uint64, out=sums[1:])
+            found = pieces.feed(sums, np.flatnonzero(apart))
+            each.add(found)
+            if pieces is words:
+                bins += _binned(found)
+    last = words.last()
+    bins += _binned(last)
+    each_word.add(last)
+    each_line.add(lines.last())
+    share = kinds @ _CLASS / len(text)
+    n = max(1, each_word.n)
     out[1:7] = share[1], share[2], share[4], share[5], share[3], share[6]
-    out[7] = np.log1p(len(words)) / 10
-    out[8] = len(np.unique(words)) / n
-    out[9] = len(text) / n / 20
-    out[10] = len(set(lines)) / len(lines)
-    out[STATISTICS : STATISTICS + BINS] = _bins(x[:-2] << np.uint64(16) | x[1:-1] << np.uint64(8) | x[2:])
-    out[STATISTICS + BINS :] = _bins(words)
+    out[7] = np.log1p(each_word.n) / 10
+    out[8] = each_word.settle() / n
+    out[9] = np.log1p(len(text) / n)  # a text that is one word of any length stays within what the others have
+    out[10] = each_line.settle() / each_line.n
+    out[STATISTICS : STATISTICS + BINS] = np.sqrt(grams / max(1, grams.sum()))
+    out[STATISTICS + BINS :] = np.sqrt(bins / max(1, bins.sum()))
     return out
 
 
@@ -177,17 +223,20 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     made = rows.select((F.col("y") >= 0.5).cast("double").alias("y"), packed(df.sparkSession, F.col("text")).alias("x")).toPandas()
     x = np.zeros((len(made), N_FEATURES), np.float32)
     for i, row in enumerate(made["x"]):
-        x[i] = np.frombuffer(row, np.float16)
+        x[i, :STATISTICS], x[i, STATISTICS:] = np.frombuffer(row, np.float32, STATISTICS), np.frombuffer(row, np.float16, offset=4 * STATISTICS)
+    if not np.isfinite(x).all():
+        raise ValueError("a labelled text has a feature that isn't a finite number")
     return fit_logistic(x, made["y"].to_numpy(np.float64))
 
 
 def packed(spark, text: Column) -> Column:
-    """Features as 16-bit numbers, of which fit_rows texts fit the driver: about 20 MB for 10,000."""
+    """Statistics as 32-bit numbers and shares of bins as 16-bit ones, of which fit_rows texts fit the driver: about 20 MB for 10,000."""
     common.small_batches(spark)
 
     @F.arrow_udf("binary")
     def made(texts: pa.Array) -> pa.Array:
-        return pa.array([features(t).astype(np.float16).tobytes() for t in common.utf8(texts)], pa.binary())
+        rows = (features(t) for t in common.utf8(texts))
+        return pa.array([x[:STATISTICS].astype(np.float32).tobytes() + x[STATISTICS:].astype(np.float16).tobytes() for x in rows], pa.binary())
 
     return made(text.cast("string"))
 
@@ -229,6 +278,11 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, float, int]:
     return common.staged(rates, "rates"), rate, int(total[2])
 
 
+def _good(quality: str, least: float) -> Column:
+    """NaN, which Spark orders above all numbers, is not good."""
+    return ~F.isnan(quality) & (F.col(quality) >= least)
+
+
 def _logit(c) -> Column:
     return F.log(c / (1 - c))
 
@@ -248,7 +302,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """
     src = df.select(F.col(id_col).alias("id"), host_of(F.col(source_col)).alias("host"), path_of(F.col(source_col)).alias("path"), evidence(model, df.sparkSession, F.col(text_col)).alias("own"))
     out = _shifted(common.staged(src, "evidence"), model, {c: c for c in ("host", "path", "own", "host_rate", "path_rate", "quality")}, source_col)
-    return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "host", "path", F.col("own").alias("evidence"), "host_rate", "path_rate", "quality", (F.col("quality") >= least).alias("kept"))
+    return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "host", "path", F.col("own").alias("evidence"), "host_rate", "path_rate", "quality", _good("quality", least).alias("kept"))
 
 
 def keep_good(df: DataFrame, model: Model, text_col: str = "text", source_col: str = "source", least: float = 0.5) -> DataFrame:
@@ -259,4 +313,4 @@ def keep_good(df: DataFrame, model: Model, text_col: str = "text", source_col: s
     names = {c: common.free_name(df.columns, c) for c in ("host", "path", "own", "host_rate", "path_rate", "quality")}
     made = df.withColumns({names["host"]: host_of(F.col(source_col)), names["path"]: path_of(F.col(source_col)), names["own"]: evidence(model, df.sparkSession, F.col(text_col))})
     out = _shifted(common.staged(made, "evidence"), model, names, source_col)
-    return out.where(F.col(names["quality"]) >= least).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.where(_good(names["quality"], least)).select(*[F.col(f"`{c}`") for c in df.columns])
