@@ -84,3 +84,59 @@ def test_unclosed_figures_keep_their_captions():
     assert [(i["kind"], i["text"] or i["src"], i["caption"]) for i in items] == [("image", "a", "one"), ("image", "b", "two"), ("text", "three", None)]
     items = media.parse_items("<figure><figcaption>out<figure><figcaption>in</figcaption></figure><p>t</p></figure>")
     assert [i["text"] for i in items] == ["out", "in", "t"]
+
+
+def test_kept_trees_encode_only_what_edits_touch(spark):
+    import public_tokenizers
+    import tiktoken
+
+    from voxloom.llm import token_counts, tokens
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    rng = random.Random(2)
+    words = ["the", "house", "größer", "漢字", "x" * 30, "\n\n", "12,5"]
+    texts = [" ".join(rng.choice(words) for _ in range(2000)) for _ in range(8)] + ["", None, "plain ascii text " * 50]
+    rows = [(i, t, [(5, 9, "new words"), (800, 800, " ins ert ")], 1) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start:bigint,end:bigint,text:string>>, tree int").repartition(2)
+    trees = token_counts.token_trees(df, path, pattern)
+    first = token_counts.edit_trees(trees.join(df.select("doc_id", "edits"), "doc_id"), path, pattern)
+    again = token_counts.edit_trees(first.withColumn("edits", F.expr("array(struct(20L as start, 40L as end, '!' as text), null)")), path, pattern).collect()
+    encoding = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=tokens.load_ranks(tokens.read_file(path)), special_tokens={})
+    for r in again:
+        want = texts[r["doc_id"]] or ""
+        for a, b, new in ((5, 9, "new words"), (800, 800, " ins ert "), (20, 40, "!")):
+            want = want[:a] + new + want[b:]
+        assert r["text"] == want and r["n_tokens"] == len(encoding.encode_ordinary(want))
+        assert len(want) < 1000 or r["reencoded_bytes"] < 400
+    calls = []
+    cache = token_counts.counter(tokens.read_file(path), pattern)
+    text = texts[0].encode()
+    packed = token_counts.TokenTree(text, cache).pack()
+    values_of = cache.values_of
+    cache.values_of = lambda t: calls.append(len(t)) or values_of(t)
+    tree = token_counts.TokenTree(text, cache, leaves=packed)
+    assert not calls  # nothing is encoded to take a tree up again
+    tree.edit(100, 110, b"changed")
+    assert sum(calls) < 200 < len(text)
+    assert [token_counts.byte_at("aé漢b".encode(), i) for i in range(6)] == [0, 1, 3, 6, 7, 7]
+
+
+def test_filters_hold_their_keys_in_parts(spark, monkeypatch):
+    from voxloom.llm import common, minhash
+
+    keys = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    own = np.array([r["k"] for r in keys.collect()], np.int64)
+    monkeypatch.setattr(common, "MOST_BITS", 1 << 12)
+    parts = list(common.key_filters(keys, "k"))
+    assert len(parts) == -(-3000 * common.KEY_BITS // (1 << 12)) and np.any([common.key_in(p, own) for p in parts], axis=0).all()
+    assert list(common.key_filters(keys, "k", most_parts=1)) == [] and list(common.key_filters(keys.limit(0), "k")) == []
+    rng = random.Random(3)
+    base = [[rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(60)] for _ in range(20)]
+    rows = [(i * 10 + k, " ".join(w[:30] + [f"new{k}"] * (k > 0) + w[30:])) for i, w in enumerate(base) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    many = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, 80).collect()}  # many passes over the texts
+    monkeypatch.undo()
+    assert many == {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, 80).collect()}
+    assert len(set(many.values())) < len(many)
+    twice = spark.createDataFrame([(1, "a b c d e f", z) for z in "cab"] * 2 + [(2, "other", "x")], "doc_id long, text string, z string").repartition(3)
+    assert sorted(tuple(r) for r in minhash.keep_one(twice).collect()) == [(1, "a b c d e f", "a"), (2, "other", "x")]

@@ -306,11 +306,10 @@ def test_repeated_rows_leave_one(spark):
 def test_filters_hold_every_id(spark):
     from voxloom.llm import common
 
-    bits = common.id_filter(spark.range(0, 5000, 7), "id")
-    at = spark.range(5000).select("id", *[c.alias(n) for c, n in zip(common.positions(F.col("id")), "ab")]).toPandas()
-    held = set(at["id"][common.may_hold(bits, at["a"].to_numpy(), at["b"].to_numpy())])
-    assert set(range(0, 5000, 7)) <= held and len(held) < 730
-    assert not common.id_filter(spark.range(0), "id").any()
+    bits, = common.key_filters(spark.range(0, 5000, 7).select(F.xxhash64("id").alias("k")), "k")
+    at = spark.range(5000).select("id", F.xxhash64("id").alias("k")).toPandas()
+    held = set(at["id"][common.key_in(bits, at["k"].to_numpy())])
+    assert held >= set(range(0, 5000, 7)) and len(held) < 1000
 
 
 def test_sketches_fill_and_estimate():

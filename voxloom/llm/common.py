@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.staging import drop, settled, shared_dir, staged  # noqa: F401  operators take them from here
@@ -48,31 +48,6 @@ def maybe_broadcast(df: DataFrame, size: int) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-#: Bits of a filter of ids: 8 MB at every size.
-FILTER_BITS = 1 << 26
-
-
-def positions(c: Column) -> list[Column]:
-    """The two bits of a filter that stand for an id."""
-    return [F.pmod(F.xxhash64(c, F.lit(i)), F.lit(FILTER_BITS)).cast("int") for i in (1, 2)]
-
-
-def id_filter(ids: DataFrame, c: str) -> np.ndarray:
-    """A filter of fixed size that holds every id (and, the more ids there are, the more others by chance): what it doesn't hold needs no join. At most a million counted words reach the driver."""
-    at = ids.select(F.explode(F.array(*positions(F.col(c)))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out
-
-
-def may_hold(bits: np.ndarray, *at: np.ndarray) -> np.ndarray:
-    out = np.ones(len(at[0]), bool)
-    for x in at:
-        out &= (bits[x >> 6] >> (x & 63) & 1).astype(bool)
-    return out
-
-
 #: Bits a key in a filter of hashed keys, and bits that one such filter may have: 32 MB.
 KEY_BITS, MOST_BITS = 12, 1 << 28
 
@@ -97,7 +72,11 @@ def key_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether a filter of key_filters may hold keys; it holds all of its own."""
     mask = np.uint64(64 * len(bits) - 1)
     keys = keys.view(np.uint64)
-    return may_hold(bits, (keys & mask).astype(np.int64), (keys >> np.uint64(32) & mask).astype(np.int64))
+    out = np.ones(len(keys), bool)
+    for at in (keys & mask, keys >> np.uint64(32) & mask):
+        at = at.astype(np.int64)
+        out &= (bits[at >> 6] >> (at & 63) & 1).astype(bool)
+    return out
 
 
 def threshold(share: float) -> int:

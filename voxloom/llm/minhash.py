@@ -152,22 +152,26 @@ def forest(sets: list[np.ndarray], percent: int, rows: np.ndarray | None = None,
 
 
 def _sets(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of wanted (id, h1, h2, ...) with their shingles; texts of other ids are dropped by the filter before the shuffle, repeats of a text under one id are one row."""
+    """The rows of wanted (id, h1, h2, ...) with their shingles; texts of other ids are dropped by filters before the shuffle (sized by the count, more than one pass over the texts where one would be too large), repeats of a text under one id are one row."""
     spark = df.sparkSession
-    bits = spark.sparkContext.broadcast(common.id_filter(wanted, "id"))
-    held = []
-
-    def kernel(batch):
-        if not held:
-            held.append(word_hashes())
-        batch = batch.filter(pa.array(common.may_hold(bits.value, *(batch.column(i).fill_null(0).to_numpy() for i in (2, 3))) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-        sets = [shingles(t, held[0]).tobytes() for t in common.utf8(batch.column(1))]
-        names = [np.frombuffer(xxhash.xxh3_128(s).digest(), ">i8") if s else (None, None) for s in sets]
-        hashes = [pa.array([None if x[i] is None else int(x[i]) for x in names], pa.int64()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *hashes, pa.array(sets, pa.binary())], ["id", "h1", "h2", "shingles"])
-
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = common.map_batches(src.select("id", "text", *common.positions(F.col("id"))), kernel, "id long, h1 long, h2 long, shingles binary")
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").select("id", "text", F.xxhash64("id").alias("key"))
+    schema, sets = "id long, h1 long, h2 long, shingles binary", None
+    for filled in common.key_filters(wanted.select(F.xxhash64("id").alias("key")), "key"):
+        held, bits = [], spark.sparkContext.broadcast(filled)
+
+        def kernel(batch, held=held, bits=bits):
+            if not held:
+                held.append(word_hashes())
+            batch = batch.filter(pa.array(common.key_in(bits.value, batch.column(2).to_numpy())))
+            sets = [shingles(t, held[0]).tobytes() for t in common.utf8(batch.column(1))]
+            names = [np.frombuffer(xxhash.xxh3_128(s).digest(), ">i8") if s else (None, None) for s in sets]
+            hashes = [pa.array([None if x[i] is None else int(x[i]) for x in names], pa.int64()) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays([batch.column(0), *hashes, pa.array(sets, pa.binary())], ["id", "h1", "h2", "shingles"])
+
+        part = common.map_batches(src, kernel, schema)
+        sets = part if sets is None else sets.unionByName(part)
+    if sets is None:
+        sets = spark.createDataFrame([], schema)
     return sets.groupBy("id", "h1", "h2").agg(F.first("shingles").alias("shingles")).join(wanted, ["id", "h1", "h2"])
 
 
@@ -263,20 +267,27 @@ def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id", te
 
 
 def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose id is the least of its near-duplicates, with their columns as they are; of rows alike in id and text one. Rows with a null id stay.
+    """The rows whose id is the least of its near-duplicates, with their columns as they are. Rows with a null id stay. Of rows alike in id and text one stays, the first by its columns as JSON.
 
-    Ids that go or that repeat are put in a filter of fixed size; only rows that it may hold are shuffled.
+    Ids that go or that repeat are put in a filter sized by their count; only rows that it may hold are shuffled, all rows if it would be too large.
     """
     named = near_duplicates(df.select(id_col, text_col), percent, id_col, text_col)
     ids = common.staged(named.groupBy(F.col(id_col).alias("id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")).where("id is not null and (not kept or rows > 1)"), "gone")
-    bits = df.sparkSession.sparkContext.broadcast(common.id_filter(ids, "id"))
-    name = common.free_name(df.columns, "maybe")
-
-    @F.arrow_udf("boolean")
-    def maybe(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(common.may_hold(bits.value, a.to_numpy(zero_copy_only=False), b.to_numpy(zero_copy_only=False)))
-
-    own = F.col(id_col).cast("long")
-    rows = df.withColumn(name, maybe(*common.positions(own)) & own.isNotNull())
-    checked = rows.where(F.col(name)).join(ids.where("not kept").select(F.col("id").alias(name + "_id")), own == F.col(name + "_id"), "left_anti").dropDuplicates([id_col, text_col])
-    return rows.where(~F.col(name)).unionByName(checked).select(*[F.col(f"`{c}`") for c in df.columns])
+    if ids.isEmpty():
+        return df
+    name, own = common.free_name(df.columns, "maybe"), F.col(id_col).cast("long")
+    filters = list(common.key_filters(ids.select(F.xxhash64("id").alias("key")), "key", most_parts=1))
+    may = F.lit(True)
+    if filters:
+        bits = df.sparkSession.sparkContext.broadcast(filters[0])
+
+        @F.arrow_udf("boolean")
+        def maybe(keys: pa.Array) -> pa.Array:
+            return pa.array(common.key_in(bits.value, keys.to_numpy(zero_copy_only=False)))
+
+        may = maybe(F.xxhash64(own))
+    rows, columns = df.withColumn(name, may & own.isNotNull()), [F.col(f"`{c}`") for c in df.columns]
+    left = rows.where(F.col(name)).join(ids.where("not kept").select(F.col("id").alias(name + "_id")), own == F.col(name + "_id"), "left_anti")
+    row = F.struct(*columns)
+    checked = left.groupBy(own.alias(name), F.xxhash64(text_col).alias(name + "_h"), F.col(text_col).alias(name + "_t")).agg(F.min_by(row, F.to_json(row)).alias(name + "_row"))
+    return rows.where(~F.col(name)).select(*columns).unionByName(checked.select(*[F.col(f"{name}_row.`{c}`").alias(c) for c in df.columns]))

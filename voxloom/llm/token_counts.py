@@ -32,15 +32,20 @@ def counter(vocabulary: bytes, pattern: str) -> tokens.ChunkCache:
 class TokenTree:
     """The segment tree of one document; reencoded counts the bytes that edits have encoded anew."""
 
-    def __init__(self, text: bytes, cache: tokens.ChunkCache, longest_leaf: int = 4096):
-        self.text, self.cache, self.longest_leaf, self.reencoded = text, cache, longest_leaf, 0
-        self._build()
+    def __init__(self, text: bytes, cache: tokens.ChunkCache, longest_leaf: int = 4096, leaves: bytes | None = None):
+        """leaves: what pack() gave for this text; then nothing is encoded."""
+        self.text, self.cache, self.longest_leaf, self.reencoded = bytearray(text), cache, longest_leaf, 0
+        self._build(None if leaves is None else np.frombuffer(leaves, "<u4").reshape(-1, 2).astype(np.int64))
+
+    def pack(self) -> bytes:
+        """Bytes and tokens of the leaves, eight bytes a leaf."""
+        return self.tree[self.half : self.half + self.n].astype("<u4").tobytes()
 
     def _leaves(self, text: bytes) -> np.ndarray:
         return np.frombuffer(b"".join(self.cache.values_of(text)), "<u4").reshape(-1, 2).astype(np.int64)
 
-    def _build(self) -> None:
-        leaves = self._leaves(self.text)
+    def _build(self, leaves: np.ndarray | None = None) -> None:
+        leaves = self._leaves(bytes(self.text)) if leaves is None else leaves
         self.n = len(leaves)
         self.half = 1 << max(0, (self.n - 1).bit_length())
         self.tree = np.zeros((2 * self.half, 2), np.int64)
@@ -70,7 +75,7 @@ class TokenTree:
         start, end = max(0, min(start, size)), max(0, min(end, size))
         end = max(start, end)
         if self.n == 0 or size == 0:
-            self.text = new
+            self.text = bytearray(new)
             self.reencoded += len(new)
             self._build()
             return self.total
@@ -82,8 +87,8 @@ class TokenTree:
             right = at + int(self.tree[self.half + last, 0])
             if at == end and last > first:
                 last, right = last - 1, at
-        region = self.text[left:start] + new + self.text[end:right]
-        self.text = self.text[:start] + new + self.text[end:]
+        region = bytes(self.text[left:start]) + new + bytes(self.text[end:right])
+        self.text[start:end] = new  # in place
         self.reencoded += len(region)
         fresh, slots = self._leaves(region), last - first + 1
         put = np.zeros((slots, 2), np.int64)
@@ -102,6 +107,63 @@ class TokenTree:
         return self.total
 
 
+def byte_at(text: bytes | bytearray, n: int) -> int:
+    """Where the n-th code point begins; the end if there are fewer."""
+    raw, step = np.frombuffer(text, np.uint8), 1 << 18
+    for a in range(0, len(raw), step):
+        begins = np.flatnonzero(raw[a : a + step] & 0xC0 != 0x80)
+        if n < len(begins):
+            return a + int(begins[n])
+        n -= len(begins)
+    return len(raw)
+
+
+def apply_edits(tree: TokenTree, edits: list | None) -> None:
+    """Edits (start, end, text) in code points, one after the other."""
+    ascii_only = tree.text.isascii()
+    for e in edits or ():
+        if e is None:
+            continue
+        a, new = max(0, e["start"] or 0), (e["text"] or "").encode()
+        b = max(a, e["end"] or 0)
+        if not ascii_only:
+            a, b = byte_at(tree.text, a), byte_at(tree.text, b)
+        tree.edit(a, b, new)
+        ascii_only = ascii_only and new.isascii()
+
+
+def token_trees(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, text, n_tokens, tree (the leaves of its segment tree), to be kept and edited later by edit_trees. A null text is empty."""
+    held, data = [], df.sparkSession.sparkContext.broadcast(tokens.read_file(vocabulary))
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not held:
+            held.append(counter(data.value, pattern))
+        trees = [TokenTree(t, held[0]) for t in common.utf8(batch.column(1))]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.total for t in trees], pa.int64()), pa.array([t.pack() for t in trees], pa.binary())], ["id", "text", "n_tokens", "tree"])
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return common.map_batches(src, kernel, "id long, text string, n_tokens long, tree binary").withColumnRenamed("id", id_col)
+
+
+def edit_trees(trees: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", edits_col: str = "edits") -> DataFrame:
+    """Rows of token_trees with edits: id, the edited text, its n_tokens and tree, reencoded_bytes. Only the regions that edits touch are encoded; edits as in count_tokens. What it gives can be edited again."""
+    held, data = [], trees.sparkSession.sparkContext.broadcast(tokens.read_file(vocabulary))
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not held:
+            held.append(counter(data.value, pattern))
+        out = []
+        for text, leaves, edits in zip(common.utf8(batch.column(1)), *(batch.column(i).to_pylist() for i in (2, 3))):
+            out.append(tree := TokenTree(text, held[0], leaves=leaves))
+            apply_edits(tree, edits)
+        made = [([t.text.decode() for t in out], pa.string()), ([t.total for t in out], pa.int64()), ([t.pack() for t in out], pa.binary()), ([t.reencoded for t in out], pa.int64())]
+        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in made]], ["id", "text", "n_tokens", "tree", "reencoded_bytes"])
+
+    src = trees.select(F.col(id_col).alias("id"), "text", "tree", F.col(edits_col).cast(EDITS).alias("edits"))
+    return common.map_batches(src, kernel, "id long, text string, n_tokens long, tree binary, reencoded_bytes long").withColumnRenamed("id", id_col)
+
+
 def count_tokens(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str | None = None) -> DataFrame:
     """One row per input row: id, n_tokens, n_leaves, and with edits edited_tokens, edited_bytes, reencoded_bytes.
 
@@ -118,17 +180,7 @@ def count_tokens(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
         for text, edits in zip(common.utf8(batch.column(1)), batch.column(2).to_pylist()):
             tree = TokenTree(text or b"", held[0])
             row = [tree.total, tree.n]
-            ascii_only = tree.text.isascii()
-            for e in edits or ():
-                if e is None:
-                    continue
-                a, new = max(0, e["start"] or 0), (e["text"] or "").encode()
-                b = max(a, e["end"] or 0)
-                if not ascii_only:  # code points to bytes
-                    s = tree.text.decode()
-                    a, b = len(s[:a].encode()), len(s[:b].encode())
-                tree.edit(a, b, new)
-                ascii_only = ascii_only and new.isascii()
+            apply_edits(tree, edits)
             for column, value in zip(out, (*row, tree.total, len(tree.text), tree.reencoded)):
                 column.append(value)
         return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out)], ["id", "n_tokens", "n_leaves", "edited_tokens", "edited_bytes", "reencoded_bytes"])
