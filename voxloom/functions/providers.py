@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions import numbers
 from voxloom.functions.tags import repair_bio
 
 
@@ -400,13 +401,20 @@ def resample(audio: Column, rate: int = 16_000) -> Column:
     return made(audio)
 
 
+def to_twelve(text: str) -> str:
+    """A stand-in: single number words up to twelve."""
+    return " ".join(_TO_TWELVE.get(w.lower(), w) for w in text.split(" "))
+
+
+_TO_TWELVE = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve".split())}
+
+
 def inverse_normalize(c: Column, spell: Callable[[str], str] | None = None) -> Column:
-    """Spelled numbers up to twelve as digits, or what a provider says."""
-    numbers = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve".split())}
+    """Spelled numbers, dates, money and measures in digits by the grammar of functions/numbers, or what a provider says."""
+    rule = spell or numbers.normalize
 
     @F.arrow_udf("string")
     def plain(texts: pa.Array) -> pa.Array:
-        rule = spell or (lambda t: " ".join(numbers.get(w.lower(), w) for w in t.split(" ")))
         return pa.array([None if t is None else rule(t) for t in texts.to_pylist()], pa.string())
 
     return plain(c)

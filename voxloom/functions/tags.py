@@ -342,10 +342,28 @@ def drop_upper_words(c: Column) -> Column:
     return F.array_join(F.filter(F.split(c, " "), lambda w: ~((F.upper(w) == w) & (F.lower(w) != w))), " ")
 
 
+def _put_spans(text: str, spans: list[dict]) -> str:
+    ordered = sorted((x["start"], x["end"], x["type"]) for x in spans)
+    if any(a[1] > b[0] for a, b in zip(ordered, ordered[1:])):  # they overlap: one after the other, from the right
+        for start, end, kind in reversed(ordered):
+            text = f"{text[:start]}ENTITY_{kind.upper()} {text[start:end]} END{text[end:]}"
+        return text
+    out, at = [], 0
+    for start, end, kind in ordered:
+        out += [text[at:start], "ENTITY_", kind.upper(), " ", text[start:end], " END"]
+        at = end
+    return "".join([*out, text[at:]])
+
+
 def inject_spans(text: Column, spans: Column) -> Column:
-    """ENTITY_TYPE phrase END put in by offset; spans: array of (start, end, type) in code points, from the right."""
-    ordered = F.reverse(F.array_sort(spans))
-    return F.aggregate(ordered, text, lambda t, s: F.concat(F.substr(t, F.lit(1), s["start"]), F.lit("ENTITY_"), F.upper(s["type"]), F.lit(" "), F.substr(t, s["start"] + 1, s["end"] - s["start"]), F.lit(" END"), F.substr(t, s["end"] + 1)))
+    """ENTITY_TYPE phrase END put in by offset; spans: array of (start, end, type) in code points, as if from the right. A null text, null spans or a null in one give null. Time is in proportion to text and spans that don't overlap."""
+
+    @F.arrow_udf("string")
+    def put(texts: pa.Array, rows: pa.Array) -> pa.Array:
+        whole = lambda t, some: t is not None and some is not None and all(x is not None and None not in x.values() for x in some)
+        return pa.array([_put_spans(t, some) if whole(t, some) else None for t, some in zip(texts.to_pylist(), rows.to_pylist())], pa.string())
+
+    return put(text, spans.cast("array<struct<start:int,end:int,type:string>>"))
 
 
 def inject_strings(text: Column, entities: Column) -> Column:

@@ -162,7 +162,8 @@ def confusion(df: DataFrame, ref: str, hyp: str, families: tuple[str, ...] = ("A
 
 
 def class_report(confused: DataFrame) -> DataFrame:
-    """precision, recall, fscore and support of each class of a confusion table."""
+    """precision, recall, fscore and support of each class of a confusion table, which is staged, so that its texts are read once."""
+    confused = staged(confused, "confusion")
     by = lambda c, n: confused.groupBy("family", F.col(c).alias("label")).agg(F.sum("n").alias(n))
     hit = confused.where("actual = predicted").select("family", F.col("actual").alias("label"), F.col("n").alias("tp"))
     joined = by("actual", "gt").join(by("predicted", "pred"), ["family", "label"], "full").join(hit, ["family", "label"], "left").fillna(0, ["gt", "pred", "tp"])

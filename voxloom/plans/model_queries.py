@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.catalog import query
-from voxloom.functions import buckets, providers, tags
-from voxloom.operators import aggregates, filters
+from voxloom.functions import buckets, numbers, providers, tags
+from voxloom.operators import aggregates, filters, vocabulary
 from voxloom.plans.base import TAGGED, table, tagged
 
 _WORDS = "list_filter(regexp_split_to_array({}, '\\s+'), lambda w: w <> '')"
@@ -69,7 +69,7 @@ _NUMBERS = "['zero', 'one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eig
 
 @query("inverse_normalize_stub", f"""WITH {TAGGED} SELECT doc_id, array_to_string(list_transform(string_split(trim(string_split(text, 'AGE_')[1]), ' '), lambda x: coalesce((list_position({_NUMBERS}, lower(x)) - 1)::VARCHAR, x)), ' ') || ' AGE_' || string_split(text, 'AGE_')[2] AS text, text AS stopped FROM t""")
 def inverse_normalize_stub(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", tags.keep_head_of_age(F.col("text"), providers.inverse_normalize).alias("text"), providers.sentence_stops(F.col("text")).alias("stopped"))
+    return tagged(spark, sf_dir).select("doc_id", tags.keep_head_of_age(F.col("text"), lambda c: providers.inverse_normalize(c, providers.to_twelve)).alias("text"), providers.sentence_stops(F.col("text")).alias("stopped"))
 
 
 @query("sentence_stops_stub", "SELECT doc_id, substr(text, 1, 1) || replace(substr(text, 2), chr(10), '。' || chr(10)) AS text FROM documents")
@@ -167,3 +167,38 @@ def titles(spark, sf_dir):
 @query("text_keys", """SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN '{"doc_id":' || doc_id || ',"lang":"' || coalesce(lang, '') || '"}' ELSE text END) AS key FROM documents""")
 def text_keys(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", buckets.text_key(F.expr("CASE WHEN doc_id % 3 <> 0 THEN text END"), F.col("doc_id"), F.coalesce("lang", F.lit("")).alias("lang")).alias("key"))
+
+
+@query("inverse_normalize", """SELECT o_orderkey, 'order ' || (o_orderkey * 999983 + 7) % 1000000000000 || ' costs $' || (o_totalprice * 100)::BIGINT // 100 || CASE WHEN (o_totalprice * 100)::BIGINT % 100 = 0 THEN '' ELSE '.' || lpad(((o_totalprice * 100)::BIGINT % 100)::VARCHAR, 2, '0') END
+    || ', on ' || strftime(o_orderdate, '%Y-%m-%d') || ' the ' || CASE WHEN o_custkey = 1 THEN 'second' ELSE (o_custkey + 1) || CASE WHEN (o_custkey + 1) % 100 IN (11, 12, 13) THEN 'th' ELSE ['st', 'nd', 'rd'][CASE WHEN (o_custkey + 1) % 10 BETWEEN 1 AND 3 THEN ((o_custkey + 1) % 10)::INT END] END || ' asked for ' || o_custkey % 90 + 2 || ' kg and '
+    || o_custkey % 100 || '% more. ' || o_orderpriority AS text FROM orders""".replace("ELSE ['st', 'nd', 'rd'][CASE WHEN (o_custkey + 1) % 10 BETWEEN 1 AND 3 THEN ((o_custkey + 1) % 10)::INT END] END", "WHEN (o_custkey + 1) % 10 = 1 THEN 'st' WHEN (o_custkey + 1) % 10 = 2 THEN 'nd' WHEN (o_custkey + 1) % 10 = 3 THEN 'rd' ELSE 'th' END END"))
+def inverse_normalize(spark, sf_dir):
+    """Orders told in words, whose numbers come back as digits."""
+    o = table(spark, sf_dir, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    paid = F.concat(numbers.spell(F.floor(F.col("cents") / 100)), F.lit(" dollars"), F.when(F.col("cents") % 100 > 0, F.concat(F.lit(" and "), numbers.spell(F.col("cents") % 100), F.lit(" cents"))).otherwise(""))
+    day = F.concat(F.date_format("o_orderdate", "MMMM"), F.lit(" "), numbers.spell_ordinal(F.dayofmonth("o_orderdate")), F.lit(" "), numbers.spell(F.year("o_orderdate")))
+    said = F.concat(F.lit("order "), numbers.spell((F.col("o_orderkey") * 999983 + 7) % 10**12), F.lit(" costs "), paid, F.lit(", on "), day, F.lit(" the "), numbers.spell_ordinal(F.col("o_custkey") + 1), F.lit(" asked for "),
+        numbers.spell(F.col("o_custkey") % 90 + 2), F.lit(" kilograms and "), numbers.spell(F.col("o_custkey") % 100), F.lit(" percent more. "), "o_orderpriority")
+    return o.select("o_orderkey", numbers.inverse_normalize(said).alias("text"))
+
+
+@query("vocabulary_spans", r"""WITH w AS (SELECT item_id, list_filter(string_split(text, ' '), lambda x: x <> '') AS w FROM benchmark),
+    b AS (SELECT item_id, unnest(list_concat(list_transform(list_filter(range(1, len(w)), lambda i: w[i] <> w[i + 1]), lambda i: w[i] || ' ' || w[i + 1]), [array_to_string(w[1:6], ' ')])) AS phrase FROM w),
+    v AS (SELECT phrase, min('KIND_' || item_id % 3) AS type FROM b WHERE phrase <> '' GROUP BY phrase),
+    c AS (SELECT doc_id, text, phrase, type, string_split(text, phrase) AS parts FROM documents JOIN v ON contains(text, phrase)),
+    p AS (SELECT doc_id, text, phrase, type, unnest(list_transform(range(1, len(parts)), lambda i: list_sum(list_transform(parts[1:i], lambda x: length(x))) + (i - 1) * length(phrase)))::BIGINT AS start FROM c),
+    a AS (SELECT doc_id, start, max_by({'e': start + length(phrase), 't': type}, length(phrase)) AS best FROM p
+        WHERE NOT regexp_matches(substr(text, start, CASE WHEN start > 0 THEN 1 ELSE 0 END), '[\pL\p{N}]') AND NOT regexp_matches(substr(text, start + length(phrase) + 1, 1), '[\pL\p{N}]') GROUP BY doc_id, start),
+    l AS (SELECT doc_id, list([{'s': start, 'e': best.e, 't': best.t}] ORDER BY start) AS found FROM a GROUP BY doc_id),
+    g AS (SELECT doc_id, list_reduce(found, lambda x, y: CASE WHEN y[1].s >= x[-1].e THEN list_concat(x, y) ELSE x END) AS kept FROM l)
+    SELECT d.doc_id, coalesce(array_to_string(list_transform(kept, lambda x: x.s || '-' || x.e || ' ' || x.t), ','), '') AS spans, coalesce(list_reduce(list_concat([text], list_transform(list_reverse(kept), lambda x: x.s || '|' || x.e || '|' || x.t)),
+        lambda t, x: substr(t, 1, split_part(x, '|', 1)::INT) || 'ENTITY_' || split_part(x, '|', 3) || ' ' || substr(t, split_part(x, '|', 1)::INT + 1, split_part(x, '|', 2)::INT - split_part(x, '|', 1)::INT) || ' END' || substr(t, split_part(x, '|', 2)::INT + 1)), text) AS tagged
+    FROM documents d LEFT JOIN g USING (doc_id)""")
+def vocabulary_spans(spark, sf_dir):
+    """Pairs of different neighbouring words and first six words of benchmark items, wherever they stand in documents. (Pairs of one word overlap themselves, which the SQL doesn't see.)"""
+    w = table(spark, sf_dir, "benchmark").select("item_id", F.filter(F.split("text", " "), lambda x: x != "").alias("w"))
+    two = F.filter(F.transform("w", lambda x, i: F.when(x != F.get(F.col("w"), i + 1), F.concat(x, F.lit(" "), F.get(F.col("w"), i + 1)))), lambda x: x.isNotNull())
+    phrases = w.select(F.explode(F.concat(two, F.array(F.array_join(F.slice("w", 1, 6), " ")))).alias("phrase"), F.concat(F.lit("KIND_"), F.col("item_id") % 3).alias("type"))
+    found = vocabulary.vocabulary_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", phrases)
+    shown = F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"], F.lit(" "), s["type"])), ",")
+    return found.select("doc_id", shown.alias("spans"), tags.inject_spans(F.col("text"), F.col("spans")).alias("tagged"))

@@ -483,10 +483,11 @@ def metadata_json(spark, sf_dir):
     return sinks.with_metadata_json(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), "c_custkey")
 
 
-@query("transcripts_map", "SELECT 'd' || conv_id || '/' AS folder, count(*)::INT AS files FROM conversations GROUP BY conv_id")
+@query("transcripts_map", """SELECT 'd' || conv_id || '/' AS folder, string_agg(turn || '=' || text, chr(1) ORDER BY turn) AS texts FROM conversations GROUP BY conv_id""")
 def transcripts_map(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").selectExpr("concat('d', conv_id, '/', turn, '.wav') AS file", "text")
-    return sinks.transcripts_map(c, "file", "text").select("folder", F.size(F.from_json("value", "map<string,string>")).alias("files"))
+    entries = F.array_sort(F.transform(F.map_entries(F.from_json("value", "map<string,string>")), lambda e: F.struct(F.regexp_extract(e["key"], r"(\d+)(\.wav)?$", 1).cast("int").alias("turn"), e["value"].alias("text"))))
+    return sinks.transcripts_map(c, "file", "text").select("folder", F.array_join(F.transform(entries, lambda e: F.concat(e["turn"], F.lit("="), e["text"])), "\x01").alias("texts"))
 
 
 @query("common_prefix", "SELECT 'Customer#' || repeat('0', 18 - 9 - length((SELECT max(c_custkey) FROM customer)::VARCHAR)) AS prefix")

@@ -136,10 +136,14 @@ def src_verbatim(spark, sf_dir):
     return manifests.read_verbatim(spark, path).select("state", "gender", "start", "end", "text")
 
 
-@query("src_listing", "SELECT sum(strlen(doc_id::VARCHAR || ' ' || lang) + 1)::BIGINT AS bytes FROM documents")
+@query("src_listing", """SELECT lang, sum(strlen(doc_id::VARCHAR || ' ' || lang) + 1)::BIGINT AS bytes, 'TXT' AS extension FROM documents WHERE lang IS NOT NULL GROUP BY lang""")
 def src_listing(spark, sf_dir):
-    path = _lines(table(spark, sf_dir, "documents"), "concat(doc_id, ' ', lang)", "listing")
-    return manifests.list_files(spark, path, ("TXT",)).agg(F.sum("length").alias("bytes"))
+    """The files of one folder for each language, listed with their sizes."""
+    path = scratch(spark, "listing")
+    rows = table(spark, sf_dir, "documents").where("lang IS NOT NULL").selectExpr("lang AS folder", "concat(doc_id, ' ', lang) AS value")
+    rows.write.partitionBy("folder").text(path)
+    found = manifests.list_files(spark, path, ("TXT",))
+    return found.groupBy(F.regexp_extract("path", "folder=([^/]*)/", 1).alias("lang"), F.upper(F.regexp_extract("path", "[.]([a-z]+)$", 1)).alias("extension")).agg(F.sum("length").alias("bytes"))
 
 
 @query("src_search", "SELECT n_name AS query, n_name || ' ' || i AS title, 'PT' || (1 + i % 59) || 'M' AS duration FROM nation, range(60) t(i)")
@@ -179,12 +183,14 @@ def sink_routed(spark, sf_dir):
     return spark.read.schema("doc_id bigint, text string, lang string").json(path)
 
 
-@query("sink_batches", "SELECT count(*) AS n, true AS bounded FROM events")
+@query("sink_batches", "SELECT event_id, user_id, true AS bounded FROM events")
 def sink_batches(spark, sf_dir):
+    """Every row that the numbered files hold, and whether its file has 100 at most."""
     path = scratch(spark, "batches")
     sinks.write_batches(table(spark, sf_dir, "events").select("event_id", "user_id"), path, 100)
-    files = spark.read.schema("event_id bigint").json(path).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
-    return files.agg(F.sum("n").alias("n"), (F.max("n") <= 100).alias("bounded"))
+    rows = spark.read.schema("event_id bigint, user_id bigint").json(path).withColumn("file", F.col("_metadata.file_path"))
+    small = rows.groupBy("file").agg((F.count("*") <= 100).alias("bounded"))
+    return rows.join(small, "file").select("event_id", "user_id", "bounded")
 
 
 @query("sink_append", "SELECT doc_id, lang FROM documents")

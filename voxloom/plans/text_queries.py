@@ -219,9 +219,9 @@ def placeholders(spark, sf_dir):
     return tagged(spark, sf_dir).select("doc_id", tags.fill_placeholders(marked, age=F.expr("CAST(doc_id % 90 AS STRING)"), gender=F.expr("CASE WHEN doc_id % 2 = 0 THEN 'F' END")).alias("text"), tags.last_intent(F.col("text")).alias("intent"))
 
 
-@query("drop_upper_words", f"WITH {TAGGED} SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: NOT (upper(w) = w AND lower(w) <> w))) AS kept FROM t")
+@query("drop_upper_words", f"WITH {TAGGED} SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: NOT (upper(w) = w AND lower(w) <> w)), ' ') AS text FROM t")
 def drop_upper_words(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", F.size(tags.tokens(tags.drop_upper_words(F.col("text")))).cast("long").alias("kept"))
+    return tagged(spark, sf_dir).select("doc_id", tags.drop_upper_words(F.col("text")).alias("text"))
 
 
 @query("inject_entities", """SELECT doc_id, CASE WHEN length(text) >= 8 THEN 'ENTITY_FIRST ' || substr(text, 1, 3) || ' END' || substr(text, 4, 2) || 'ENTITY_SECOND ' || substr(text, 6, 2) || ' END' || substr(text, 8) ELSE text END AS by_offset,
