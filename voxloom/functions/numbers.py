@@ -45,7 +45,7 @@ ARCS = {(s, c): to for s, row in {
 FINAL = frozenset(("ones", "teens", "tens", "hundred", "last", "last tens", "scale", "zero"))
 
 _TOKEN = re.compile(r"(.*?)([.,;:?!]*)", re.S)
-#: Weights: a token by itself, a phrase, a phrase for each of its tokens, a word that is rather no number (one, second) where it stands alone.
+#: Weights: a token by itself, a phrase, a phrase for each of its tokens, a word that is rather no number (second) where it stands alone.
 PLAIN, PHRASE, EACH, UNLIKELY = 1.0, 0.2, 0.01, 1.5
 
 
@@ -103,7 +103,7 @@ def phrases(words: list[str], i: int) -> Iterator[tuple[int, str, float]]:
             if at(j) == "of" and at(j + 1) in MONTHS and 1 <= n <= 31:
                 yield from _dates(words, j + 2, MONTHS.index(words[j + 1]) + 1, n)
             continue
-        yield j, str(n), UNLIKELY if j == i + 1 and n == 1 else PHRASE
+        yield j, str(n), PHRASE
         if at(j) == "point":
             k, digits = j + 1, ""
             while at(k) is not None and _CLASSES.get(words[k], ("", 0))[0] in ("unit", "zero"):
