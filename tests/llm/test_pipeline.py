@@ -35,7 +35,7 @@ def test_stages_keep_columns_and_clean_documents(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 EXTRA = "doc_id long, text string, lang string, source string, n_chars long, host string, own double, said string, maybe boolean, ID long, quality double, band long, id_ string"
