@@ -28,6 +28,7 @@ def has_p_pattern(c: Column, strict: bool = False) -> Column:
     hit = F.lit(False)
     for p in [*patterns, *([r"(?U)\bp"] if strict else [])]:
         hit = hit | c.rlike(p)
+    # The letter P by itself, and beside marks.
     near = F.trim(c).rlike(r"(?U)^P$|[.!?,:;]\s+P(?!\S)|(?<!\S)P\s+[.!?,:;]")
     return _sure(hit | (c.rlike(r"(?U)\bP\b") & near))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxloom.functions.buckets import timestamp_seconds
 from voxloom.functions.tags import squeeze
 
+# Fixed value: the times of a cue, as the format has them.
 _TIMES = r"^(\d{2}:\d{2}:\d{2}\.\d{3}) --> (\d{2}:\d{2}:\d{2}\.\d{3})"
 
 
