@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.catalog import query
-from voxloom.functions import buckets, numbers, providers, tags
+from voxloom.functions import buckets, numbers, providers, sequences, tags
 from voxloom.operators import aggregates, filters, vocabulary
 from voxloom.plans.base import TAGGED, table, tagged
 
@@ -202,3 +202,52 @@ def vocabulary_spans(spark, sf_dir):
     found = vocabulary.vocabulary_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", phrases)
     shown = F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"], F.lit(" "), s["type"])), ",")
     return found.select("doc_id", shown.alias("spans"), tags.inject_spans(F.col("text"), F.col("spans")).alias("tagged"))
+
+
+#: Rows that models are fitted on; the others are held out.
+_FITTED = "crc32(CAST(doc_id AS STRING)) % 3 <> 1"
+
+
+def _punctuated(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    model = sequences.fit_punctuation(d.where(_FITTED), "text")
+    return d.select("doc_id", "text", providers.punctuate(sequences.spoken(F.col("text")), model).alias("punctuated"))
+
+
+@query("punctuate")
+def punctuate(spark, sf_dir):
+    """All documents as they are heard, with marks and capitals from a model of two thirds of them."""
+    return _punctuated(spark, sf_dir).select("doc_id", F.col("punctuated").alias("text"))
+
+
+@query("punctuation_scores")
+def punctuation_scores(spark, sf_dir):
+    """How well marks are found in the documents that were held out."""
+    return sequences.mark_scores(_punctuated(spark, sf_dir).where(f"NOT ({_FITTED})"), "doc_id", "text", "punctuated")
+
+
+def _segmented(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    model = sequences.fit_segments(d.where(_FITTED), "text")
+    return d.select("doc_id", sequences.segment(sequences.unstopped(F.col("text")), model).alias("s")).select("doc_id", "s.*")
+
+
+@query("sentence_segments")
+def sentence_segments(spark, sf_dir):
+    """All documents without their stops, and where a model of two thirds of them puts stops."""
+    return _segmented(spark, sf_dir).select("doc_id", F.array_join("ends", ",").alias("ends"), "text")
+
+
+@query("sentence_ends", r"""WITH p AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?。！？]+')) AS s, generate_subscripts(string_split_regex(text, '[.!?。！？]+'), 1) AS i FROM documents),
+    e AS (SELECT doc_id, s, sum(length(s)) OVER (PARTITION BY doc_id ORDER BY i) - length(s) + length(regexp_replace(s, '\s+$', '')) AS e FROM p)
+    SELECT doc_id, e::INT AS "end" FROM e WHERE NOT regexp_full_match(s, '\s*')""")
+def sentence_ends(spark, sf_dir):
+    return sequences.sentence_ends(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("segment_scores")
+def segment_scores(spark, sf_dir):
+    """How well ends of sentences are found in the documents that were held out."""
+    held = f"NOT ({_FITTED})"
+    found = _segmented(spark, sf_dir).where(held).select("doc_id", F.explode("ends").alias("end"))
+    return sequences.end_scores(sequences.sentence_ends(table(spark, sf_dir, "documents").where(held), "doc_id", "text"), found)
