@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxloom.catalog import query
 from voxloom.operators import aggregates
 from voxloom.plans.base import table
-from voxloom.sources import manifests, search, sinks
+from voxloom.sources import archives, keyed, manifests, search, sinks
 from voxloom.staging import scratch
 from voxloom.streaming import ingest
 
@@ -237,3 +237,40 @@ def stream_progress(spark, sf_dir):
 def unioned_sources(spark, sf_dir):
     both = aggregates.union_all(table(spark, sf_dir, "documents").select(F.lit("lines").alias("part"), "doc_id"), table(spark, sf_dir, "pages").select(F.lit("pages").alias("part"), "page_id"))
     return both.groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query("archive_scan", """SELECT doc_id % 3 AS form, coalesce(lang, 'none') || '/' || doc_id || '.txt' AS member, coalesce(octet_length(encode(text)), 0)::BIGINT AS size, md5(coalesce(text, '')) AS digest, NULL::VARCHAR AS error FROM documents""")
+def archive_scan(spark, sf_dir):
+    """Documents written as tar, zip and gzipped tar archives and read back."""
+    rows = table(spark, sf_dir, "documents").selectExpr("doc_id % 3 AS form", "concat(coalesce(lang, 'none'), '/', doc_id, '.txt') AS member", "text").repartition(8)
+    paths = aggregates.union_all(*[archives.write_archives(rows.where(F.col("form") == i), "member", "text", scratch(spark, "archive"), kind) for i, kind in enumerate(("tar", "zip", "tgz"))])
+    form = F.when(F.endswith("path", F.lit("tgz")), 2).when(F.endswith("path", F.lit("zip")), 1).otherwise(0).cast("long")
+    return archives.read_archives(paths, range_bytes=1 << 20).select(form.alias("form"), "member", "size", F.md5("content").alias("digest"), "error")
+
+
+_ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
+
+
+@query("keyed_merge", f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'M' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 5 = 0""")
+def keyed_merge(spark, sf_dir):
+    """Orders of two thirds of the customers are put in; then all others come, some change twice, some go, and some of these come back."""
+    o = table(spark, sf_dir, "orders").selectExpr(*_ORDER_COLUMNS.split(", "))
+    t = keyed.KeyedTable(spark, scratch(spark, "orders"), ["o_orderkey"], 16)
+    t.merge(o.where("o_custkey % 3 <> 0"), "o_totalprice")
+    changed = o.where("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("M"))
+    steps = [o.where("o_custkey % 3 = 0").selectExpr("*", "0 AS step", "false AS gone"), changed.withColumn("o_orderstatus", F.lit("?")).selectExpr("*", "1 AS step", "false AS gone"),
+        o.where("o_orderkey % 7 = 0").selectExpr("*", "2 AS step", "true AS gone"), changed.selectExpr("*", "3 AS step", "false AS gone")]
+    t.merge(aggregates.union_all(*steps), "step", F.col("gone"))
+    return t.read()
+
+
+@query("merge_stream", "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def merge_stream(spark, sf_dir):
+    """Each user's last event, from a stream that delivers half of the events twice."""
+    src, ck = (scratch(spark, x) for x in ("merge-in", "merge-ck"))
+    t = keyed.KeyedTable(spark, scratch(spark, "users"), ["user_id"], 8)
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    for part in (e.where("event_id % 2 = 0"), e):
+        part.write.mode("append").parquet(src)
+        keyed.merge_stream(spark.readStream.schema(e.schema).parquet(src), t, "event_id", "events", ck).awaitTermination()
+    return t.read()
