@@ -55,6 +55,22 @@ def test_the_path_is_the_cheapest_and_covers_every_token():
     assert numbers.normalize(plain) == plain
 
 
+def test_phrases_are_looked_for_only_where_a_cheapest_path_may_go(monkeypatch):
+    asked, real = [], numbers.phrases
+    monkeypatch.setattr(numbers, "phrases", lambda words, i: asked.append(i) or real(words, i))
+    numbers._cheapest.cache_clear()
+    said = "it costs one hundred twelve thousand nine hundred forty six dollars and twenty six cents, they say"
+    assert numbers.normalize(said) == "it costs $112946.26, they say" and len(asked) == 1
+    assert numbers.normalize(said) == "it costs $112946.26, they say" and len(asked) == 1
+    assert numbers.normalize("one " * 5000 + "two") == "1 " * 5000 + "2"
+
+
+def test_one_file_of_orders_is_many_tasks(spark):
+    from voxloom import catalog
+
+    assert catalog.queries()["inverse_normalize"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+
+
 def brute(text, phrases, whole):
     found = []
     for start in range(len(text)):

@@ -174,7 +174,7 @@ def text_keys(spark, sf_dir):
     || o_custkey % 100 || '% more. ' || o_orderpriority AS text FROM orders""".replace("ELSE ['st', 'nd', 'rd'][CASE WHEN (o_custkey + 1) % 10 BETWEEN 1 AND 3 THEN ((o_custkey + 1) % 10)::INT END] END", "WHEN (o_custkey + 1) % 10 = 1 THEN 'st' WHEN (o_custkey + 1) % 10 = 2 THEN 'nd' WHEN (o_custkey + 1) % 10 = 3 THEN 'rd' ELSE 'th' END END"))
 def inverse_normalize(spark, sf_dir):
     """Orders told in words, whose numbers come back as digits."""
-    o = table(spark, sf_dir, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    o = table(spark, sf_dir, "orders").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
     paid = F.concat(numbers.spell(F.floor(F.col("cents") / 100)), F.lit(" dollars"), F.when(F.col("cents") % 100 > 0, F.concat(F.lit(" and "), numbers.spell(F.col("cents") % 100), F.lit(" cents"))).otherwise(""))
     day = F.concat(F.date_format("o_orderdate", "MMMM"), F.lit(" "), numbers.spell_ordinal(F.dayofmonth("o_orderdate")), F.lit(" "), numbers.spell(F.year("o_orderdate")))
     said = F.concat(F.lit("order "), numbers.spell((F.col("o_orderkey") * 999983 + 7) % 10**12), F.lit(" costs "), paid, F.lit(", on "), day, F.lit(" the "), numbers.spell_ordinal(F.col("o_custkey") + 1), F.lit(" asked for "),
