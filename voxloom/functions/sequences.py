@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.batches import arrow_udf
 from voxloom.staging import drop, staged
 
 #: Marks behind words, after none; the state at the begin of a line is the one behind them.
@@ -340,7 +341,7 @@ def segment(c: Column, model: Segmenter, stop: str = "。") -> Column:
     """struct(ends, text): the characters before and in the last one of every sentence, and the text with a stop behind each. A null text has null in both; one without characters has no sentence."""
     kind = pa.struct([("ends", pa.list_(pa.int32())), ("text", pa.string())])
 
-    @F.arrow_udf("struct<ends:array<int>,text:string>")
+    @arrow_udf("struct<ends:array<int>,text:string>")
     def put(texts: pa.Array) -> pa.Array:
         given = texts.to_pylist()
         found = iter(model([t for t in given if t is not None]))

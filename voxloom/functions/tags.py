@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.batches import arrow_udf
+
 #: Metadata families in the order in which they are put at the end of a text.
 FAMILIES = ("AGE_", "GER_", "EMOTION_", "INTENT_")
 METADATA = r"(?U)\b((?:INTENT|AGE|GER|EMOTION)_\w+)\b"
@@ -22,7 +24,7 @@ METADATA = r"(?U)\b((?:INTENT|AGE|GER|EMOTION)_\w+)\b"
 def text_rule(rule: Callable[[str], str]) -> Callable[[Column], Column]:
     """An Arrow UDF that maps texts by a Python rule, a batch at a time."""
 
-    @F.arrow_udf(T.StringType())
+    @arrow_udf(T.StringType())
     def apply(texts: pa.Array) -> pa.Array:
         return pa.array([None if t is None else rule(t) for t in texts.to_pylist()], pa.string())
 
@@ -358,7 +360,7 @@ def _put_spans(text: str, spans: list[dict]) -> str:
 def inject_spans(text: Column, spans: Column) -> Column:
     """ENTITY_TYPE phrase END put in by offset; spans: array of (start, end, type) in code points, as if from the right. A null text, null spans or a null in one give null. Time is in proportion to text and spans that don't overlap."""
 
-    @F.arrow_udf("string")
+    @arrow_udf("string")
     def put(texts: pa.Array, rows: pa.Array) -> pa.Array:
         whole = lambda t, some: t is not None and some is not None and all(x is not None and None not in x.values() for x in some)
         return pa.array([_put_spans(t, some) if whole(t, some) else None for t, some in zip(texts.to_pylist(), rows.to_pylist())], pa.string())
@@ -414,14 +416,14 @@ def entity_spans(c: Column, reset: bool = True, by_label: bool = False, vocabula
                 words.append(w)
         return _numbered(out)
 
-    @F.arrow_udf(_SPANS)
+    @arrow_udf(_SPANS)
     def spans(texts: pa.Array) -> pa.Array:
         return pa.array([[] if t is None else walk(t) for t in texts.to_pylist()], _SPAN)
 
     return spans(c)
 
 
-@F.arrow_udf(_SPANS)
+@arrow_udf(_SPANS)
 def number_repeats(pairs: pa.Array) -> pa.Array:
     """Pairs (label, phrase) of an array with occ: how often each has stood up to here."""
     return pa.array([None if row is None else _numbered([(p["label"], p["phrase"]) for p in row]) for row in pairs.to_pylist()], _SPAN)

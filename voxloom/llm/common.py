@@ -9,23 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.batches import small_batches  # noqa: F401  operators take it from here
 from voxloom.staging import drop, settled, shared_dir, staged  # noqa: F401  operators take them from here
 
 #: A table is broadcast only if its values have at most this many bytes in all.
 BROADCAST_BYTES = 16 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch may hold, so that very long texts do not fill a Python worker."""
-    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
-        if spark.conf.get(key, None) in (None, "10000", "-1", "67108864", "256MB", str(256 << 20), str((1 << 63) - 1)):
-            try:
-                spark.conf.set(key, value)
-            except Exception as error:  # a Spark without the byte limit
-                if "CANNOT_MODIFY" not in str(error) and "doesn't exist" not in str(error):
-                    raise
-
-
 def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow with one output batch for each input batch."""
     small_batches(df.sparkSession)

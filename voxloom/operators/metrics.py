@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.batches import arrow_udf
 from voxloom.functions.buckets import safe_divide
 from voxloom.functions.tags import drop_upper_words, entity_spans
 from voxloom.staging import staged
@@ -21,7 +22,7 @@ def _letters(words: list[str], known: dict[str, int]) -> str:
         raise ValueError(f"a pair of texts has {len(known)} different words, more than there are characters to number them") from None
 
 
-@F.arrow_udf(T.StructType([T.StructField("ref", T.StringType()), T.StructField("hyp", T.StringType())]))
+@arrow_udf(T.StructType([T.StructField("ref", T.StringType()), T.StructField("hyp", T.StringType())]))
 def coded_words(refs: pa.Array, hyps: pa.Array) -> pa.Array:
     """Both texts of a pair with each word between white space as one character, equal words as equal ones; a null text has no words."""
     out = []
@@ -91,7 +92,7 @@ def edit_kinds(df: DataFrame, ref: str, hyp: str) -> DataFrame:
     """insertions, deletions, substitutions of a best alignment of the words of each pair (see alignment), and units, the words of the reference."""
     kind = "struct<insertions:bigint,deletions:bigint,substitutions:bigint,units:bigint>"
 
-    @F.arrow_udf(kind)
+    @arrow_udf(kind)
     def aligned(refs: pa.Array, hyps: pa.Array) -> pa.Array:
         rows = []
         for r, h in zip(refs.to_pylist(), hyps.to_pylist()):

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.batches import arrow_udf
 from voxloom.staging import staged
 
 #: Phrases whose UTF-8 has at most so many bytes in all, with 64 for each, are one automaton and one broadcast; larger tables are cut.
@@ -105,7 +106,7 @@ def vocabulary_spans(df: DataFrame, text: str, phrases: DataFrame, name: str = "
 def _found(df: DataFrame, text: Column, before: Column | None, phrases: DataFrame, whole_words: bool, last: bool) -> Column:
     shared = df.sparkSession.sparkContext.broadcast([(r["phrase"], r["type"]) for r in phrases.toLocalIterator()])  # about part_bytes
 
-    @F.arrow_udf(SPANS)
+    @arrow_udf(SPANS)
     def spans(texts: pa.Array, old: pa.Array) -> pa.Array:
         automaton, out = _automaton(shared), []
         for t, some in zip(texts.to_pylist(), old.to_pylist()):
