@@ -249,5 +249,5 @@ def sentence_ends(spark, sf_dir):
 def segment_scores(spark, sf_dir):
     """How well ends of sentences are found in the documents that were held out."""
     held = f"NOT ({_FITTED})"
-    found = _segmented(spark, sf_dir).where(held).select("doc_id", F.explode("ends").alias("end"))
+    found = _segmented(spark, sf_dir).where(held).select("doc_id", F.explode_outer("ends").alias("end")).where("end IS NOT NULL")  # explode would have the texts segmented once more, to leave out those without ends beforehand
     return sequences.end_scores(sequences.sentence_ends(table(spark, sf_dir, "documents").where(held), "doc_id", "text"), found)
