@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from voxloom import catalog
 from voxloom.batches import arrow_udf
-from voxloom.functions import tags
+from voxloom.functions import sequences, tags
 
 SF = "/root/testdata/sf0.001"
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -29,3 +29,12 @@ def test_batches_are_small_for_rules_of_texts(spark):
 def test_texts_are_segmented_once(spark):
     plan = catalog.queries()["segment_scores"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_word_is_looked_up_once_a_window(spark, monkeypatch):
+    model = sequences.fit_punctuation(spark.createDataFrame([("One day. Two days.",)], "text string"), "text", least=1)
+    asked, real = [], sequences.known
+    monkeypatch.setattr(sequences, "known", lambda word: asked.append(word) or real(word))
+    said = model(["one day two days one day"])
+    assert [w.rstrip(".").lower() for w in said[0].split(" ")] == "one day two days one day".split(" ")
+    assert sorted(asked) == ["day", "days", "one", "two"]

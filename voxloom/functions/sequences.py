@@ -113,6 +113,7 @@ class Punctuator:
 
     def __init__(self, shared):
         self.shared = shared
+        self.by_case = None  # made where the model is used
 
     def __call__(self, texts: list[str]) -> list[str]:
         done, waiting, size = [], [], 0
@@ -128,42 +129,48 @@ class Punctuator:
 
     def _decoded(self, lines: list[list[str]]) -> list[str]:
         m = self.shared.value
-        ids, cases, marks, places, lengths = [], [], [], [], []
+        seen: dict[str, int] = {}
+        kinds, found, places, lengths = [], [], [], []
         for n, pieces in enumerate(lines):
-            before = len(ids)
+            before = len(found)
             for k in range(0, len(pieces), 2):
-                if pieces[k]:
-                    word, case, mark = known(pieces[k])
-                    ids.append(m["words"].get(word) or m["endings"].get(word[-2:], _OTHER))
-                    cases.append(case)
-                    marks.append(mark)
+                if piece := pieces[k]:
+                    if piece not in seen:
+                        word, case, mark = known(piece)
+                        seen[piece] = len(kinds)
+                        kinds.append((m["words"].get(word) or m["endings"].get(word[-2:], _OTHER), case, mark))
+                    found.append(seen[piece])
                     places.append((n, k))
-            lengths.append(len(ids) - before)
-        if not ids:
+            lengths.append(len(found) - before)
+        if not found:
             return ["".join(p) for p in lines]
-        ids, cases, marks, lengths = np.array(ids), np.array(cases), np.array(marks), np.array(lengths)
+        ids, cases, marks = np.array(kinds)[found].T.copy()
+        lengths = np.array(lengths)
         lengths = lengths[lengths > 0]
         first = np.zeros(len(ids), bool)
         first[np.cumsum(lengths) - lengths] = True
         before = np.where(first, _BEGIN, np.roll(ids, 1))
-        case_known = np.zeros((4, 3))
+        case_known = np.zeros((4, 3), np.float32)
         mark_known = np.zeros((FIRST + 1, FIRST))
         case_known[:3][~np.eye(3, dtype=bool)] = mark_known[:FIRST][~np.eye(FIRST, dtype=bool)] = -np.inf
+        if self.by_case is None:  # scores of the best case, for each case that is known and for an open one
+            self.by_case = np.stack([(m["labels"] + own[:, None]).max(2) for own in case_known])
+        behind = follows(m, before, ids)
 
         def step(at):
-            labels = (m["labels"][ids[at]] + case_known[cases[at]][:, None, :, None]).max(2) + mark_known[marks[at]][:, None]
-            return labels + follows(m, before[at], ids[at])[:, :, None]
+            return self.by_case[cases[at], ids[at]] + mark_known[marks[at]][:, None] + behind[at][:, :, None]
 
         start = np.full(FIRST + 1, -np.inf)
         start[FIRST] = 0.0
         path = viterbi(lengths, start, step, lambda at: follows(m, ids[at], np.full(len(at), _END)))
         came = np.where(first, FIRST, np.roll(path, 1))
         case = (m["labels"][ids, came, :, path] + case_known[cases]).argmax(1)
-        for (n, k), c, mark, had, shaped in zip(places, case.tolist(), path.tolist(), marks.tolist(), cases.tolist()):
+        new_case, new_mark = np.where(cases == 3, case, 0), np.where(marks == FIRST, path, 0)
+        changed = np.flatnonzero((new_case > 0) | (new_mark > 0))
+        for i, c, mark in zip(changed.tolist(), new_case[changed].tolist(), new_mark[changed].tolist()):
+            n, k = places[i]
             word = lines[n][k]
-            if shaped == 3:
-                word = word.upper() if c == 2 else word[:1].upper() + word[1:] if c == 1 else word
-            lines[n][k] = word + (MARKS[mark - 1] if mark and had == FIRST else "")
+            lines[n][k] = (word.upper() if c == 2 else word[:1].upper() + word[1:] if c == 1 else word) + (MARKS[mark - 1] if mark else "")
         return ["".join(p) for p in lines]
 
 
