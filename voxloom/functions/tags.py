@@ -341,7 +341,7 @@ normalize_ner_case = text_rule(_ner_case)
 
 def drop_upper_words(c: Column) -> Column:
     """Without the words (between single spaces) whose cased letters are all upper case."""
-    return F.array_join(F.filter(F.split(c, " "), lambda w: ~((F.upper(w) == w) & (F.lower(w) != w))), " ")
+    return F.array_join(F.filter(F.split(c, " "), lambda w: ~((F.lower(w) != w) & (F.upper(w) == w))), " ")  # few words need both
 
 
 def _put_spans(text: str, spans: list[dict]) -> str:
