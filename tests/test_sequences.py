@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -177,6 +178,27 @@ def test_segments_are_the_best_of_all_labels(spark):
     assert sequences.fit_segments(spark.createDataFrame([], "text string"), "text")(["ab c"])[0][-1] == 4
 
 
+def test_segments_of_long_and_many_texts(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcde fg.hi? 漢字。😀 \n") for _ in range(rng.randint(0, 80))) for _ in range(200)]
+    model = sequences.fit_segments(spark.createDataFrame([(t,) for t in texts], "text string"), "text", characters=12)
+    m = model.shared.value
+    plain = [re.sub("[.!?。！？]+", "", t) for t in texts]
+    want = []
+    for t in plain:
+        at = [i for i, c in enumerate(t) if c not in " \n"]
+        seen = np.array([m["characters"].get(t[i] + (" " if t[i + 1 : i + 2] in ("", " ", "\n") else ""), 0) for i in at], int)
+        path = sequences.viterbi(np.array([len(at)] if at else [], int), np.array([-np.inf] * 4 + [0]), lambda k: m["moves"][None] + m["shows"][seen[k]][:, None], lambda k: np.array([[0, -np.inf, -np.inf, 0, 0]]))  # noqa: B023
+        want.append([i + 1 for i, s in zip(at, path) if s in (0, 3)])
+    for few, characters in ((1, 1000), (24, 1_000_000), (1000, 1_000_000)):
+        monkeypatch.setattr(sequences, "FEW", few)
+        monkeypatch.setattr(sequences, "CHARACTERS", characters)
+        assert model(plain) == want
+    began = time.perf_counter()
+    (ends,) = model(["abcde fg" * 50_000])
+    assert ends[-1] == 400_000 and time.perf_counter() - began < 5  # one array step for each place took 17 s
+
+
 def test_held_out_documents(spark):
     got = {r["mark"]: r["f1"] for r in catalog.queries()["punctuation_scores"](spark, SF).collect()}
     print(got)

@@ -7,14 +7,15 @@ Texts are decoded on Arrow batches, many sequences side by side, by the best pat
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.batches import arrow_udf
+from voxloom.batches import arrow_udf, small_batches
 from voxloom.staging import drop, staged
 
 #: Marks behind words, after none; the state at the begin of a line is the one behind them.
@@ -254,17 +255,85 @@ def mark_scores(df: DataFrame, key: str, reference: str, punctuated: str) -> Dat
 #: Characters that end a sentence in texts that have them, and the white space between words.
 STOPS = ".!?。！？"
 _BLANK = " \t\n\r\f\v"
-_CHARACTER = re.compile(rf"[^{_BLANK}]")
 #: Labels of characters: alone, first, within and last in a sentence; the state before a text is the one behind them.
 ALONE, HEAD, INNER, TAIL = range(4)
-
-
-def _segments(df: DataFrame, text: str) -> DataFrame:
-    """The sentences of each text as arrays of characters, each with a space behind it if white space or the sentence's end follows."""
-    blank, stops = r"[ \\t\\n\\r\\f\\x0B]", f"[{STOPS}]+"
-    pieces = df.select(F.split(F.col(text).cast("string"), stops).alias("s"))
-    pieces = pieces.selectExpr(f"transform(s, x -> trim(regexp_replace(x, '{blank}+', ' '))) AS s").selectExpr("filter(s, x -> x <> '') AS s").where("size(s) > 0")
-    return pieces.selectExpr(r"transform(s, x -> regexp_extract_all(concat(x, ' '), '([^ ] ?)', 1)) AS s")
+#: Characters that are counted or decoded at once; a longer text is by itself.
+CHARACTERS = 2_000_000
+#: Of fewer texts than this, each is decoded by itself.
+FEW = 24
+#: The states that each label may follow: a sentence begins where another has ended, and goes on after its first character.
+_BEFORE = ((ALONE, TAIL), (ALONE, TAIL), (HEAD, INNER), (HEAD, INNER))
+#: The state before, by 16 * state + a bit for each label, set where the second of the states that it may follow is the better one.
+_CAME = np.array([_BEFORE[s][bits >> s & 1] for s in range(4) for bits in range(16)], np.uint8)
+
+
+def _windows(texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of all texts in lists of some CHARACTERS, the longest texts first: those alike in length go side by side."""
+    waiting, size = [], 0
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+        waiting.append(i)
+        size += len(texts[i])
+        if size >= CHARACTERS:
+            yield waiting
+            waiting, size = [], 0
+    if waiting:
+        yield waiting
+
+
+def _characters(texts: list[str], apart: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts one behind another: code points; where each text begins, and the end of all; the places of characters, which are neither white space nor in apart; what each shows:
+    2 * its code point, and 1 more if no character follows it at once."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    begins = np.cumsum([0, *map(len, texts)])
+    gap = np.zeros(len(points) + 1, bool)
+    for c in _BLANK + apart:
+        gap[:-1] |= points == ord(c)
+    at = np.flatnonzero(~gap[:-1])
+    gap[begins] = True  # behind a text's last character
+    return points, begins, at, 2 * points[at].astype(np.int32) + gap[at + 1]
+
+
+def _counts(texts: list[str]) -> tuple[np.ndarray, Counter]:
+    """How often each label goes with what is shown (at 4 * that + label), and what the sentences of texts with stops are: by their size, by the first ones and by neighbours."""
+    points, begins, at, shows = _characters(texts, STOPS)
+    cut = np.zeros(len(points) + 1, np.int32)
+    for c in STOPS:
+        cut[:-1] |= points == ord(c)
+    cut[begins] = 1
+    sentence = np.cumsum(cut, dtype=np.int32)[at]
+    head = np.flatnonzero(np.diff(sentence, prepend=-1))
+    size = np.diff(head, append=len(at))
+    label = np.full(len(at), INNER)
+    label[head + size - 1] = TAIL
+    label[head] = np.where(size == 1, ALONE, HEAD)
+    first = np.diff(np.searchsorted(begins, at[head], "right"), prepend=-1) > 0
+    one = size == 1
+    kinds = Counter(one=np.sum(first & one), many=np.sum(first & ~one), within=np.maximum(size - 3, 0).sum(), two=np.sum(size == 2), more=np.sum(size > 2))
+    for a, was in (("one", one[:-1]), ("many", ~one[:-1])):
+        for b, then in (("one", one[1:]), ("many", ~one[1:])):
+            kinds[f"{a}_{b}"] = np.sum(was & then & ~first[1:])
+    return np.bincount(4 * shows + label), kinds
+
+
+def _label_counts(df: DataFrame, text: str) -> DataFrame:
+    """l, c, n: how often a label l shows c, a character and a space behind it if white space or the sentence's end follows; and with no l, how many sentences are of kind c."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, kinds = np.zeros(0, np.int64), Counter()
+        for batch in batches:
+            texts = [t for t in batch.column(0).to_pylist() if t]
+            for which in _windows(texts):
+                n, found = _counts([texts[i] for i in which])
+                if len(n) > len(total):
+                    total, n = n, total
+                total[: len(n)] += n
+                kinds.update(found)
+        some = np.flatnonzero(total)
+        shown = [chr(k >> 3) + " " * (k >> 2 & 1) for k in some.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array([*(some % 4).tolist(), *[None] * len(kinds)], pa.int32()), pa.array([*shown, *kinds], pa.string()), pa.array([*total[some].tolist(), *map(int, kinds.values())], pa.int64())], ["l", "c", "n"])
+
+    small_batches(df.sparkSession)
+    return df.select(F.col(text).cast("string")).mapInArrow(count, "l int, c string, n long").groupBy("l", "c").agg(F.sum("n").alias("n"))
 
 
 class Segmenter:
@@ -272,41 +341,104 @@ class Segmenter:
 
     def __init__(self, shared):
         self.shared = shared
+        self.numbers = None  # made where the model is used, with first, scores and rows
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         """For each text, how many characters lie before and in each sentence's last character."""
+        if self.numbers is None:
+            self._prepare()
         out: list[list[int]] = [[] for _ in texts]
-        waiting, size = [], 0
-        for i, text in enumerate(texts):
-            waiting.append(i)
-            size += len(text)
-            if size >= WINDOW:
-                self._decode(texts, waiting, out)
-                waiting, size = [], 0
-        self._decode(texts, waiting, out)
+        for which in _windows(texts):
+            _, begins, at, shows = _characters([texts[i] for i in which])
+            last = self._last(self.numbers[np.minimum(shows, len(self.numbers) - 1)], np.diff(np.searchsorted(at, begins)))
+            ends = at[last] + 1
+            cuts = np.searchsorted(ends, begins, "right").tolist()
+            for i, a, b, begin in zip(which, cuts, cuts[1:], begins.tolist()):
+                out[i] = (ends[a:b] - begin).tolist()
         return out
 
-    def _decode(self, texts: list[str], which: list[int], out: list[list[int]]) -> None:
+    def _prepare(self) -> None:
         m = self.shared.value
-        seen, places, lengths = [], [], []
-        for i in which:
-            text = texts[i]
-            at = [f.start() for f in _CHARACTER.finditer(text)]
-            seen += [m["characters"].get(text[k] + " " if k + 1 == len(text) or text[k + 1] in _BLANK else text[k], 0) for k in at]
-            places.append(at)
-            lengths.append(len(at))
-        seen = np.array(seen, np.int32)
-        some = np.array([n for n in lengths if n], np.int64)
-        start = np.full(5, -np.inf)
-        start[4] = 0.0
-        ends = np.zeros((1, 5))
-        ends[0, [HEAD, INNER]] = -np.inf
-        path = viterbi(some, start, lambda at: m["moves"][None] + m["shows"][seen[at]][:, None], lambda at: np.repeat(ends, len(at), 0))
-        last = (path == ALONE) | (path == TAIL)
-        done = 0
-        for i, at in zip(which, places):
-            out[i] = [k + 1 for k, e in zip(at, last[done : done + len(at)].tolist()) if e]
-            done += len(at)
+        shows = np.array([2 * ord(c[0]) + len(c) - 1 for c in m["characters"]], np.int64)
+        numbers = np.zeros(shows.max(initial=0) + 2, np.int32)  # the last stands for all that lie beyond
+        numbers[shows] = np.array(list(m["characters"].values()), np.int32)
+        steps = m["moves"] + m["shows"][:, None]
+        self.scores = np.stack([steps[:, _BEFORE[s][k], s] for k in range(2) for s in range(4)])
+        self.first = np.ascontiguousarray(steps[:, 4, :HEAD + 1].T)
+        self.rows: dict[int, tuple] = {}
+        self.numbers = numbers
+
+    def _last(self, seen: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """For each character, whether a sentence ends there on the best path of its text; of equal paths the one with the smaller states, from the end.
+
+        Texts go side by side, those with the most characters first, a place at a time; when few are left, each goes on by itself. A label follows one of two states, so a bit tells which.
+        """
+        order = np.argsort(-lengths, kind="stable")[: np.count_nonzero(lengths)]
+        sizes, begin = lengths[order], (np.cumsum(lengths) - lengths)[order]
+        last = np.zeros(len(seen), bool)
+        if not len(order):
+            return last
+        together = int(sizes[FEW - 1]) if len(order) >= FEW else 1
+        each = np.minimum(sizes, together)
+        of = np.repeat(np.arange(len(order), dtype=np.int32), each)
+        place = np.arange(len(of), dtype=np.int32) - np.repeat((np.cumsum(each) - each).astype(np.int32), each)
+        rows = np.concatenate([[0], np.cumsum(np.bincount(place))])
+        source = np.empty(len(of), np.int32)  # place by place
+        source[rows[place] + of] = begin[of] + place
+        shown, rows = seen[source], rows.tolist()
+        second = np.zeros((2, 2, len(of)), bool)
+        best = np.full((2, 2, len(order)), -np.inf)
+        best[0] = self.first[:, shown[: len(order)]]
+        for a, b in zip(rows[1:], rows[2:]):
+            now, (one, two) = best[:, :, : b - a], self.scores.take(shown[a:b], 1).reshape(2, 2, 2, b - a)
+            one += now[0, :, None]
+            two += now[1, ::-1, None]
+            np.greater(two, one, out=second[:, :, a:b])
+            np.maximum(one, two, out=now)
+        bits = second[0, 0] | second[0, 1] << np.uint8(1) | second[1, 0] << np.uint8(2) | second[1, 1] << np.uint8(3)
+        state = np.where(best[1, 1] > best[0, 0], TAIL, ALONE).astype(np.uint8)
+        for k in np.flatnonzero(sizes > together).tolist():
+            rest = slice(begin[k] + together, begin[k] + sizes[k])
+            last[rest], state[k] = self._rest(best[:, :, k].ravel().tolist(), seen[rest].tolist())
+        path = np.empty(len(of), np.uint8)
+        for a, b in zip(rows[-2::-1], rows[:0:-1]):
+            path[a:b] = now = state[: b - a]
+            state[: b - a] = _CAME.take(16 * now + bits[a:b])
+        last[source] = (path == ALONE) | (path == TAIL)
+        return last
+
+    def _rest(self, best: list[float], seen: list[int]) -> tuple[np.ndarray, int]:
+        """The same for one text from a place on, whose states have these scores before, and the best path's state before."""
+        for c in set(seen).difference(self.rows):
+            self.rows[c] = tuple(self.scores[:, c].tolist())
+        alone, head, inner, tail = best
+        bits = bytearray(len(seen))
+        for i, (to_alone, to_head, to_inner, to_tail, tail_alone, tail_head, inner_inner, inner_tail) in enumerate(map(self.rows.__getitem__, seen)):
+            to_alone += alone
+            to_head += alone
+            to_inner += head
+            to_tail += head
+            b = 0
+            if (x := tail + tail_alone) > to_alone:
+                to_alone, b = x, 1
+            if (x := tail + tail_head) > to_head:
+                to_head = x
+                b += 2
+            if (x := inner + inner_inner) > to_inner:
+                to_inner = x
+                b += 4
+            if (x := inner + inner_tail) > to_tail:
+                to_tail = x
+                b += 8
+            bits[i] = b
+            alone, head, inner, tail = to_alone, to_head, to_inner, to_tail
+        state, came = TAIL if tail > alone else ALONE, _CAME.tolist()
+        path = bytearray(len(seen))
+        for i in range(len(seen) - 1, -1, -1):
+            path[i] = state
+            state = came[16 * state + bits[i]]
+        path = np.frombuffer(path, np.uint8)
+        return (path == ALONE) | (path == TAIL), state
 
 
 def fit_segments(df: DataFrame, text: str, characters: int = 1 << 17) -> Segmenter:
@@ -315,20 +447,15 @@ def fit_segments(df: DataFrame, text: str, characters: int = 1 << 17) -> Segment
     What a label shows is a character and whether white space follows; the most frequent ones are kept (at most `characters`, ties by name), the rest are one. Every count has one added.
     Null texts and texts of stops alone count nothing.
     """
-    segments = _segments(df, text)
-    shown = segments.selectExpr("explode(s) AS s").selectExpr("size(s) AS n", "posexplode(s) AS (i, c)")
-    label = F.expr(f"CASE WHEN n = 1 THEN {ALONE} WHEN i = 0 THEN {HEAD} WHEN i = n - 1 THEN {TAIL} ELSE {INNER} END")
-    shows = staged(shown.groupBy(label.alias("l"), "c").agg(F.count("*").alias("n")), "shows")
-    kept = [r["c"] for r in shows.groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(characters).collect()]
+    shows = staged(_label_counts(df, text), "shows")
+    kept = [r["c"] for r in shows.where("l IS NOT NULL").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(characters).collect()]
     id_of = {c: i + 1 for i, c in enumerate(kept)}
-    counts = np.ones((len(kept) + 1, 4))
-    for r in shows.toLocalIterator():  # a row for each character and label: at most the code points there are, eight times
-        counts[id_of.get(r["c"], 0), r["l"]] += r["n"]
-    lengths = segments.selectExpr("transform(s, x -> size(x) = 1) AS one", "aggregate(s, 0L, (a, x) -> a + greatest(size(x) - 3, 0)) AS within", "aggregate(s, 0L, (a, x) -> a + IF(size(x) = 2, 1, 0)) AS two", "aggregate(s, 0L, (a, x) -> a + IF(size(x) > 2, 1, 0)) AS more")
-    after = "aggregate(transform(one, (x, i) -> IF(i > 0 AND one[i - 1] = {0} AND x = {1}, 1, 0)), 0L, (a, x) -> a + x)"
-    sums = {"one": F.when(F.expr("one[0]"), 1).otherwise(0), "many": F.when(F.expr("one[0]"), 0).otherwise(1), "within": F.col("within"), "two": F.col("two"), "more": F.col("more"),
-        **{f"{a}_{b}": F.expr(after.format(str(a == "one").lower(), str(b == "one").lower())) for a in ("one", "many") for b in ("one", "many")}}
-    r = lengths.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in sums.items()]).first()
+    counts, r = np.ones((len(kept) + 1, 4)), Counter()
+    for label, c, n in shows.toLocalIterator():  # a row for each character and label: at most the code points there are, eight times
+        if label is None:
+            r[c] = n
+        else:
+            counts[id_of.get(c, 0), label] += n
     drop(shows)
     moves = np.full((5, 4), -np.inf)
     for state, to in ((4, {ALONE: r["one"], HEAD: r["many"]}), (ALONE, {ALONE: r["one_one"], HEAD: r["one_many"]}), (TAIL, {ALONE: r["many_one"], HEAD: r["many_many"]}),
